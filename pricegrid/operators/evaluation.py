@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 from statistics import NormalDist
 
@@ -131,9 +130,3 @@ def stack_frames(frames):
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def pearson_t(r, n):
-    """t statistic of a correlation, infinite for a perfect one."""
-    if r is None or n < 3:
-        return None
-    rest = 1 - r * r
-    return math.inf * (1 if r > 0 else -1) if rest <= 0 else r * math.sqrt((n - 2) / rest)

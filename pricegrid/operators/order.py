@@ -100,10 +100,10 @@ def _step(hist, stratum, prefix, rank):
 
 
 def small_domain(df: DataFrame, columns, limit=None) -> bool:
-    """Whether no column has more than limit distinct values (sketch with 2 % error)."""
+    """Whether no column has more than limit distinct values (sketch with 5 % error)."""
     limit = SMALL_DOMAIN if limit is None else limit
-    sizes = [F.approx_count_distinct(c, 0.02).alias(f"d{i}") for i, c in enumerate(columns)]
-    return all((n or 0) * 1.1 <= limit for n in df.agg(*sizes).first())
+    sizes = [F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(columns)]
+    return all((n or 0) * 1.25 <= limit for n in df.agg(*sizes).first())
 
 
 def _with_buckets(df, columns, buckets):

@@ -8,6 +8,7 @@ from pricegrid.operators.evaluation import metrics
 from pricegrid.operators.features import TargetMeanEncoder
 from pricegrid.operators.splitting import Splitter
 from pricegrid.plans import sql
+from pricegrid.plans.catalog import Catalog
 from pricegrid.sources.listings import listings
 
 SPLIT_COLUMNS = ["listing_id", "brand", "region", "price"]
@@ -36,14 +37,15 @@ def flagship(spark, sf_dir):
     )
 
 
-QUERIES = {"flagship_region_metrics": flagship}
+catalog = Catalog()
 
-SQL = {
-    "flagship_region_metrics": f"""{sql.WITH_L}, c as (select * from l where {sql.CLEAN_FILTER}),
+catalog.add(
+    "flagship_region_metrics",
+    f"""{sql.WITH_L}, c as (select * from l where {sql.CLEAN_FILTER}),
  {sql.split_ctes('c')},
  enc as (select brand, avg(price) as e from sp where split='train' group by brand),
  g as (select avg(e) as dflt from enc),
  p as (select sp.region, sp.price as y, coalesce(enc.e,g.dflt) as yhat
        from sp left join enc on sp.brand=enc.brand cross join g where split='test')
 select region, {sql.metrics_sql()} from p group by region""",
-}
+)(flagship)

@@ -2,22 +2,30 @@
 
 from importlib import import_module
 
-MODULES = ["flagship"]
+MODULES = [
+    "flagship",
+    "table_queries",
+    "cleaning_queries",
+]
 
 
-def _collect(attribute):
-    found = {}
-    for name in MODULES:
-        for key, value in getattr(import_module(f"pricegrid.plans.{name}"), attribute).items():
-            if key in found:
-                raise ValueError(f"query {key} is registered twice")
-            found[key] = value
-    return found
+def _catalogs():
+    return [import_module(f"pricegrid.plans.{name}").catalog for name in MODULES]
+
+
+def _merge(parts):
+    merged = {}
+    for part in parts:
+        repeated = set(part) & set(merged)
+        if repeated:
+            raise ValueError(f"registered twice: {sorted(repeated)}")
+        merged.update(part)
+    return merged
 
 
 def queries():
-    return _collect("QUERIES")
+    return _merge(c.queries for c in _catalogs())
 
 
 def oracle_sql():
-    return _collect("SQL")
+    return _merge(c.sql for c in _catalogs())

@@ -63,7 +63,7 @@ def split_ctes(source, order="listing_id", name="sp"):
 def title_sql(expr):
     """Title case by runs of letters."""
     runs = rf"regexp_extract_all(lower({expr}),'\p{{L}}+|[^\p{{L}}]+')"
-    return f"list_aggregate(list_transform({runs}, lambda x: upper(x[1])||x[2:]),'string_agg','')"
+    return f"array_to_string(list_transform({runs}, lambda x: upper(x[1])||x[2:]),'')"
 
 
 def strip_sql(expr):
