@@ -6,6 +6,7 @@ MODULES = [
     "flagship",
     "table_queries",
     "cleaning_queries",
+    "quality_queries",
 ]
 
 
