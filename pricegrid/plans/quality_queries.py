@@ -70,14 +70,17 @@ ISSUE = ["check", "rule", "violations", "percentage", "min_found", "max_found",
 
 @query(
     "va1_schema_issues",
-    """select 'missing_columns' as rule, 'error' as severity, 'color; condition' as detail
+    """select rule, severity, detail, (select count(*) from lineitem) as total_rows from (
+ select 'missing_columns' as rule, 'error' as severity, 'color; condition' as detail
  union all select 'unexpected_columns', 'warning', 'colour; listing_id; region'
- union all select 'type_mismatch', 'error', 'year: string instead of bigint'""",
+ union all select 'type_mismatch', 'error', 'year: string instead of bigint')""",
 )
 def va1_schema_issues(spark, sf_dir):
     df = listings(spark, sf_dir).drop("condition").withColumnRenamed("color", "colour")
     df = df.withColumn("year", F.col("year").cast("string"))
-    return validation.schema_issues(df, CANONICAL_SCHEMA).select("rule", "severity", "detail")
+    total = df.agg(F.count(F.lit(1)).alias("total_rows"))
+    found = validation.schema_issues(df, CANONICAL_SCHEMA).select("rule", "severity", "detail")
+    return found.crossJoin(F.broadcast(total))
 
 
 @query("va2_range_issues", f"{D} {issue_sql('d', [c for c in CHECKS if c[0] == 'range'])}")
@@ -163,22 +166,25 @@ def va15_before_after(spark, sf_dir):
 # -- assessment ------------------------------------------------------------------------
 
 
+TYPES = {f.name: (f.dataType.simpleString(),) * 2 + ("OK",) for f in CANONICAL_SCHEMA} | {
+    "doors": ("bigint", "string", "MISMATCH"),
+    "color": ("string", "MISSING", "MISSING"),
+}
+
+
 @query(
     "dq1_type_report",
-    "select * from (values "
-    + ", ".join(
-        f"('{f.name}', '{f.dataType.simpleString()}', "
-        + {
-            "doors": "'string', 'MISMATCH')",
-            "color": "'MISSING', 'MISSING')",
-        }.get(f.name, f"'{f.dataType.simpleString()}', 'OK')")
-        for f in CANONICAL_SCHEMA
-    )
-    + ') t("column", expected, actual, status)',
+    f"{D} " + sql.union(
+        f"""select '{c}' as "column", '{expected}' as expected, '{actual}' as actual, '{status}' as status,
+ {'max(cast(null as bigint))' if actual == 'MISSING' else f'count({c})'} as present from d"""
+        for c, (expected, actual, status) in TYPES.items()
+    ),
 )
 def dq1_type_report(spark, sf_dir):
-    df = listings(spark, sf_dir).drop("color").withColumn("doors", F.col("doors").cast("string"))
-    return quality.type_report(df, CANONICAL_SCHEMA)
+    """Types per expected column, with the number of values present."""
+    df = dirty_listings(spark, sf_dir).drop("color").withColumn("doors", F.col("doors").cast("string"))
+    present = quality.per_column(df, df.columns, {"present": F.count}).select("column", "present")
+    return quality.type_report(df, CANONICAL_SCHEMA).join(F.broadcast(present), "column", "left")
 
 
 NUMERIC_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"

@@ -7,6 +7,7 @@ MODULES = [
     "table_queries",
     "cleaning_queries",
     "quality_queries",
+    "profile_queries",
 ]
 
 
