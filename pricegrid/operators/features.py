@@ -15,7 +15,9 @@ from pyspark.ml.util import (
     DefaultParamsReader,
     DefaultParamsWritable,
     DefaultParamsWriter,
+    MLReadable,
     MLReader,
+    MLWritable,
     MLWriter,
 )
 from pyspark.sql import functions as F
@@ -78,7 +80,7 @@ class _TableReader(MLReader):
         return instance
 
 
-class _TableFitted(Model, _Settings):
+class _TableFitted(Model, _Settings, MLReadable, MLWritable):
     """A fitted stage whose state is a table (feature, value, ...)."""
 
     table = None
@@ -86,17 +88,10 @@ class _TableFitted(Model, _Settings):
     def write(self):
         return _TableWriter(self)
 
-    def save(self, path):
-        self.write().save(path)
-
     @classmethod
     def read(cls):
         return _TableReader(cls)
 
-    @classmethod
-    def load(cls, path):
-        return cls.read().load(path)
-
     def copy(self, extra=None):
         that = super().copy(extra)
         that.table = self.table

@@ -8,6 +8,7 @@ MODULES = [
     "cleaning_queries",
     "quality_queries",
     "profile_queries",
+    "feature_queries",
 ]
 
 
