@@ -108,7 +108,7 @@ class TrainingResult:
         self.models[name] = model
         self.seconds[name] = seconds
         self.params[name] = params or {}
-        self.rmse[name] = rmse
+        self.rmse[name] = None if rmse is None else float(rmse)
 
     def merge(self, other):
         for part in ("models", "params", "seconds", "rmse"):

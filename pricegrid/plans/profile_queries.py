@@ -11,7 +11,7 @@ from pricegrid.functions import bins
 from pricegrid.operators import correlation, profiling, projection
 from pricegrid.plans import sql
 from pricegrid.plans.catalog import Catalog
-from pricegrid.plans.table_queries import CATEGORY_SQL
+from pricegrid.plans.table_queries import CATEGORY_SQL, range_sql_case
 from pricegrid.sources.listings import dirty_listings, listings, table
 
 catalog = Catalog()
@@ -462,14 +462,8 @@ def ed33_km_bins(spark, sf_dir):
     return profiling.binned_stats(listings(spark, sf_dir), "km", "price", 50000, 0, 600000, 100)
 
 
-def _range_case(column, edges, labels):
-    return "case " + " ".join(
-        f"when {column}>{a} and {column}<={b} then '{label}'" for a, b, label in zip(edges, edges[1:], labels)
-    ) + " end"
-
-
 for _column, (_edges, _labels) in {"age_years": profiling.AGE_RANGES, "km": profiling.KM_RANGES}.items():
-    _source = f"s as (select price, {_range_case(_column, _edges, _labels)} as range from l)"
+    _source = f"s as (select price, {range_sql_case(_column, _edges, _labels)} as range from l)"
 
     @query(f"ed34_{_column}_range_box", f"{L}, {_source}, {_box_sql('s', 'price', 'range')}")
     def _range_box(spark, sf_dir, column=_column, edges=_edges, labels=_labels):
@@ -524,7 +518,7 @@ def ed36_fuel_by_transmission(spark, sf_dir):
     return profiling.pivot_means(listings(spark, sf_dir), "fuel_type", "transmission", "price", GEARS)
 
 
-AGE_CASE = _range_case("age_years", C.AGE_RANGE_EDGES, C.AGE_RANGE_LABELS)
+AGE_CASE = range_sql_case("age_years", C.AGE_RANGE_EDGES, C.AGE_RANGE_LABELS)
 
 
 @query(

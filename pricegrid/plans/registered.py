@@ -9,6 +9,8 @@ MODULES = [
     "quality_queries",
     "profile_queries",
     "feature_queries",
+    "model_queries",
+    "stream_queries",
 ]
 
 

@@ -46,7 +46,7 @@ def metrics_sql(y="y", yhat="yhat"):
     return f"""count(*) as n_samples, round(sqrt(avg({e}*{e})),4) as rmse, round(avg(abs{e}),4) as mae,
  round(avg(case when {y}<>0 then abs({e}/{y}) end),6) as mape,
  round(case when count(*)<2 then null when var_pop({y})>0 then 1-sum({e}*{e})/(count(*)*var_pop({y}))
-       when sum({e}*{e})=0 then 1e0 else 0e0 end,6) as r2"""
+       when sum({e}*{e})=0 then 1e0 else 0e0 end,6)+0e0 as r2"""
 
 
 CLEAN_FILTER = """price>0 and km>=0 and age_years>=0 and year<=year_of_reference

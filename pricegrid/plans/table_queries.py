@@ -242,6 +242,14 @@ def pr7_membership(spark, sf_dir):
     return df.groupBy("condition").agg(F.count(F.lit(1)).alias("n"))
 
 
+def range_sql_case(column, edges, labels):
+    """Right-closed ranges; a None edge is unbounded."""
+    return "case " + " ".join(
+        f"when {column}>{a}" + (f" and {column}<={b}" if b is not None else "") + f" then '{label}'"
+        for a, b, label in zip(edges, edges[1:], labels)
+    ) + " end"
+
+
 CATEGORY_SQL = "case " + " ".join(
     f"when price<{limit} then '{label}'" for limit, label in C.PRICE_CATEGORIES[:-1]
 ) + f" else '{C.PRICE_CATEGORIES[-1][1]}' end"
@@ -303,5 +311,3 @@ def sp5_time_split(spark, sf_dir):
 def sp5_time_split_ranges(spark, sf_dir):
     return split_sizes(sp5_time_split(spark, sf_dir), order="year_of_reference")
 
-
-__all__ = ["catalog"]
