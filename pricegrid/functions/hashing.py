@@ -16,10 +16,6 @@ def uniform(key, stream, seed=42):
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def between(key, stream, low, high, seed=42):
-    return F.lit(float(low)) + uniform(key, stream, seed) * F.lit(float(high) - float(low))
-
-
 def weighted(u, weights):
     """Pick a word by cumulative weight; weights need not sum to one."""
     total = sum(weights.values())

@@ -19,12 +19,19 @@ def pearson_pairs(df: DataFrame, columns=None) -> DataFrame:
     """corr of every pair of columns, all in one aggregate."""
     columns = columns or numeric_columns(df)
     pairs = list(combinations(columns, 2))
+    return _pair_rows(df, pairs, [(a, b, f"r{i}") for i, (a, b) in enumerate(pairs)])
+
+
+def _pair_rows(df, pairs, shown):
+    """Rows (a, b, r) from one aggregate; shown names the aggregate of each row."""
     row = df.agg(
         *[F.corr(quoted(a).cast("double"), quoted(b).cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]
     )
     cells = [
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("r"))
-        for i, (a, b) in enumerate(pairs)
+        F.struct(
+            F.lit(a).alias("a"), F.lit(b).alias("b"), (F.col(r) if r else F.lit(1.0)).alias("r")
+        )
+        for a, b, r in shown
     ]
     return row.select(F.explode(F.array(*cells)).alias("p")).select("p.*")
 
@@ -32,11 +39,10 @@ def pearson_pairs(df: DataFrame, columns=None) -> DataFrame:
 def correlation_matrix(df: DataFrame, columns=None) -> DataFrame:
     """Full symmetric matrix as rows (a, b, r)."""
     columns = columns or numeric_columns(df)
-    half = pearson_pairs(df, columns)
-    other = half.select(F.col("b").alias("a"), F.col("a").alias("b"), "r")
-    diagonal = df.sparkSession.createDataFrame([(c, c, 1.0) for c in columns], "a string, b string, r double")
-    full = half.unionByName(other).unionByName(diagonal)
-    return full.select("a", "b", F.round("r", 6).alias("r"))
+    pairs = list(combinations(columns, 2))
+    shown = [(a, b, f"r{i}") for i, (a, b) in enumerate(pairs)]
+    shown += [(b, a, r) for a, b, r in shown] + [(c, c, None) for c in columns]
+    return _pair_rows(df, pairs, shown).select("a", "b", F.round("r", 6).alias("r"))
 
 
 def target_correlations(df: DataFrame, target, columns=None) -> DataFrame:

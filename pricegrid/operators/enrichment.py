@@ -10,17 +10,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricegrid import constants as C
-from pricegrid.functions.hashing import between, uniform, weighted
+from pricegrid.functions.hashing import uniform, weighted
 from pricegrid.operators.projection import rename_existing, reorder
 from pricegrid.schema import CANONICAL_SCHEMA
 from pricegrid.sources.tables import sample_rows
 
 
-def mileage(age, price, key, seed=42):
+STREAMS = ("km", "price", "noise", "state", "city", "color", "doors", "condition")
+
+
+def with_uniforms(df: DataFrame, key="listing_id", seed=42) -> DataFrame:
+    """One uniform number per stream as a column: each is used in many branches,
+    and as a column it is hashed once per row."""
+    return df.withColumns({f"_u_{s}": uniform(F.col(key), s, seed) for s in STREAMS})
+
+
+def _u(stream):
+    return F.col(f"_u_{stream}")
+
+
+def _between(stream, low, high):
+    return F.lit(float(low)) + _u(stream) * F.lit(float(high) - float(low))
+
+
+def mileage(age, price):
     """Kilometres by age band, fewer for dear cars, with noise."""
     chain = None
     for i, (limit, low, high, yearly) in enumerate(C.MILEAGE_BANDS):
-        base = between(key, "km", low, high, seed)
+        base = _between("km", low, high)
         base = age * base if yearly else base
         if limit is None:
             chain = chain.otherwise(base)
@@ -28,30 +45,30 @@ def mileage(age, price, key, seed=42):
             chain = F.when(age <= limit, base) if i == 0 else chain.when(age <= limit, base)
     factor = None
     for above, low, high in C.MILEAGE_PRICE_FACTORS:
-        share = between(key, "price", low, high, seed)
+        share = _between("price", low, high)
         factor = F.when(price > above, share) if factor is None else factor.when(price > above, share)
-    noise = between(key, "noise", *C.MILEAGE_NOISE, seed)
+    noise = _between("noise", *C.MILEAGE_NOISE)
     return F.greatest(F.round(chain * factor.otherwise(F.lit(1.0)) * noise, 0), F.lit(0.0))
 
 
-def state(key, seed=42):
-    return weighted(uniform(key, "state", seed), C.STATE_WEIGHTS)
+def state():
+    return weighted(_u("state"), C.STATE_WEIGHTS)
 
 
-def city(state_col, key, seed=42):
+def city(state_col):
     """A city of the state, each equally likely."""
     pairs = [x for s, names in C.STATE_CITIES.items() for x in (F.lit(s), F.array(*map(F.lit, names)))]
     names = F.element_at(F.create_map(*pairs), state_col)
-    place = F.floor(uniform(key, "city", seed) * F.size(names)).cast("int")
+    place = F.floor(_u("city") * F.size(names)).cast("int")
     return F.element_at(names, place + 1)
 
 
-def condition(age, km, key, seed=42):
+def condition(age, km):
     """Condition by age and yearly kilometres, then by weight."""
     rate = km / F.greatest(age, F.lit(1))
-    u, chain = uniform(key, "condition", seed), None
+    chain = None
     for limit, below, odds in C.CONDITION_BANDS:
-        word = weighted(u, odds)
+        word = weighted(_u("condition"), odds)
         if limit is None:
             chain = chain.otherwise(word)
         else:
@@ -60,12 +77,12 @@ def condition(age, km, key, seed=42):
     return chain
 
 
-def color(key, seed=42):
-    return weighted(uniform(key, "color", seed), C.COLOR_WEIGHTS)
+def color():
+    return weighted(_u("color"), C.COLOR_WEIGHTS)
 
 
-def doors(key, seed=42):
-    return weighted(uniform(key, "doors", seed), C.DOOR_WEIGHTS).cast("long")
+def doors():
+    return weighted(_u("doors"), C.DOOR_WEIGHTS).cast("long")
 
 
 def enrich(df: DataFrame, key="listing_id", sample=None, seed=42, keep_key=False) -> DataFrame:
@@ -73,17 +90,14 @@ def enrich(df: DataFrame, key="listing_id", sample=None, seed=42, keep_key=False
     df = sample_rows(df, sample, key, seed) if sample else df
     if "age_years" not in df.columns:
         df = df.withColumn("age_years", F.col("year_of_reference") - F.col("year_model"))
-    k = F.col(key)
     age = F.col("year_of_reference") - F.col("year_model")
-    df = df.withColumns(
+    df = with_uniforms(df, key, seed).withColumns(
         {
-            "km": mileage(age, F.col("avg_price_brl"), k, seed),
-            "state": state(k, seed),
-            "color": color(k, seed),
-            "doors": doors(k, seed),
+            "km": mileage(age, F.col("avg_price_brl")),
+            "state": state(),
+            "color": color(),
+            "doors": doors(),
         }
-    ).withColumns(
-        {"city": city(F.col("state"), k, seed), "condition": condition(age, F.col("km"), k, seed)}
-    )
+    ).withColumns({"city": city(F.col("state")), "condition": condition(age, F.col("km"))})
     order = [f.name for f in CANONICAL_SCHEMA]
     return reorder(rename_existing(df), [key, *order] if keep_key else order)

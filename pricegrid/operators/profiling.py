@@ -58,8 +58,9 @@ def describe_numeric(df: DataFrame, columns=None) -> DataFrame:
 def value_counts(df: DataFrame, columns) -> DataFrame:
     """(column, value, count, percentage) of several columns in one job.
 
-    The percentage is of the non-missing values of the column. Totals are added
-    by a join on the few column names, not by a window over all values.
+    The percentage is of the non-missing values of the column. Totals come from
+    the same grouped counts and are joined by the few column names, so there is
+    one pass over the rows and no window over all values.
     """
     cells = F.array(
         *[F.struct(F.lit(c).alias("column"), quoted(c).cast("string").alias("value")) for c in columns]
@@ -71,13 +72,7 @@ def value_counts(df: DataFrame, columns) -> DataFrame:
         .groupBy("column", "value")
         .agg(F.count(F.lit(1)).alias("count"))
     )
-    totals = df.agg(*[F.count(quoted(c)).alias(f"n{i}") for i, c in enumerate(columns)]).select(
-        F.explode(
-            F.array(
-                *[F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("total")) for i, c in enumerate(columns)]
-            )
-        ).alias("t")
-    ).select("t.*")
+    totals = counts.groupBy("column").agg(F.sum("count").alias("total"))
     return counts.join(F.broadcast(totals), "column").select(
         "column", "value", "count", F.round(F.col("count") / F.col("total") * 100, 6).alias("percentage")
     )
@@ -258,7 +253,7 @@ def z_outliers(df: DataFrame, column, threshold=3.0) -> DataFrame:
 def label_distribution(df: DataFrame, label) -> DataFrame:
     """Rows and share per label of an expression with few outcomes."""
     counts = df.groupBy(label.alias("label")).agg(F.count(F.lit(1)).alias("count"))
-    total = df.agg(F.count(F.lit(1)).alias("total"))
+    total = counts.agg(F.sum("count").alias("total"))
     return counts.crossJoin(F.broadcast(total)).select(
         "label", "count", F.round(F.col("count") / F.col("total") * 100, 6).alias("percentage")
     )
@@ -300,7 +295,14 @@ def top_groups(stats: DataFrame, order, n, name, ascending=False) -> DataFrame:
 
 def most_frequent(df: DataFrame, column, n) -> DataFrame:
     """The n most frequent values with their counts, ties by value."""
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("count"))
+    return _first(_counts(df, column), column, n)
+
+
+def _counts(df, column):
+    return df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("count"))
+
+
+def _first(counts, column, n):
     return counts.orderBy(F.desc("count"), column).limit(n)
 
 
@@ -332,18 +334,18 @@ def first_last_change(df: DataFrame, by, value) -> DataFrame:
 
 def top_with_others(df: DataFrame, column, n, label="Others") -> DataFrame:
     """Counts of the n most frequent values and of all other values together."""
-    names = most_frequent(df, column, n).select(F.col(column).alias("_name"))
-    joined = df.where(F.col(column).isNotNull()).join(
-        F.broadcast(names), F.col(column) == F.col("_name"), "left"
-    )
+    counts = _counts(df, column)
+    names = _first(counts, column, n).select(F.col(column).alias("_name"))
+    joined = counts.join(F.broadcast(names), F.col(column) == F.col("_name"), "left")
     return joined.groupBy(F.coalesce("_name", F.lit(label)).alias(column)).agg(
-        F.count(F.lit(1)).alias("count")
+        F.sum("count").alias("count")
     )
 
 
 def concentration(df: DataFrame, column, tops=(5, 10, 20, 30, 100)) -> DataFrame:
     """Share of rows held by the most frequent values, for several list lengths."""
-    best = most_frequent(df, column, max(tops))
+    counts = _counts(df, column)
+    best = _first(counts, column, max(tops))
     # At most max(tops) rows reach this window.
     ranked = best.withColumn(
         "rank", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("count"), column))
@@ -351,7 +353,7 @@ def concentration(df: DataFrame, column, tops=(5, 10, 20, 30, 100)) -> DataFrame
     sums = ranked.agg(
         *[F.sum(F.when(F.col("rank") <= n, F.col("count"))).alias(f"n{n}") for n in tops]
     )
-    total = df.agg(F.count(column).alias("total"))
+    total = counts.agg(F.sum("count").alias("total"))
     rows = F.explode(
         F.array(*[F.struct(F.lit(n).alias("top"), F.col(f"n{n}").alias("rows")) for n in tops])
     )
@@ -434,8 +436,9 @@ def km_per_year(df: DataFrame) -> DataFrame:
 
 def top_numbers(df: DataFrame, column, n) -> DataFrame:
     """The n most common numbers with their share."""
-    total = df.agg(F.count(column).alias("total"))
-    return most_frequent(df, column, n).crossJoin(F.broadcast(total)).select(
+    counts = _counts(df, column)
+    total = counts.agg(F.sum("count").alias("total"))
+    return _first(counts, column, n).crossJoin(F.broadcast(total)).select(
         column, "count", F.round(F.col("count") / F.col("total") * 100, 6).alias("percentage")
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pricegrid import constants as C
 from pricegrid.functions.predicates import known, outside
 from pricegrid.functions.text import strip
-from pricegrid.operators.features import category_rows, numeric_columns, quoted, string_columns
+from pricegrid.operators.features import numeric_columns, quoted, string_columns
 from pricegrid.operators.order import quantile_values
 from pricegrid.operators.rules import Rule, issues
 from pricegrid.operators.validation import business_rules, number
@@ -199,24 +199,30 @@ def _value_rows(df, columns):
     return rows.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def rare_limit(rows):
-    """A value is rare below this count: 5, or 0.01 % of the rows."""
-    return max(5.0, rows * 0.0001)
+def _with_rare_limit(counts):
+    """Add the count below which a value is rare: 5, or 0.01 % of the rows.
+
+    The rows per column are summed from the grouped counts, without another
+    pass over the table.
+    """
+    limits = counts.groupBy("column").agg(
+        F.greatest(F.lit(5.0), F.sum("n") * F.lit(0.0001)).alias("limit")
+    )
+    return counts.join(F.broadcast(limits), "column")
 
 
 def category_consistency(df: DataFrame, columns=None) -> DataFrame:
     """Per text column: distinct values, stray blanks, case collisions, rare values, top."""
     columns = columns or string_columns(df)
-    limit = F.lit(rare_limit(df.count()))
     text = F.coalesce("value", F.lit("nan"))
     present = F.col("value").isNotNull()
     top = F.min(F.when(present, F.struct((-F.col("n")).alias("n"), F.col("value"))))
-    found = _value_rows(df, columns).groupBy("column").agg(
+    found = _with_rare_limit(_value_rows(df, columns)).groupBy("column").agg(
         F.count(F.lit(1)).alias("unique_values"),
         F.bool_or(strip(text) != text).alias("has_whitespace"),
         F.count_distinct(F.lower(text)).alias("lowers"),
         F.count_distinct(F.upper(text)).alias("uppers"),
-        F.count_if(present & (F.col("n") < limit)).alias("rare_values_count"),
+        F.count_if(present & (F.col("n") < F.col("limit"))).alias("rare_values_count"),
         top.alias("top"),
     )
     collides = (F.col("lowers") != F.col("unique_values")) | (F.col("uppers") != F.col("unique_values"))
@@ -240,9 +246,10 @@ def problem_columns(consistency: DataFrame) -> DataFrame:
 def rare_values(df: DataFrame, columns=None) -> DataFrame:
     """Every rare value of every text column with its count."""
     columns = columns or string_columns(df)
-    limit = rare_limit(df.count())
-    counted = category_rows(df, columns).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
-    return counted.where(F.col("n") < limit).select(F.col("feature").alias("column"), "value", "n")
+    counted = _with_rare_limit(_value_rows(df, columns))
+    return counted.where(F.col("value").isNotNull() & (F.col("n") < F.col("limit"))).select(
+        "column", "value", "n"
+    )
 
 
 def quality_report(df: DataFrame, config, columns=None, **options) -> DataFrame:

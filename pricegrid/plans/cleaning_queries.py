@@ -9,6 +9,7 @@ from pricegrid.operators.cleaning import Cleaner
 from pricegrid.plans import sql
 from pricegrid.plans.catalog import Catalog
 from pricegrid.schema import LISTINGS
+from pricegrid.session import once
 from pricegrid.sources.listings import dirty_listings
 
 catalog = Catalog()
@@ -69,12 +70,12 @@ select {select} from t where {VALID}"""
 
 @query("cl0_clean_iqr", full_clean_sql("iqr", ", ".join(COLUMNS)))
 def cl0_clean_iqr(spark, sf_dir):
-    return Cleaner(LISTINGS, "iqr").clean(dirty_listings(spark, sf_dir)).select(*COLUMNS)
+    return Cleaner(LISTINGS, "iqr").clean(once(dirty_listings(spark, sf_dir))).select(*COLUMNS)
 
 
 @query("cl0_clean_combined", full_clean_sql("combined", ", ".join(COLUMNS)))
 def cl0_clean_combined(spark, sf_dir):
-    return Cleaner(LISTINGS, "combined").clean(dirty_listings(spark, sf_dir)).select(*COLUMNS)
+    return Cleaner(LISTINGS, "combined").clean(once(dirty_listings(spark, sf_dir))).select(*COLUMNS)
 
 
 @query(
@@ -88,7 +89,7 @@ select (select count(*) from d) as rows_in, count(*) as rows_distinct,
    /(select count(*) from d)*100,4) as removed_pct from j""",
 )
 def cl0_clean_report(spark, sf_dir):
-    df = dirty_listings(spark, sf_dir)
+    df = once(dirty_listings(spark, sf_dir))
     return Cleaner(LISTINGS, "iqr").fit(df).report(df)
 
 
@@ -107,7 +108,7 @@ def cl1_dedupe(spark, sf_dir):
     ),
 )
 def cl2_fit_statistics(spark, sf_dir):
-    found = cleaning.fit_statistics(dirty_listings(spark, sf_dir), OUTLIER_COLUMNS)
+    found = cleaning.fit_statistics(once(dirty_listings(spark, sf_dir), *OUTLIER_COLUMNS), OUTLIER_COLUMNS)
     table = cleaning.statistics_table(spark, found)
     return table.select("column", *[F.round(c, 4).alias(c) for c in ("mean", "std", "q25", "q75", "iqr")])
 
@@ -124,7 +125,7 @@ NUMBER_FILLS = """select listing_id, coalesce(price,(select quantile_cont(price,
 
 @query("cl4_impute_numbers", f"{D} {NUMBER_FILLS}")
 def cl4_impute_numbers(spark, sf_dir):
-    df = dirty_listings(spark, sf_dir).select("listing_id", "price", "km")
+    df = once(dirty_listings(spark, sf_dir), "listing_id", "price", "km")
     return cleaning.impute(df, cleaning.fit_imputation(df))
 
 
@@ -134,7 +135,7 @@ def cl4_impute_numbers(spark, sf_dir):
  order by count(*) desc, model limit 1)) as model, color from d""",
 )
 def cl5_impute_text(spark, sf_dir):
-    df = dirty_listings(spark, sf_dir).select("listing_id", "model", "color")
+    df = once(dirty_listings(spark, sf_dir), "listing_id", "model", "color")
     return cleaning.impute(df, cleaning.fit_imputation(df))
 
 
@@ -169,7 +170,7 @@ def _outlier_query(name, method):
 
     @query(name, text)
     def run(spark, sf_dir):
-        df = dirty_listings(spark, sf_dir).select(*KEYS)
+        df = once(dirty_listings(spark, sf_dir), *KEYS)
         model = Cleaner(LISTINGS, method).fit(df)
         return df.where(~cleaning.any_of(model.masks(df).values()))
 
@@ -231,6 +232,6 @@ REASONS = [
     + ") as reasons from x cross join st",
 )
 def cl15_quarantine(spark, sf_dir):
-    df = dirty_listings(spark, sf_dir)
+    df = once(dirty_listings(spark, sf_dir))
     judged = Cleaner(LISTINGS, "iqr").fit(df).quarantine(df)
     return judged.select("listing_id", F.array_join("reasons", ";").alias("reasons"))

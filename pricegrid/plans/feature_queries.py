@@ -15,6 +15,7 @@ from pricegrid.plans.catalog import Catalog
 from pricegrid.plans.flagship import valid_listings
 from pricegrid.plans.table_queries import SPLIT_SQL
 from pricegrid.schema import LISTINGS
+from pricegrid.session import once
 from pricegrid.sources.listings import listings, table
 
 catalog = Catalog()
@@ -22,9 +23,9 @@ query = catalog.add
 L = sql.WITH_L
 
 
-def split_listings(spark, sf_dir):
-    """Valid listings with the seeded split label."""
-    rows = valid_listings(spark, sf_dir)
+def split_listings(spark, sf_dir, *columns):
+    """Valid listings (the given columns) with the seeded split label."""
+    rows = once(valid_listings(spark, sf_dir), *columns)
     return Splitter().fit(rows).transform(rows)
 
 
@@ -85,7 +86,7 @@ ENCODE_SQL = SPLIT_SQL + ", tr as (select * from sp where split='train'), " + ",
     + ", ".join(f"round({c}_encoded+1e-8,6) as {c}_encoded" for c in ENCODED) + " from en",
 )
 def fe3_target_means(spark, sf_dir):
-    df = split_listings(spark, sf_dir)
+    df = split_listings(spark, sf_dir, "listing_id", "price", *ENCODED)
     out = fe.TargetMeanEncoder(ENCODED).fit(train_rows(df)).transform(df)
     return out.select("listing_id", "split", *[tidy_mean(f"{c}_encoded").alias(f"{c}_encoded") for c in ENCODED])
 
@@ -97,7 +98,7 @@ select listing_id, round(coalesce(e.e,(select avg(e) from e))+1e-8,6) as city_en
  from sp left join e using (city) where split='test'""",
 )
 def fe3_unseen_category(spark, sf_dir):
-    df = split_listings(spark, sf_dir).select("listing_id", "split", "city", "price", "doors", "km")
+    df = split_listings(spark, sf_dir, "listing_id", "city", "price", "doors", "km")
     fitted = fe.TargetMeanEncoder(["city"]).fit(train_rows(df).where("doors < 4 and km < 40000"))
     out = fitted.transform(df.where("split = 'test'"))
     return out.select("listing_id", tidy_mean("city_encoded").alias("city_encoded"))
@@ -115,7 +116,7 @@ ONE_HOT_SQL = ", ".join(
 
 @query("fe4_indicators", f"{L} select listing_id, {ONE_HOT_SQL} from l")
 def fe4_indicators(spark, sf_dir):
-    df = listings(spark, sf_dir).select("listing_id", *ONE_HOT)
+    df = once(listings(spark, sf_dir), "listing_id", *ONE_HOT)
     return fe.IndicatorEncoder(list(ONE_HOT)).fit(df).transform(df)
 
 
@@ -138,7 +139,7 @@ def _scale_sql(center, spread):
 
 
 def _scaled(spark, sf_dir, method):
-    df = split_listings(spark, sf_dir)
+    df = split_listings(spark, sf_dir, "listing_id", *SCALED)
     out = fe.Scaler(SCALED, method).fit(train_rows(df)).transform(df)
     return out.select("listing_id", *[F.round(c, 8).alias(c) for c in SCALED])
 
@@ -171,7 +172,7 @@ select listing_id, round(coalesce(b.f,0),8) as brand_frequency, round(coalesce(m
  from sp left join b using (brand) left join m using (model)""",
 )
 def fe9_frequency(spark, sf_dir):
-    df = split_listings(spark, sf_dir)
+    df = split_listings(spark, sf_dir, "listing_id", "brand", "model")
     out = fe.FrequencyEncoder(["brand", "model"]).fit(train_rows(df)).transform(df)
     return out.select(
         "listing_id", *[F.round(f"{c}_frequency", 8).alias(f"{c}_frequency") for c in ("brand", "model")]
@@ -229,7 +230,7 @@ select listing_id, cast({_bin_case('price')} as int) as price_bin, cast({_bin_ca
  cast({_bin_case('km')} as int) as km_bin from sp cross join ed""",
 )
 def fe13_quantile_bins(spark, sf_dir):
-    df = split_listings(spark, sf_dir)
+    df = split_listings(spark, sf_dir, "listing_id", "price", "age_years", "km")
     out = fe.QuantileBinner().fit(train_rows(df)).transform(df)
     return out.select("listing_id", "price_bin", "age_bin", "km_bin")
 
@@ -241,7 +242,7 @@ select listing_id, city, case when n>1000 then 'Large' when n>100 then 'Medium'
  from sp left join n using (city)""",
 )
 def fe14_city_size(spark, sf_dir):
-    df = split_listings(spark, sf_dir)
+    df = split_listings(spark, sf_dir, "listing_id", "city")
     out = fe.SizeLabeler().fit(train_rows(df)).transform(df)
     return out.select("listing_id", "city", "city_size")
 
@@ -253,7 +254,7 @@ select listing_id, city, case when n>1000 then 'Large' when n>100 then 'Medium'
  from c join n using (city)""",
 )
 def fe14_city_size_per_batch(spark, sf_dir):
-    df = valid_listings(spark, sf_dir)
+    df = once(valid_listings(spark, sf_dir), "listing_id", "city")
     out = fe.SizeLabeler(per_batch=True).fit(df).transform(df)
     return out.select("listing_id", "city", "city_size")
 

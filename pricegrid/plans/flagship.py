@@ -9,6 +9,7 @@ from pricegrid.operators.features import TargetMeanEncoder
 from pricegrid.operators.splitting import Splitter
 from pricegrid.plans import sql
 from pricegrid.plans.catalog import Catalog
+from pricegrid.session import once
 from pricegrid.sources.listings import listings
 
 SPLIT_COLUMNS = ["listing_id", "brand", "region", "price"]
@@ -27,7 +28,7 @@ def valid_listings(spark, sf_dir):
 
 
 def flagship(spark, sf_dir):
-    rows = valid_listings(spark, sf_dir).select(*SPLIT_COLUMNS)
+    rows = once(valid_listings(spark, sf_dir), *SPLIT_COLUMNS)
     labelled = Splitter(seed=None).fit(rows).transform(rows)
     encoder = TargetMeanEncoder(["brand"]).fit(labelled.where(F.col("split") == "train"))
     scored = encoder.transform(labelled.where(F.col("split") == "test"))

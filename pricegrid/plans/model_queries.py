@@ -19,7 +19,7 @@ from pricegrid.plans.catalog import Catalog
 from pricegrid.plans.feature_queries import full_features, split_listings, train_rows
 from pricegrid.plans.table_queries import SPLIT_SQL, range_sql_case
 from pricegrid.schema import LISTINGS
-from pricegrid.session import shared_dir, stage
+from pricegrid.session import once, shared_dir, stage
 from pricegrid.sources.listings import dirty_listings, listings, table
 
 catalog = Catalog()
@@ -43,7 +43,7 @@ for _word, _sql in (("mean", "avg(price)"), ("median", "quantile_cont(price,0.5)
 select split, round(max(yhat),4) as prediction, {sql.metrics_sql('price', 'yhat')} from sp cross join m group by split""",
     )
     def _baseline(spark, sf_dir, statistic=_word):
-        df = split_listings(spark, sf_dir).select("split", "price", F.col("price").alias("label"))
+        df = split_listings(spark, sf_dir, "listing_id", "price").withColumn("label", F.col("price"))
         model = training.ConstantRegressor(statistic).fit(train_rows(df))
         scored = model.transform(df)
         value = scored.groupBy("split").agg(F.round(F.max("prediction"), 4).alias("prediction"))
@@ -61,7 +61,7 @@ def _coefficients(spark, name, model):
 
 
 def _one_feature(spark, sf_dir):
-    df = train_rows(split_listings(spark, sf_dir)).select("engine_size", "price")
+    df = train_rows(split_listings(spark, sf_dir, "listing_id", "engine_size", "price"))
     return numeric_frame(df, ["engine_size"]).select("features", "label")
 
 
@@ -410,11 +410,11 @@ def brand_model(train):
     return Pipeline(stages=stages).fit(train)
 
 
-SLIM = ["listing_id", "split", "brand", "region", "price"]
+SLIM = ["listing_id", "brand", "region", "price"]
 
 
 def saved_brand_model(spark, sf_dir):
-    df = split_listings(spark, sf_dir).select(*SLIM)
+    df = split_listings(spark, sf_dir, *SLIM)
     store = rg.Registry(spark, shared_dir(spark, "registry"))
     model = brand_model(train_rows(df).select("listing_id", "brand", "price"))
     scored = ev.metrics(model.transform(_split(df, "test")), "price", "prediction").first()
@@ -511,7 +511,7 @@ REQUEST_RANGES = {
 
 def requests(spark, sf_dir):
     """Damaged listings as requests; some leave out the optional fields."""
-    df = dirty_listings(spark, sf_dir)
+    df = once(dirty_listings(spark, sf_dir))
     open_ = F.col("doors") == 3
     return df.select(
         "listing_id",
@@ -575,8 +575,7 @@ select listing_id, round(coalesce(e,(select avg(e) from bm)),2) as prediction, '
 
 @query("sc3_batch_scores", SCORED)
 def sc3_batch_scores(spark, sf_dir):
-    df = split_listings(spark, sf_dir)
-    model = request_model(df)
+    model = request_model(split_listings(spark, sf_dir, "listing_id", "brand", "price"))
     valid, _ = scoring.valid_and_rejected(requests(spark, sf_dir), request_config(spark, sf_dir), REQUEST_RANGES)
     return _scores(scoring.score(valid, model, "brand_line", "v1.0.0"))
 

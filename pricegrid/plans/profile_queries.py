@@ -12,6 +12,7 @@ from pricegrid.operators import correlation, profiling, projection
 from pricegrid.plans import sql
 from pricegrid.plans.catalog import Catalog
 from pricegrid.plans.table_queries import CATEGORY_SQL, range_sql_case
+from pricegrid.session import once
 from pricegrid.sources.listings import dirty_listings, listings, table
 
 catalog = Catalog()
@@ -44,7 +45,7 @@ def _describe_sql(c, source):
 
 @query("ed3_describe_numeric", f"{D} {sql.union(_describe_sql(c, 'd') for c in sql.NUMERIC)}")
 def ed3_describe_numeric(spark, sf_dir):
-    return profiling.describe_numeric(dirty_listings(spark, sf_dir), sql.NUMERIC)
+    return profiling.describe_numeric(once(dirty_listings(spark, sf_dir), *sql.NUMERIC), sql.NUMERIC)
 
 
 @query(
@@ -123,12 +124,12 @@ select cast(least(floor((x-lo)/w),{n - 1}) as bigint) as bin,
 
 @query("ed9_histogram", _histogram_sql("price", 100))
 def ed9_histogram(spark, sf_dir):
-    return profiling.histogram(listings(spark, sf_dir), "price", 100)
+    return profiling.histogram(once(listings(spark, sf_dir), "price"), "price", 100)
 
 
 @query("ed9_histogram_log", _histogram_sql("ln(1+price)", 50))
 def ed9_histogram_log(spark, sf_dir):
-    return profiling.histogram(listings(spark, sf_dir), "price", 50, log=True)
+    return profiling.histogram(once(listings(spark, sf_dir), "price"), "price", 50, log=True)
 
 
 def _box_sql(source, x, by=""):
@@ -146,17 +147,17 @@ select {group}count(*) as count, round(max(q1),4) as q1, round(max(q2),4) as med
 
 @query("ed10_box_stats", f"{L}, {_box_sql('l', 'price')}")
 def ed10_box_stats(spark, sf_dir):
-    return profiling.box_stats(listings(spark, sf_dir), "price")
+    return profiling.box_stats(once(listings(spark, sf_dir), "price"), "price")
 
 
 @query("ed10_box_stats_log", f"{L}, {_box_sql('l', 'ln(1+price)')}")
 def ed10_box_stats_log(spark, sf_dir):
-    return profiling.box_stats(listings(spark, sf_dir), "price", log=True)
+    return profiling.box_stats(once(listings(spark, sf_dir), "price"), "price", log=True)
 
 
 @query("ed10_box_stats_by_state", f"{L}, {_box_sql('l', 'price', 'state')}")
 def ed10_box_stats_by_state(spark, sf_dir):
-    return profiling.box_stats(listings(spark, sf_dir), "price", ["state"])
+    return profiling.box_stats(once(listings(spark, sf_dir), "price", "state"), "price", ["state"])
 
 
 def _moments(c):
@@ -184,7 +185,7 @@ select round(max(a),4) as q1, round(max(b),4) as q3, round(max(lo),4) as lower,
  max(price) filter (where price<lo or price>hi) as max_outlier from d cross join f""",
 )
 def ed12_iqr_outliers(spark, sf_dir):
-    return profiling.iqr_outliers(dirty_listings(spark, sf_dir), "price")
+    return profiling.iqr_outliers(once(dirty_listings(spark, sf_dir), "price"), "price")
 
 
 @query(
@@ -196,7 +197,7 @@ select round(max(m),4) as mean, round(max(s),4) as std, count(*) filter (where a
  max(price) filter (where abs((price-m)/s)>3) as max_outlier from d cross join s""",
 )
 def ed13_z_outliers(spark, sf_dir):
-    return profiling.z_outliers(dirty_listings(spark, sf_dir), "price")
+    return profiling.z_outliers(once(dirty_listings(spark, sf_dir), "price"), "price")
 
 
 @query(
@@ -221,7 +222,7 @@ for _by in ("year_of_reference", "brand", "state"):
 
     @query(f"ed15_stats_by_{_by}", f"{D} select {_by}, {_stats('price')} from d where {_by} is not null group by 1")
     def _stats_by(spark, sf_dir, by=_by):
-        return profiling.group_stats(dirty_listings(spark, sf_dir), by, "price")
+        return profiling.group_stats(once(dirty_listings(spark, sf_dir), by, "price"), by, "price")
 
 
 for _word, _direction in (("top", "desc"), ("bottom", "asc")):
@@ -232,7 +233,7 @@ for _word, _direction in (("top", "desc"), ("bottom", "asc")):
 select * from g order by mean {_direction}, city limit 20""",
     )
     def _ranked(spark, sf_dir, ascending=_direction == "asc"):
-        stats = profiling.group_stats(listings(spark, sf_dir), "city", "price")
+        stats = profiling.group_stats(once(listings(spark, sf_dir), "city", "price"), "city", "price")
         return profiling.top_groups(stats, "mean", 20, "city", ascending)
 
 
@@ -242,7 +243,8 @@ select * from g order by mean {_direction}, city limit 20""",
 select model, {_stats('price')} from l where model in (select model from t) group by 1""",
 )
 def ed17_frequent_models(spark, sf_dir):
-    return profiling.group_stats(profiling.only_frequent(listings(spark, sf_dir), "model", 30), "model", "price")
+    df = once(listings(spark, sf_dir), "model", "price")
+    return profiling.group_stats(profiling.only_frequent(df, "model", 30), "model", "price")
 
 
 @query(
@@ -341,7 +343,7 @@ def ed24_ordered_counts(spark, sf_dir):
  (select count(*) from l group by year order by 1 desc limit 1) as common_count from l group by 1""",
 )
 def ed25_year_by_reference(spark, sf_dir):
-    df = listings(spark, sf_dir)
+    df = once(listings(spark, sf_dir), "year", "year_of_reference")
     common = profiling.most_frequent(df, "year", 1).select(
         F.col("year").alias("common_year"), F.col("count").alias("common_count")
     )
@@ -357,7 +359,7 @@ def _bin_sql(column, value, width, low, high, having=""):
 
 @query("ed26_age_bins", _bin_sql("age_years", "km", 5, 0, 40))
 def ed26_age_bins(spark, sf_dir):
-    return profiling.binned_stats(listings(spark, sf_dir), "age_years", "km", 5, 0, 40)
+    return profiling.binned_stats(once(listings(spark, sf_dir), "age_years", "km"), "age_years", "km", 5, 0, 40)
 
 
 @query(
@@ -377,7 +379,7 @@ for _by, _value in (
         f"{L} select {_by}, {_stats(_value, ('mean', 'median', 'std'))} from l group by 1",
     )
     def _feature_stats(spark, sf_dir, by=_by, value=_value):
-        return profiling.group_stats(listings(spark, sf_dir), by, value, ("mean", "median", "std"))
+        return profiling.group_stats(once(listings(spark, sf_dir), by, value), by, value, ("mean", "median", "std"))
 
 
 for _column, _n in (("engine_size", 10), ("doors", 100)):
@@ -429,7 +431,7 @@ RANKS = "k as (select " + ", ".join(
     ),
 )
 def ed31_spearman_pairs(spark, sf_dir):
-    pairs = correlation.spearman_pairs(listings(spark, sf_dir), CORR)
+    pairs = correlation.spearman_pairs(once(listings(spark, sf_dir), *CORR), CORR)
     return pairs.select("a", "b", F.round("r", 6).alias("r"))
 
 
@@ -441,7 +443,7 @@ def ed31_spearman_pairs(spark, sf_dir):
 )
 def ed31_target_rank_correlations(spark, sf_dir):
     columns = ["km", "year", "engine_size", "age_years"]
-    return correlation.target_rank_correlations(listings(spark, sf_dir), "price", columns)
+    return correlation.target_rank_correlations(once(listings(spark, sf_dir), "price", *columns), "price", columns)
 
 
 for _x in ("age_years", "km"):
@@ -453,13 +455,13 @@ select '{_x}' as x, 'price' as y, n, round(r,6) as pearson, round(r*sqrt((n-2)/(
  round((select corr({_x},price) from k),6) as spearman from c""",
     )
     def _corr_test(spark, sf_dir, x=_x):
-        found = correlation.correlation_test(listings(spark, sf_dir), x, "price")
+        found = correlation.correlation_test(once(listings(spark, sf_dir), x, "price"), x, "price")
         return found.select("x", "y", "n", "pearson", "t", "spearman")
 
 
 @query("ed33_km_bins", _bin_sql("km", "price", 50000, 0, 600000, "having count(price)>100"))
 def ed33_km_bins(spark, sf_dir):
-    return profiling.binned_stats(listings(spark, sf_dir), "km", "price", 50000, 0, 600000, 100)
+    return profiling.binned_stats(once(listings(spark, sf_dir), "km", "price"), "km", "price", 50000, 0, 600000, 100)
 
 
 for _column, (_edges, _labels) in {"age_years": profiling.AGE_RANGES, "km": profiling.KM_RANGES}.items():
@@ -467,7 +469,7 @@ for _column, (_edges, _labels) in {"age_years": profiling.AGE_RANGES, "km": prof
 
     @query(f"ed34_{_column}_range_box", f"{L}, {_source}, {_box_sql('s', 'price', 'range')}")
     def _range_box(spark, sf_dir, column=_column, edges=_edges, labels=_labels):
-        return profiling.range_box_stats(listings(spark, sf_dir), column, "price", edges, labels)
+        return profiling.range_box_stats(once(listings(spark, sf_dir), column, "price"), column, "price", edges, labels)
 
 
 for _by, _least, _n in (("brand", 100, 20), ("model", 50, 30)):
@@ -478,7 +480,7 @@ for _by, _least, _n in (("brand", 100, 20), ("model", 50, 30)):
 select * from g order by mean desc, {_by} limit {_n}""",
     )
     def _having(spark, sf_dir, by=_by, least=_least, n=_n):
-        stats = profiling.group_stats(listings(spark, sf_dir), by, "price")
+        stats = profiling.group_stats(once(listings(spark, sf_dir), by, "price"), by, "price")
         return profiling.top_groups(stats.where(F.col("count") >= least), "mean", n, by)
 
 
@@ -501,7 +503,7 @@ def ed35_mean_of_means(spark, sf_dir):
 select brand, year, round(avg(price),4) as mean_price from l where brand in (select brand from t) group by 1,2""",
 )
 def ed36_brand_by_year(spark, sf_dir):
-    top = profiling.only_frequent(listings(spark, sf_dir), "brand", 10)
+    top = profiling.only_frequent(once(listings(spark, sf_dir), "brand", "year", "price"), "brand", 10)
     return top.groupBy("brand", "year").agg(F.round(F.avg("price"), 4).alias("mean_price"))
 
 
@@ -542,7 +544,7 @@ select fuel_type, case when e<=lo+(hi-lo)*1/5 then 0 when e<=lo+(hi-lo)*2/5 then
  when e<=lo+(hi-lo)*4/5 then 3 else 4 end as engine_bin, round(avg(price),4) as mean_price from s group by 1,2""",
 )
 def ed36_fuel_by_engine(spark, sf_dir):
-    df = listings(spark, sf_dir)
+    df = once(listings(spark, sf_dir), "engine_size", "fuel_type", "price")
     low, high = df.agg(F.min("engine_size"), F.max("engine_size")).first()
     label = bins.right_closed(F.col("engine_size"), bins.equal_width_edges(low, high, 5))
     return df.groupBy("fuel_type", label.alias("engine_bin")).agg(

@@ -10,6 +10,7 @@ from pricegrid.plans import sql
 from pricegrid.plans.catalog import Catalog
 from pricegrid.plans.cleaning_queries import full_clean_sql
 from pricegrid.schema import CANONICAL_SCHEMA, LISTINGS
+from pricegrid.session import once
 from pricegrid.sources.listings import dirty_listings, listings, table
 
 catalog = Catalog()
@@ -157,7 +158,7 @@ select 'before' as stage, * from b union all select 'after', * from a""",
 )
 def va15_before_after(spark, sf_dir):
     columns = [f.name for f in CANONICAL_SCHEMA]
-    before = dirty_listings(spark, sf_dir)
+    before = once(dirty_listings(spark, sf_dir))
     after = Cleaner(LISTINGS, "iqr").clean(before)
     stages = {"before": before.select(*columns), "after": after.select(*columns)}
     return validation.validate_stages(stages, LISTINGS).select("stage", *ISSUE)
@@ -259,7 +260,7 @@ def _outlier_sql(c):
 
 @query("dq5_outlier_summary", f"{D} {sql.union(_outlier_sql(c) for c in DQ5_COLUMNS)}")
 def dq5_outlier_summary(spark, sf_dir):
-    return quality.outlier_summary(dirty_listings(spark, sf_dir))
+    return quality.outlier_summary(once(dirty_listings(spark, sf_dir), *DQ5_COLUMNS))
 
 
 DQ6_COLUMNS = ["brand", "model", "state", "city", "fuel_type", "transmission", "color", "condition"]
@@ -334,7 +335,7 @@ REPORT = f"""{D}, mi as ({sql.union(_missing_sql(c) for c in sql.LISTING_COLUMNS
 
 @query("dq9_quality_report", f"{REPORT} select * from rep")
 def dq9_quality_report(spark, sf_dir):
-    df = dirty_listings(spark, sf_dir)
+    df = once(dirty_listings(spark, sf_dir))
     return quality.quality_report(df, LISTINGS, DQ6_COLUMNS, reference_years=YEARS)
 
 

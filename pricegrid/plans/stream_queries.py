@@ -24,7 +24,7 @@ def run_scoring(spark, sf_dir):
     base = shared_dir(spark, "scoring")
     rows = mq.requests(spark, sf_dir)
     rows.write.json(f"{base}/in")
-    model = mq.request_model(split_listings(spark, sf_dir))
+    model = mq.request_model(split_listings(spark, sf_dir, "listing_id", "brand", "price"))
     stream = scoring.request_stream(spark, f"{base}/in", rows.schema, files_per_batch=4)
     scoring.score_stream(
         stream, model, "brand_line", "v1.0.0", f"{base}/out", f"{base}/checkpoint",

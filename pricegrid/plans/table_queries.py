@@ -12,7 +12,7 @@ from pricegrid.plans import sql
 from pricegrid.plans.catalog import Catalog
 from pricegrid.plans.flagship import valid_listings
 from pricegrid.schema import CANONICAL_SCHEMA, LISTINGS
-from pricegrid.session import shared_dir
+from pricegrid.session import once, shared_dir
 from pricegrid.sources import sinks
 from pricegrid.sources.listings import dirty_listings, listings, raw_listings
 from pricegrid.sources.tables import combine, read_all, read_listings, sample_rows
@@ -85,7 +85,7 @@ def io3_union_by_name(spark, sf_dir):
 
 
 def _split_rows(spark, sf_dir):
-    rows = valid_listings(spark, sf_dir).select("listing_id", "brand", "price", "year_of_reference")
+    rows = once(valid_listings(spark, sf_dir), "listing_id", "brand", "price", "year_of_reference")
     return Splitter().fit(rows).transform(rows)
 
 
@@ -166,7 +166,7 @@ def io7_run_manifest(spark, sf_dir):
     f"{L} select listing_id, brand, price from l order by {BY_HASH} limit 1000",
 )
 def io8_seeded_sample(spark, sf_dir):
-    return sample_rows(listings(spark, sf_dir).select("listing_id", "brand", "price"), 1000)
+    return sample_rows(once(listings(spark, sf_dir), "listing_id", "brand", "price"), 1000)
 
 
 # -- projections --------------------------------------------------------------------
@@ -267,7 +267,7 @@ def pr8_price_category(spark, sf_dir):
 
 @query("sp2_random_split", f"{L}, {sql.split_ctes('l', BY_HASH)} select listing_id, split from sp")
 def sp2_random_split(spark, sf_dir):
-    rows = listings(spark, sf_dir).select("listing_id")
+    rows = once(listings(spark, sf_dir), "listing_id")
     return Splitter().fit(rows).transform(rows)
 
 
@@ -286,7 +286,7 @@ select listing_id, price, case when rn<=floor(n*0.7e0) then 'train'
  when rn<=floor(n*0.7e0)+floor(n*0.15e0) then 'val' else 'test' end as split from r""",
 )
 def sp3_stratified_split(spark, sf_dir):
-    rows = listings(spark, sf_dir).select("listing_id", "price")
+    rows = once(listings(spark, sf_dir), "listing_id", "price")
     return Splitter(method="stratified").fit(rows).transform(rows)
 
 
@@ -299,7 +299,7 @@ TIME_ORDER = f"year_of_reference, {BY_HASH}"
 select listing_id, year_of_reference, split from sp""",
 )
 def sp5_time_split(spark, sf_dir):
-    rows = listings(spark, sf_dir).select("listing_id", "year_of_reference")
+    rows = once(listings(spark, sf_dir), "listing_id", "year_of_reference")
     return Splitter(method="time").fit(rows).transform(rows)
 
 

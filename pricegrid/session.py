@@ -54,3 +54,9 @@ def stage(df, name):
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def once(df, *columns):
+    """The given columns (or all), written once because an operator reads them
+    several times: later passes scan a slim table instead of repeating joins."""
+    return stage(df.select(*columns) if columns else df, "input")
