@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,10 +13,10 @@ from pricegrid.functions import bins
 from pricegrid.functions.hashing import split_key
 from pricegrid.functions.predicates import known, outside
 from pricegrid.operators.features import numeric_columns, quoted, string_columns
+from pricegrid.operators.lookup import HOT_SHARE, lookup
 from pricegrid.operators.order import quantile_values, quantiles, small_domain
 from pricegrid.operators.quality import per_column
-
-SALTS = 64
+from pricegrid.session import stage
 
 
 # -- shape and description -----------------------------------------------------
@@ -409,23 +411,35 @@ def pivot_means(df: DataFrame, rows, columns, value, values, min_count=0) -> Dat
 def sample_per_group(df: DataFrame, by, n, key="listing_id", seed=42) -> DataFrame:
     """At most n rows per group, those with the smallest seeded key hash.
 
-    Each group is cut in salted parts first, so a hot group is spread over
-    several tasks and only n rows per part meet for the final cut.
+    Only rows whose hash is below a limit can be among the n smallest, and the
+    group's size tells where that limit lies. The limit is set with a margin
+    and the rows below it are counted: should a group have too few, the limit
+    is raised. So a hot group loses all but about n rows before any shuffle.
     """
     order = split_key(F.col(key), seed)
-    salted = df.withColumn("_order", order).withColumn(
-        "_salt", F.pmod(F.xxhash64(key), F.lit(SALTS))
-    )
-    ordered = [F.col("_order"), F.col(key)]
-    part = Window.partitionBy(by, "_salt").orderBy(*ordered)
-    whole = Window.partitionBy(by).orderBy(*ordered)
-    return (
-        salted.withColumn("_rank", F.row_number().over(part))
-        .where(F.col("_rank") <= n)
-        .withColumn("_rank", F.row_number().over(whole))
-        .where(F.col("_rank") <= n)
-        .drop("_order", "_salt", "_rank")
+    group = F.col(by).cast("string")
+    place = F.conv(F.substring(order, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+    rows = df.where(F.col(by).isNotNull())
+    sizes = stage(
+        rows.groupBy(group.alias("value")).agg(F.count(F.lit(1)).alias("n")), "group-sizes"
     )
+    facts = sizes.agg(F.count(F.lit(1)).alias("groups"), F.sum("n").alias("rows")).first()
+    if not facts.groups:
+        return rows
+    hot, wanted = F.col("n") >= HOT_SHARE * facts.rows, n + 6 * math.sqrt(n) + 20
+    while True:
+        limits = sizes.withColumn("limit", F.lit(float(wanted)) / F.col("n"))
+        near = lookup(rows, limits, group, {"limit": "_limit"}, facts.groups, hot)
+        near = near.where(place <= F.col("_limit")).drop("_limit")
+        found = near.groupBy(group.alias("value")).agg(F.count(F.lit(1)).alias("found"))
+        short = sizes.join(found, "value", "left").where(
+            F.coalesce("found", F.lit(0)) < F.least(F.col("n"), F.lit(n))
+        )
+        if short.isEmpty():
+            break
+        wanted *= 4
+    ranked = F.row_number().over(Window.partitionBy(by).orderBy(order, key))
+    return near.withColumn("_rank", ranked).where(F.col("_rank") <= n).drop("_rank")
 
 
 def km_per_year(df: DataFrame) -> DataFrame:

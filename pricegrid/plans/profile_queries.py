@@ -568,7 +568,7 @@ def ed36_year_by_transmission(spark, sf_dir):
  qualify row_number() over (partition by condition order by md5(listing_id||'|42'))<=5000""",
 )
 def ed37_sample_per_group(spark, sf_dir):
-    df = listings(spark, sf_dir).select("listing_id", "condition", "age_years", "price")
+    df = once(listings(spark, sf_dir), "listing_id", "condition", "age_years", "price")
     return profiling.sample_per_group(df, "condition", 5000)
 
 

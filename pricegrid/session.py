@@ -14,8 +14,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even when that costs one more shuffle afterwards.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Let "first n per group" cut each map task to n rows before the shuffle.
-    "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
