@@ -85,7 +85,14 @@ def _prefix_counts(base, depth, prefixes):
 
 
 def _has_prefix(prefixes):
-    return any_of((F.col("s") == F.lit(s)) & F.col("k").startswith(p) for s, p in prefixes)
+    """Membership in the open prefixes, as one set lookup per prefix length."""
+    by_length: dict = {}
+    for s, p in prefixes:
+        by_length.setdefault(len(p), []).append(f"{s}|{p}")
+    return any_of(
+        F.concat_ws("|", F.col("s").cast("string"), F.substring("k", 1, n)).isin(names)
+        for n, names in by_length.items()
+    )
 
 
 def _step(hist, stratum, prefix, rank):

@@ -31,23 +31,31 @@ class SplitModel:
     column: str | None = None
     edges: tuple = ()
 
-    def label(self):
-        """Expression giving train, val or test; null for rows in no stratum."""
-        key = split_key(F.col(self.key), self.seed)
+    def transform(self, df: DataFrame, split_col="split") -> DataFrame:
+        """Label every row train, val or test.
+
+        The stratified split leaves out rows that fall in no bin. Hash and bin
+        are columns of their own, so each is worked out once per row.
+        """
+        new = {"_key": split_key(F.col(self.key), self.seed)}
+        if self.method == "stratified":
+            new["_bin"] = right_closed(F.col(self.column), list(self.edges), include_lowest=True)
+        out = df.withColumns(new)
+        out = out.where(F.col("_bin").isNotNull()) if self.method == "stratified" else out
+        return out.withColumn(split_col, self._label()).drop(*new)
+
+    def _label(self):
+        key = F.col("_key")
         if self.method == "time":
             return self._time_label(key)
         if self.method == "random":
             _, train, val = self.cuts.get(0, (0, None, None))
             return _by_key(key, train, val)
-        bins = right_closed(F.col(self.column), list(self.edges), include_lowest=True)
-        chain = None
+        # A bin that the fitted rows did not have goes to test.
+        chain = F.when(F.lit(False), "test")
         for stratum, (_, train, val) in sorted(self.cuts.items()):
-            label = _by_key(key, train, val)
-            hit = bins == stratum
-            chain = F.when(hit, label) if chain is None else chain.when(hit, label)
-        if chain is None:
-            return F.lit(None).cast("string")
-        return chain.otherwise(F.when(bins.isNotNull(), "test"))
+            chain = chain.when(F.col("_bin") == stratum, _by_key(key, train, val))
+        return chain.otherwise("test")
 
     def _time_label(self, key):
         order = F.col(self.column)
@@ -60,11 +68,6 @@ class SplitModel:
                 upto.append(F.coalesce((order < value) | inside, F.lit(False)))
         return F.when(upto[0], "train").when(upto[1], "val").otherwise("test")
 
-    def transform(self, df: DataFrame, split_col="split") -> DataFrame:
-        """Label every row; the stratified split leaves out rows in no bin."""
-        out = df.withColumn(split_col, self.label())
-        return out.where(F.col(split_col).isNotNull()) if self.method == "stratified" else out
-
 
 def _by_key(key, train, val):
     """None as a cut means that no row falls below it."""

@@ -63,7 +63,7 @@ def dirty_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listings with damage picked by the key hash, for the quality operators."""
     df = listings(spark, sf_dir)
     pick = F.conv(F.substring("listing_id", 1, 4), 16, 10).cast("int") % 50
-    hit = {n: pick == n for n in range(10)}
+    hit = {n: F.col("_pick") == n for n in range(10)}
     damaged = df.withColumn("_pick", pick).withColumns(
         {
             "brand": F.when(hit[2], F.concat(F.lit("  "), F.lower("brand"), F.lit("  "))).otherwise(
