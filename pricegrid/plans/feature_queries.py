@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from pricegrid.operators import feature_selection as selection
 from pricegrid.operators import features as fe
-from pricegrid.operators.order import quantile_values
 from pricegrid.operators.splitting import Splitter
 from pricegrid.plans import sql
 from pricegrid.plans.catalog import Catalog
