@@ -249,7 +249,7 @@ def encode_documents(docs, path, ranks_path=None, pattern=None, text="text", che
     settings = (path, ranks_path, pattern)
     known = docs.sparkSession.sparkContext.broadcast(shared_chunks(docs, settings, text))
     own = docs.drop("token_ids", "decoded")
-    schema = own.schema.add("token_ids", "array<int>").add("decoded", "string")
+    schema = own.select("*").schema.add("token_ids", "array<int>").add("decoded", "string")
 
     def run(batches):
         coder = codec(settings)

@@ -103,7 +103,7 @@ def links(classes, threshold=0.9, sample=SAMPLE, block=BLOCK):
                 d = np.linalg.norm(x - tree.value[centre], axis=1)
                 yield batch.assign(node=centre * 64 + np.searchsorted(shells, d), d=d)
 
-    kind = classes.schema.add("node", "long").add("d", "double")
+    kind = classes.select("*").schema.add("node", "long").add("d", "double")
     placed = stage(classes.mapInPandas(descend, kind), "cover-nodes")
     nodes = placed.groupBy("node").agg(
         F.count("*").alias("n"), F.sum("weight").alias("w"), F.max("d").alias("r"), F.min("id").alias("low")

@@ -36,16 +36,16 @@ with line as (
 ), filled as (
   select *, string_split(norm, ' ') as w from worded where norm <> ''
 ), firsts as (
-  select norm, any_value(w) as w, min(struct_pack(d := doc_id, p := pos)) as at from filled group by norm
+  select norm, any_value(w) as w, min(struct_pack(d := doc_id, p := pos)) as place from filled group by norm
 ), variant as (
-  select norm, w, at, k, array_to_string(list_concat(w[1:k-1], w[k+1:len(w)]), ' ') as v
+  select norm, w, place, k, array_to_string(list_concat(w[1:k-1], w[k+1:len(w)]), ' ') as v
   from (select *, unnest(range(1, len(w) + 1)) as k from firsts where len(w) >= 8)
 ), near as (
-  select a.norm from variant a join variant b on a.v = b.v and a.k = b.k and len(a.w) = len(b.w) and b.at < a.at
-  union select a.norm from variant a join firsts b on a.v = b.norm and len(b.w) >= 8 and b.at < a.at
-  union select a.norm from firsts a join variant b on b.v = a.norm and len(a.w) >= 8 and b.at < a.at
+  select a.norm from variant a join variant b on a.v = b.v and a.k = b.k and len(a.w) = len(b.w) and b.place < a.place
+  union select a.norm from variant a join firsts b on a.v = b.norm and len(b.w) >= 8 and b.place < a.place
+  union select a.norm from firsts a join variant b on b.v = a.norm and len(a.w) >= 8 and b.place < a.place
 ), kept as (
-  select at.d as doc_id, at.p as pos from firsts where norm not in (select norm from near)
+  select place.d as doc_id, place.p as pos from firsts where norm not in (select norm from near)
 ), parts as (
   select x.doc_id, x.pos, x.line, x.norm = '' as blank, k.pos is not null as kept
   from worded x left join kept k on x.doc_id = k.doc_id and x.pos = k.pos
@@ -137,7 +137,7 @@ def op8(spark, sf_dir):
 
 WINDOWS_SQL = r"""
 with doc as (
-  select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') as w from documents
+  select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents
 ), win as (
   select doc_id, p, array_to_string(w[p:p+34], ' ') as s from (select doc_id, w, unnest(range(1, len(w) - 33)) as p from doc where len(w) >= 35)
 ), twice as (
