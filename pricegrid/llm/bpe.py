@@ -26,6 +26,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 
 ROLL = 32
@@ -249,7 +250,7 @@ def encode_documents(docs, path, ranks_path=None, pattern=None, text="text", che
     settings = (path, ranks_path, pattern)
     known = docs.sparkSession.sparkContext.broadcast(shared_chunks(docs, settings, text))
     own = docs.drop("token_ids", "decoded")
-    schema = own.select("*").schema.add("token_ids", "array<int>").add("decoded", "string")
+    schema = own.select("*").schema.add("token_ids", ArrayType(IntegerType())).add("decoded", "string")
 
     def run(batches):
         coder = codec(settings)

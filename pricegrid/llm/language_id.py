@@ -139,7 +139,8 @@ class LanguageModel:
         def margins(batches):
             for batch in batches:
                 raw, some = draft.margins(batch["t"])
-                yield pd.DataFrame({"l": batch["l"][some].tolist(), "m": [r.tolist() for r in raw[some]]})
+                if some.any():
+                    yield pd.DataFrame({"l": batch["l"][some].tolist(), "m": [r.tolist() for r in raw[some]]})
 
         # One row of bits a sampled text: about rows_per_lang rows a language.
         held = picked.mapInPandas(margins, "l string, m array<double>").toPandas()
