@@ -7,10 +7,13 @@ they start, share an equal anchor at the same shift, and only 5 of 21 positions
 are hashed. Where an anchor is met twice, the windows that hold it are hashed in
 full (extended) and compared; a window met twice has all its words removed.
 
-A row of text is one document, known by a hash of its key and text, so rows that
-repeat a key or have none are all told apart, and equal rows are copies of one
-another. Hashes met twice within a task are settled there and one row goes on
-for all, so a passage in a third of all documents is a row a task and hash.
+A row of text is one document, known by its key where that is a number that
+tells all rows apart, else by a hash of key and text; so rows that repeat a key
+or have none are told apart too, and equal rows are copies of one another. Equal
+texts are found by hash first: all their windows occur elsewhere, and one of them
+stands for all as the partner of other texts. Hashes met twice within a task are
+settled there and one row goes on for all, so a passage in a third of all
+documents is a row a task and hash.
 """
 
 from __future__ import annotations
@@ -43,7 +46,7 @@ def _settle(rows, hashes, extra):
     sizes = np.diff(np.append(starts, len(h)))
     met = np.repeat(sizes > 1, sizes)
     out = rows.iloc[order].reset_index(drop=True)
-    out["h"], out["x"] = h.view(np.int64), x.view(np.int64)
+    out["h"], out["x"] = h.view(np.int64), (x >> np.uint64(32)).astype(np.uint32).view(np.int32)
     out["met"] = met
     rest = ~head
     # Others of the same hash only carry their place on: they are dealt by it and need no partner.
@@ -150,33 +153,50 @@ def _windows(length, period):
 
 
 def _with_key(docs, key, text):
+    """row, __key and text; row tells texts apart (see above)."""
     row = F.xxhash64(F.lit("row"), F.col(key), F.col(text))
-    return docs.select(row.alias("row"), F.col(key).alias("__key"), F.col(text).alias("text"))
+    if dict(docs.dtypes)[key] in ("tinyint", "smallint", "int", "bigint"):
+        rows, keys, distinct = docs.agg(F.count("*"), F.count(key), F.count_distinct(key)).first()
+        row = F.col(key).cast("long") if rows == keys == distinct else row
+    return docs.select(row.alias("row"), F.col(key).alias("__key"), F.col(text).alias("text")).where("row is not null")
 
 
-def repeated_starts(docs, length=LENGTH, period=PERIOD, cover=COVER):
+def copies(keyed):
+    """(row, stands) of texts that occur more than once; one row stands for all."""
+    texts = keyed.where("text is not null").select("row", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit("second"), "text").alias("t2"))
+    groups = texts.groupBy("t1", "t2").agg(F.min("row").alias("first"), F.count("*").alias("n")).where("n > 1")
+    return texts.join(groups, ["t1", "t2"]).select("row", (F.col("row") == F.col("first")).alias("stands")).distinct()
+
+
+def repeated_starts(keyed, repeated, length=LENGTH, period=PERIOD, cover=COVER):
     """(row, starts): the start positions of windows that also start elsewhere.
 
-    docs: row (a hash that tells texts apart) and text.
+    keyed: row, __key and text; repeated: `copies` of it, of which only those
+    that stand for their text are looked at.
     """
     if not is_cover(period, cover) or not period <= length:
         raise ValueError("cover must be a difference cover of a period no longer than the window")
-    slim = docs.select("row", "text")
-    dealt = anchors(slim, length, period, cover).repartition("h").sortWithinPartitions("h", "lone")
-    dealt = dealt.select("row", "at", "h", F.lit(0).cast("long").alias("x"), "met", "lone")
+    dealt = anchors(keyed.select("row", "text"), length, period, cover).repartition("h").sortWithinPartitions("h", "lone")
+    dealt = dealt.select("row", "at", "h", F.lit(0).alias("x"), "met", "lone")
     found = dealt.mapInPandas(_met, "row long, at int")
-    found = stage(found.groupBy("row").agg(F.collect_set("at").alias("anchors")), "anchors")
-    candidates = slim.join(found, "row").mapInPandas(
-        _windows(length, period), "row long, at int, h long, x long, met boolean, lone boolean"
+    found = found.groupBy("row").agg(F.collect_set("at").alias("anchors"))
+    found = stage(found.join(repeated.where("not stands"), "row", "left_anti"), "anchors")
+    candidates = keyed.join(found, "row").mapInPandas(
+        _windows(length, period), "row long, at int, h long, x int, met boolean, lone boolean"
     )
     dealt = candidates.repartition("h").sortWithinPartitions("h", "x", "lone")
     twice = dealt.mapInPandas(_met, "row long, at int")
     return twice.groupBy("row").agg(F.collect_set("at").alias("starts"))
 
 
-def kept_words(text, starts, length):
-    """A text's words (bytes) without those covered by windows at `starts`."""
+def kept_words(text, starts, length, copied=False):
+    """A text's words (bytes) without those covered by windows at `starts`, and their number before.
+
+    A copied text loses all words if it holds a window.
+    """
     words = (text or "").encode("utf-8", "replace").split()
+    if copied:
+        return [] if len(words) >= length else words, len(words)
     if starts is None or not len(starts):
         return words, len(words)
     cover = np.zeros(len(words) + 1, np.int64)
@@ -195,7 +215,9 @@ def remove_repeated(docs, key="doc_id", text="text", length=LENGTH, period=PERIO
     than a window keeps all. Other columns are dropped.
     """
     keyed = _with_key(docs, key, text)
-    starts = stage(repeated_starts(keyed, length, period, cover), "repeated-starts")
+    repeated = stage(copies(keyed), "copied-texts")
+    starts = repeated_starts(keyed, repeated, length, period, cover)
+    starts = starts.join(repeated.select("row", F.lit(True).alias("copied")), "row", "full")
     name = "kept_sha256" if digest else "kept"
     schema = docs.select(key).schema.add("n_words", "long").add("n_removed", "long").add(name, "string")
 
@@ -204,10 +226,11 @@ def remove_repeated(docs, key="doc_id", text="text", length=LENGTH, period=PERIO
 
         for batch in batches:
             out = []
-            for k, t, s in zip(batch["__key"], batch["text"], batch["starts"]):
-                kept, n = kept_words(t, s, length)
+            for k, t, s, c in zip(batch["__key"], batch["text"], batch["starts"], batch["copied"]):
+                kept, n = kept_words(t, s, length, c is not None and bool(c))
                 joined = b" ".join(kept)
                 out.append((k, n, n - len(kept), hashlib.sha256(joined).hexdigest() if digest else joined.decode("utf-8", "replace")))
             yield pd.DataFrame(out, columns=schema.names).astype({key: batch["__key"].dtype})
 
-    return keyed.join(starts, "row", "left").select("__key", "text", "starts").mapInPandas(run, schema)
+    # Both joins take the same columns of the documents, so Spark deals them out once.
+    return keyed.join(starts, "row", "left").select("__key", "text", "starts", "copied").mapInPandas(run, schema)
