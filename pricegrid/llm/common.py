@@ -17,6 +17,14 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unique_number(docs, key):
+    """Whether a key is a number that tells all rows apart."""
+    if dict(docs.dtypes)[key] not in ("tinyint", "smallint", "int", "bigint"):
+        return False
+    rows, keys, distinct = docs.agg(F.count("*"), F.count(key), F.count_distinct(key)).first()
+    return rows == keys == distinct
+
+
 def slices(texts):
     """(first, last) row ranges of a batch with about SLICE_BYTES of text each."""
     first, held = 0, 0

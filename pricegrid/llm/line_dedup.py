@@ -18,14 +18,35 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pricegrid.llm.common import unique_number
 from pricegrid.session import stage
 
 MIN_WORDS = 8
 BROADCAST_ROWS = 200_000  # of a few numbers each; larger tables are joined by shuffle
+ODD_SPACE = ["  ", "\t", "\r", "\f", "\v"]
 
 
 def normal(line):
-    return F.trim(F.lower(F.regexp_replace(line, r"\s+", " ")))
+    """Lower case, runs of white space as one blank; most lines have none to collapse."""
+    odd = F.lit(False)
+    for space in ODD_SPACE:
+        odd = odd | F.contains(line, F.lit(space))
+    return F.lower(F.trim(F.when(odd, F.regexp_replace(line, r"\s+", " ")).otherwise(line)))
+
+
+def n_words(line):
+    return F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1
+
+
+def _first(line, n):
+    """The first n words of a normal line, or the last -n."""
+    return F.call_function("substring_index", line, F.lit(" "), n)
+
+
+def without(line, place, n):
+    """A normal line of n words but for the word at a place from 1."""
+    between = F.when((place == 1) | (place == n), "").otherwise(" ")
+    return F.concat(_first(line, place - 1), between, _first(line, place - n))
 
 
 def _small(df, name):
@@ -34,95 +55,90 @@ def _small(df, name):
     return F.broadcast(held) if held.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else held
 
 
-def _halves(words, n):
+def _halves(line, n):
     """Hashes of the first and last halves that a partner within one edit shares."""
     keys = []
     for m in (F.floor((n - 1) / 2).cast("int"), F.floor(n / 2).cast("int")):
-        keys.append(F.xxhash64(F.lit("first"), m, F.slice(words, F.lit(1), m)))
-        keys.append(F.xxhash64(F.lit("last"), m, F.slice(words, n - m + 1, m)))
+        keys.append(F.xxhash64(F.lit("first"), m, _first(line, m)))
+        keys.append(F.xxhash64(F.lit("last"), m, _first(line, -m)))
     return F.array_distinct(F.array(*keys))
 
 
-def _without(words, place, n):
-    """The words but for the one at a place from 1."""
-    return F.concat(F.slice(words, F.lit(1), place - 1), F.slice(words, place + 1, n))
+def _keyed(docs, key, text, unique):
+    """The documents' row number: the key if it is unique, else a hash of key and text."""
+    return F.col(key).cast("long") if unique else F.xxhash64(F.lit("row"), F.col(key), F.col(text))
+
+
+def _at(unique):
+    """Place of a line in the order, and the line's identity."""
+    if unique:
+        return F.struct("row", "pos")
+    return F.struct(F.col("key").isNull().alias("no_key"), "key", "row", "pos")
 
 
-def _lines(docs, key, text, min_words):
+def _lines(docs, key, text, min_words, unique):
     """One slim row per line with words: its hash, place in the order, half hashes."""
     rows = docs.select(
-        F.col(key).alias("key"), F.xxhash64(F.lit("row"), key, text).alias("row"), F.posexplode(F.split(text, "\n")).alias("pos", "line")
+        F.col(key).alias("key"), _keyed(docs, key, text, unique).alias("row"), F.posexplode(F.split(text, "\n")).alias("pos", "line")
     )
-    rows = rows.select("key", "row", "pos", normal(F.col("line")).alias("line")).where("line <> ''")
-    words, n = F.split("line", " "), F.size(F.split("line", " "))
+    rows = rows.where(F.col("line").rlike(r"\S")).select("key", "row", "pos", normal(F.col("line")).alias("line"))
+    rows = rows.select("key", "row", "pos", "line", n_words(F.col("line")).alias("n"))
     return rows.select(
-        F.struct(F.col("key").isNull().alias("no_key"), "key", "row", "pos").alias("at"),
+        _at(unique).alias("at"),
         F.xxhash64("line").alias("h1"),
         F.xxhash64(F.lit("second"), "line").alias("h2"),
-        F.when(n >= min_words, _halves(words, n)).alias("halves"),
+        F.when(F.col("n") >= min_words, _halves(F.col("line"), F.col("n"))).alias("halves"),
     )
 
 
-def _near(docs, lines, key, text):
-    """(h1, h2) of lines with an earlier line within one edit."""
+def _near(docs, lines, key, text, unique):
+    """Places of lines, each the first of its equals, with an earlier line within one edit."""
     firsts = lines.where("halves is not null").select("h1", "h2", "at", F.explode("halves").alias("half"))
     shared = firsts.groupBy("half").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo <> hi").select("half")
     within = firsts.join(_small(shared, "line-halves"), "half", "left_semi")
     within = within.groupBy("h1", "h2").agg(F.min("at").alias("at"))
     places = within.groupBy(F.col("at.row").alias("row")).agg(F.collect_set("at.pos").alias("places"))
-    texts = docs.select(F.xxhash64(F.lit("row"), key, text).alias("row"), F.col(key).alias("key"), F.split(text, "\n").alias("lines"))
-    texts = texts.join(_small(places, "line-places"), "row").dropDuplicates(["row"])
+    texts = docs.select(_keyed(docs, key, text, unique).alias("row"), F.col(key).alias("key"), F.split(text, "\n").alias("lines"))
+    texts = texts.join(_small(places, "line-places"), "row")
+    texts = texts if unique else texts.dropDuplicates(["row"])
     found = texts.select("key", "row", F.explode("places").alias("pos"), "lines")
     found = found.select("key", "row", "pos", normal(F.get("lines", "pos")).alias("line"))
-    found = stage(
-        found.select(
-            F.struct(F.col("key").isNull().alias("no_key"), "key", "row", "pos").alias("at"),
-            F.xxhash64("line").alias("h1"),
-            F.xxhash64(F.lit("second"), "line").alias("h2"),
-            F.split("line", " ").alias("words"),
-        ),
-        "line-candidates",
+    found = found.select(
+        _at(unique).alias("at"), F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2"),
+        "line", n_words(F.col("line")).alias("n"),
     )
+    found = stage(found.repartition("h1"), "line-candidates")
 
-    hashed = F.transform("words", lambda w: F.xxhash64(w))
-    base = found.select("h1", "h2", "at", hashed.alias("w"), F.size("words").alias("n"))
-    variant = base.select(
-        "h1", "h2", "at",
-        F.posexplode(F.transform(F.sequence(F.lit(1), "n"), lambda i: F.struct(
-            F.xxhash64(F.lit(1), _without(F.col("w"), i, F.col("n"))).alias("v1"),
-            F.xxhash64(F.lit(2), _without(F.col("w"), i, F.col("n"))).alias("v2"),
-        ))).alias("place", "v"),
-    ).select("h1", "h2", "at", (F.col("place") + 1).alias("place"), "v.v1", "v.v2")
-    variant = stage(variant, "line-variants")
-    whole = base.select(
-        F.xxhash64(F.lit(1), "w").alias("v1"), F.xxhash64(F.lit(2), "w").alias("v2"), F.col("h1").alias("s1"), F.col("h2").alias("s2"),
-        F.col("at").alias("sat"),
-    )
+    def hashes(i):
+        # The one-element array holds the variant, so that it is put together once.
+        cut = F.array(without(F.col("line"), i, F.col("n")))
+        return F.transform(cut, lambda v: F.struct(F.xxhash64(v).alias("v1"), F.xxhash64(F.lit("second"), v).alias("v2")))[0]
+
+    variant = found.select("at", F.posexplode(F.transform(F.sequence(F.lit(1), "n"), hashes)).alias("place", "v"))
+    variant = stage(variant.select("at", (F.col("place") + 1).alias("place"), "v.v1", "v.v2"), "line-variants")
 
-    first = variant.groupBy("v1", "v2", "place").agg(F.min("at").alias("lo"), F.max("at").alias("hi"), F.min(F.struct("at", "h1", "h2")).alias("e"))
-    first = first.where("lo <> hi").select("v1", "v2", "place", "lo", F.col("e.h1").alias("e1"), F.col("e.h2").alias("e2"))
-    replaced = variant.join(first, ["v1", "v2", "place"]).where(F.col("at") > F.col("lo")).select(
-        F.col("h1").alias("l1"), F.col("h2").alias("l2"), "e1", "e2", "place", F.lit("replaced").alias("kind")
+    first = variant.groupBy("v1", "v2", "place").agg(F.min("at").alias("early"), F.count("*").alias("members")).where("members > 1")
+    first = _small(first.drop("members"), "line-earliest")
+    replaced = variant.join(first, ["v1", "v2", "place"]).where(F.col("at") > F.col("early")).select(
+        F.col("at").alias("late"), "early", "place", F.lit("replaced").alias("kind")
     )
-    inserted = variant.join(whole, ["v1", "v2"])
-    later, gone = F.col("at") > F.col("sat"), lambda a, b: F.when(F.col("at") > F.col("sat"), a).otherwise(b)
-    inserted = inserted.select(
-        gone(F.col("h1"), F.col("s1")).alias("l1"), gone(F.col("h2"), F.col("s2")).alias("l2"),
-        gone(F.col("s1"), F.col("h1")).alias("e1"), gone(F.col("s2"), F.col("h2")).alias("e2"),
-        "place", F.when(later, F.lit("longer")).otherwise(F.lit("shorter")).alias("kind"),
+    whole = _small(found.select(F.col("h1").alias("v1"), F.col("h2").alias("v2"), F.col("at").alias("short")), "line-whole")
+    inserted = variant.join(whole, ["v1", "v2"]).select(
+        F.greatest("at", "short").alias("late"), F.least("at", "short").alias("early"), "place",
+        F.when(F.col("at") > F.col("short"), "longer").otherwise("shorter").alias("kind"),
     )
     pairs = replaced.unionByName(inserted).distinct()
-    a = found.select(F.col("h1").alias("l1"), F.col("h2").alias("l2"), F.col("words").alias("a"))
-    b = found.select(F.col("h1").alias("e1"), F.col("h2").alias("e2"), F.col("words").alias("b"))
-    checked = pairs.join(a, ["l1", "l2"]).join(b, ["e1", "e2"])
-    cut_a = _without(F.col("a"), F.col("place"), F.size("a"))
-    cut_b = _without(F.col("b"), F.col("place"), F.size("b"))
+    a = found.select(F.col("at").alias("late"), F.col("line").alias("a"), F.col("n").alias("na"))
+    b = found.select(F.col("at").alias("early"), F.col("line").alias("b"), F.col("n").alias("nb"))
+    checked = pairs.join(a, "late").join(b, "early")
+    cut_a = without(F.col("a"), F.col("place"), F.col("na"))
+    cut_b = without(F.col("b"), F.col("place"), F.col("nb"))
     right = (
-        F.when(F.col("kind") == "replaced", cut_a == cut_b)
+        F.when(F.col("kind") == "replaced", (cut_a == cut_b) & (F.col("na") == F.col("nb")))
         .when(F.col("kind") == "longer", cut_a == F.col("b"))
         .otherwise(F.col("a") == cut_b)
     )
-    return checked.where(right).select(F.col("l1").alias("h1"), F.col("l2").alias("h2")).distinct()
+    return checked.where(right).select(F.col("late").alias("at")).distinct()
 
 
 def dedup_lines(docs, key="doc_id", text="text", min_words=MIN_WORDS):
@@ -134,14 +150,15 @@ def dedup_lines(docs, key="doc_id", text="text", min_words=MIN_WORDS):
     without a key come last in the order. Rows with the same key and text are
     one document, and keep the same lines.
     """
-    lines = stage(_lines(docs, key, text, min_words), "lines")
+    unique = unique_number(docs, key)
+    lines = stage(_lines(docs, key, text, min_words, unique), "lines")
     firsts = lines.groupBy("h1", "h2").agg(F.min("at").alias("at"))
-    kept = firsts.join(_near(docs, lines, key, text), ["h1", "h2"], "left_anti")
+    kept = firsts.join(_small(_near(docs, lines, key, text, unique), "line-near"), "at", "left_anti")
     kept = kept.groupBy(F.col("at.row").alias("__row")).agg(F.collect_set("at.pos").alias("__kept"))
-    own = docs.drop("n_lines", "n_removed").withColumn("__row", F.xxhash64(F.lit("row"), key, text))
+    own = docs.drop("n_lines", "n_removed").withColumn("__row", _keyed(docs, key, text, unique))
     own = own.join(kept, "__row", "left").withColumn("__lines", F.split(text, "\n"))
     blank = F.filter(
-        F.transform("__lines", lambda line, i: F.when(F.trim(F.regexp_replace(line, r"\s+", " ")) == "", i).otherwise(-1)), lambda i: i >= 0
+        F.transform("__lines", lambda line, i: F.when(line.rlike(r"\S"), -1).otherwise(i)), lambda i: i >= 0
     )
     own = own.withColumn("__blank", blank).withColumn("__kept", F.coalesce("__kept", F.array().cast("array<int>")))
     places = F.sort_array(F.array_union("__kept", "__blank"))

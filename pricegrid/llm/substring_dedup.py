@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from pricegrid.llm.common import hash_words, slices, window_hash, words_of
+from pricegrid.llm.common import hash_words, slices, unique_number, window_hash, words_of
 from pricegrid.session import stage
 
 LENGTH = 35
@@ -154,10 +154,8 @@ def _windows(length, period):
 
 def _with_key(docs, key, text):
     """row, __key and text; row tells texts apart (see above)."""
-    row = F.xxhash64(F.lit("row"), F.col(key), F.col(text))
-    if dict(docs.dtypes)[key] in ("tinyint", "smallint", "int", "bigint"):
-        rows, keys, distinct = docs.agg(F.count("*"), F.count(key), F.count_distinct(key)).first()
-        row = F.col(key).cast("long") if rows == keys == distinct else row
+    unique = unique_number(docs, key)
+    row = F.col(key).cast("long") if unique else F.xxhash64(F.lit("row"), F.col(key), F.col(text))
     return docs.select(row.alias("row"), F.col(key).alias("__key"), F.col(text).alias("text")).where("row is not null")
 
 
