@@ -39,7 +39,7 @@ FEATURES = [
 
 #: Words that name a secret, an example, a digest, and test or documentation paths.
 NAMES = r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|api[_-]?key|apikey|access[_-]?key|auth|bearer|credential|private)"
-EXAMPLES = r"(?i)\b(example|sample|dummy|placeholder|changeme|your|test|fake|mock|xxx+)\b"
+EXAMPLES = r"(?i)(?<![\w.@-])(example|sample|dummy|placeholder|changeme|your|test|fake|mock|xxx+)(?![\w.@-])"
 DIGESTS = r"(?i)\b(sha\d*|md5|checksum|digest|commit|revision|etag|uuid|guid|hash)\b"
 TEST_PATHS, DOC_PATHS = r"(?i)(test|spec|fixture|example|sample|mock)", r"(?i)(doc|readme|\.md$|license)"
 _VALUE = rf"([A-Za-z0-9+/_=-]{{{MIN_LENGTH},}})"
