@@ -154,7 +154,7 @@ def codec(settings, cache={}):  # noqa: B006  one codec a Python worker
 
 
 def encode_reusing(coder, text, known):
-    """Ids of a whole text; `known` has the body ids of chunks by key.
+    """Ids of a whole text; `known` has the body ids (int32 bytes) of chunks by key.
 
     Text between known bodies is encoded in one go, which repairs the joins.
     Equal to coder.encode(text) whatever is known.
@@ -169,7 +169,7 @@ def encode_reusing(coder, text, known):
             first, last = body(chunk)
             if done < start + first:
                 ids.extend(coder.encode(text[done : start + first]))
-            ids.extend(held)
+            ids.extend(np.frombuffer(held, np.int32).tolist())
             done = start + last
         start = end
     if done < len(text):
@@ -178,7 +178,7 @@ def encode_reusing(coder, text, known):
 
 
 def shared_chunks(docs, settings, text="text", most_bytes=DICTIONARY_BYTES):
-    """{chunk key: body ids} of chunks that occur more than once in `docs`.
+    """{chunk key: body ids as int32 bytes} of chunks that occur more than once in `docs`.
 
     Chunks are counted by hash over all documents (only hashes are shuffled);
     those that save most characters are then read once more and encoded once
@@ -238,7 +238,7 @@ def shared_chunks(docs, settings, text="text", most_bytes=DICTIONARY_BYTES):
         held += len(row.ids)
         if held > most_bytes:
             break
-        known[bytes(row.k)] = np.frombuffer(row.ids, np.int32).tolist()
+        known[bytes(row.k)] = bytes(row.ids)
     return known
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pricegrid.session import stage
 
-SLICE_BYTES = 4 << 20  # text handled at once by numpy; a longer text is a slice of its own
+SLICE_BYTES = 2 << 20  # text handled at once by numpy; a longer text is a slice of its own
 
 
 def table(spark, sf_dir, name):

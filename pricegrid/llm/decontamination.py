@@ -35,7 +35,7 @@ from pricegrid.session import stage
 SIZE = 5
 CONTAINMENT = 0.8
 BITS = 22
-MEMO = 1 << 20
+MEMO = 1 << 16  # words a Python worker remembers, some 16 MB
 PLAIN, NUMBER, QUANTITY, CAPITAL = 0, 1, 2, 3
 
 #: Units that are taken as units after a number.

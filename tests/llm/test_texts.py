@@ -169,7 +169,7 @@ def test_reused_chunks_repair_to_the_whole_encoding(library):
             chunk = t[start:end]
             span = bpe.body(chunk)
             if span and rng.random() < 0.7:
-                known[bpe.chunk_key(chunk)] = coder.encode(chunk[span[0] : span[1]])
+                known[bpe.chunk_key(chunk)] = np.array(coder.encode(chunk[span[0] : span[1]]), np.int32).tobytes()
             start = end
         assert start == len(t)
     assert known
