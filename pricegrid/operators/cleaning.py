@@ -25,16 +25,20 @@ def dedupe(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def fit_statistics(df: DataFrame, columns) -> dict:
-    """mean, sample deviation and quartiles per column."""
+def fit_statistics(df: DataFrame, columns, method="combined") -> dict:
+    """mean, sample deviation and quartiles per column, as far as the method uses them."""
     columns = [c for c in columns if c in df.columns]
-    if not columns:
+    if not columns or method == "domain":
         return {}
-    row = df.agg(
-        *[F.avg(c).alias(f"mean_{c}") for c in columns],
-        *[F.stddev_samp(c).alias(f"std_{c}") for c in columns],
-    ).first()
-    quartiles = quantile_values(df, columns, [0.25, 0.75])
+    row = {f"{p}_{c}": None for c in columns for p in ("mean", "std")}
+    if method in ("zscore", "combined"):
+        row = df.agg(
+            *[F.avg(c).alias(f"mean_{c}") for c in columns],
+            *[F.stddev_samp(c).alias(f"std_{c}") for c in columns],
+        ).first()
+    quartiles = {c: [None, None] for c in columns}
+    if method in ("iqr", "combined"):
+        quartiles = quantile_values(df, columns, [0.25, 0.75])
     return {
         c: {
             "mean": row[f"mean_{c}"],
@@ -96,8 +100,12 @@ def correct_types(df: DataFrame, config: TableConfig = CANONICAL) -> DataFrame:
     for c in config.integer_columns:
         if c in df.columns:
             whole = isinstance(df.schema[c].dataType, T.IntegralType)
-            value = F.col(c).cast("long") if whole else F.floor(F.col(c).try_cast("double"))
-            new[c] = F.coalesce(value.cast("long"), F.lit(0).cast("long"))
+            if whole:
+                value = F.col(c).cast("long")
+            else:
+                # Whole numbers are read as such, as a double holds only 53 bits of them.
+                value = F.coalesce(F.col(c).try_cast("long"), F.floor(F.col(c).try_cast("double")).cast("long"))
+            new[c] = F.coalesce(value, F.lit(0).cast("long"))
     for c in config.float_columns:
         if c in df.columns:
             new[c] = F.col(c).try_cast("double")
@@ -177,7 +185,7 @@ class Cleaner:
             raise ValueError(f"unknown outlier method: {self.method}")
 
     def fit(self, df: DataFrame) -> CleaningModel:
-        statistics = fit_statistics(df, self.config.outlier_columns) if self.outliers else {}
+        statistics = fit_statistics(df, self.config.outlier_columns, self.method) if self.outliers else {}
         return CleaningModel(self, statistics)
 
     def clean(self, df: DataFrame) -> DataFrame:

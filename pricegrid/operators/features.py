@@ -359,9 +359,11 @@ class SizeModel(_TableFitted):
 
 
 class IndicatorEncoder(_Fitter):
-    """0/1 columns {c}_{value} for the sorted fitted values of each column."""
+    """0/1 columns {c}_{value} for the sorted fitted values of each column.
 
-    LIMIT = 1000
+    Every value becomes a column, however many there are; the values are the
+    schema of the result, so they are named on the driver.
+    """
 
     def __init__(self, columns=("fuel_type", "transmission", "condition"), drop=True):
         super().__init__()
@@ -369,9 +371,7 @@ class IndicatorEncoder(_Fitter):
 
     def _fit(self, df):
         columns = _present(df, self.opt("columns"))
-        seen = category_rows(df, columns).distinct().limit(self.LIMIT * len(columns) + 1).collect()
-        if len(seen) > self.LIMIT * len(columns):
-            raise ValueError("too many categories for indicator columns; use TargetMeanEncoder")
+        seen = category_rows(df, columns).distinct().collect()
         categories = {c: sorted(r.value for r in seen if r.feature == c) for c in columns}
         return IndicatorModel()._put(categories=categories, drop=self.opt("drop"))
 

@@ -4,27 +4,20 @@
 * quantiles     exact interpolated quantiles, overall or per group
 * count_below   per distinct value, how many rows are smaller (for ranks)
 
-Values are counted per distinct value first, so a value that holds a third of
-all rows costs one counter per map task. Where the number of distinct values
-is known to be small the built-in aggregate is used; beyond that the sorted
-domain is cut into buckets, and only offsets of whole buckets are added up in
-one place.
+Values are counted per distinct value first, in a shuffle by value, so a value
+that holds a third of all rows costs one counter per map task. The counted
+values are cut into ranges; only the totals of whole ranges are added up in one
+place. The same way is taken at every size.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricegrid.functions.predicates import any_of
+from pricegrid.session import stage
 
-# A percentile state or a one-task window may hold this many distinct values.
-SMALL_DOMAIN = 1_000_000
-# Buckets of the sorted domain beyond that; the offsets table has this many rows.
-BUCKETS = 2048
 # Keys fetched at the end of a search for a cut key.
 FETCH = 20_000
 PREFIX_DIGITS = 3
@@ -106,130 +99,77 @@ def _step(hist, stratum, prefix, rank):
     raise ValueError("rank beyond the number of rows")
 
 
-def small_domain(df: DataFrame, columns, limit=None) -> bool:
-    """Whether no column has more than limit distinct values (sketch with 5 % error)."""
-    limit = SMALL_DOMAIN if limit is None else limit
-    sizes = [F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(columns)]
-    return all((n or 0) * 1.25 <= limit for n in df.agg(*sizes).first())
-
-
-def _with_buckets(df, columns, buckets):
-    """Add {c}_bucket columns: monotone in the value, about equally many rows each."""
-    probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    sketch = df.agg(
-        *[F.percentile_approx(c, probs, F.lit(4 * buckets)).alias(c) for c in columns]
-    ).first()
-    edges = [
-        [-math.inf, *sorted({float(v) for v in (sketch[c] or [0.0])}), math.inf] for c in columns
-    ]
-    bucketizer = Bucketizer(
-        splitsArray=edges,
-        inputCols=list(columns),
-        outputCols=[f"{c}_bucket" for c in columns],
-        handleInvalid="keep",
+def placed(counts: DataFrame, group) -> DataFrame:
+    """Add below (rows with a smaller value) and total to counted values.
+
+    counts has the group columns, v and n, one row per group and value. They
+    are cut into ranges of (group, v); a running sum inside each range and one
+    over the range totals (one row a range and group) give the position, so no
+    task holds a group, whatever its size. The ranges are written first, as
+    both sums must see the same ones.
+    """
+    dealt = counts.repartitionByRange(*group, "v").withColumn("part", F.spark_partition_id())
+    dealt = stage(dealt, "counted")
+    before = Window.partitionBy(*group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    heads = dealt.groupBy(*group, "part").agg(F.sum("n").alias("rows")).select(
+        *group,
+        "part",
+        F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("skip"),
+        F.sum("rows").over(Window.partitionBy(*group)).alias("total"),
+    )
+    inside = Window.partitionBy(*group, "part").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    running = dealt.withColumn("inner", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    return running.join(heads, [*group, "part"]).select(
+        *group, "v", "n", (F.col("skip") + F.col("inner")).alias("below"), "total"
+    )
+
+
+def counted_values(df: DataFrame, columns, by=()) -> DataFrame:
+    """Rows per group, column and value (as double; missing left out): by..., c, v, n."""
+    cells = F.explode(
+        F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in columns])
     )
-    return bucketizer.transform(df)
+    rows = df.select(*by, cells.alias("cell")).select(*by, "cell.*").where(F.col("v").isNotNull())
+    for c in by:
+        rows = rows.where(F.col(c).isNotNull())
+    return rows.groupBy(*by, "c", "v").agg(F.count(F.lit(1)).alias("n"))
 
 
-def quantiles(df: DataFrame, columns, probs, by=(), limit=None, buckets=None) -> DataFrame:
+def quantiles(df: DataFrame, columns, probs, by=()) -> DataFrame:
     """Exact quantiles with linear interpolation, as one array per column.
 
     One row per group of the by columns (rows with a missing group are left
-    out), or a single row without them.
+    out), or a single row without them; a group without values has none.
     """
     columns, by, probs = list(columns), list(by), [float(p) for p in probs]
-    df = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
-    for c in by:
-        df = df.where(F.col(c).isNotNull())
-    if small_domain(df, columns, limit):
-        wanted = F.array(*[F.lit(p) for p in probs])
-        return df.groupBy(*by).agg(*[F.percentile(c, wanted).alias(c) for c in columns])
-
-    df = _with_buckets(df, columns, buckets or BUCKETS)
-    cells = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(c).alias("c"), F.col(c).alias("v"), F.col(f"{c}_bucket").alias("b")
-                )
-                for c in columns
-            ]
-        )
-    )
-    counts = (
-        df.select(*by, cells.alias("cell"))
-        .select(*by, "cell.*")
-        .where(F.col("v").isNotNull())
-        .groupBy(*by, "c", "b", "v")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
     group = [*by, "c"]
-    ordered = Window.partitionBy(*group).orderBy("b")
-    offsets = (
-        counts.groupBy(*group, "b")
-        .agg(F.sum("n").alias("rows"))
-        .withColumn(
-            "skip",
-            F.coalesce(F.sum("rows").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-        )
-        .withColumn("total", F.sum("rows").over(Window.partitionBy(*group)))
-    )
-    low = [F.floor((F.col("total") - 1) * F.lit(p)) for p in probs]
-    high = [F.ceil((F.col("total") - 1) * F.lit(p)) for p in probs]
-    part = [(F.col("total") - 1) * F.lit(p) - lo for p, lo in zip(probs, low)]
-
-    def holds(position, start, size):
-        return (position >= start) & (position < start + size)
-
-    wanted = offsets.where(
-        any_of(holds(x, F.col("skip"), F.col("rows")) for x in (*low, *high))
-    ).select(*group, "b", "skip", "total")
-    running = Window.partitionBy(*group, "b").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    placed = counts.join(wanted, [*group, "b"]).withColumn(
-        "start", F.col("skip") + F.coalesce(F.sum("n").over(running), F.lit(0))
-    )
+    position = [(F.col("total") - 1) * F.lit(p) for p in probs]
+
+    def holds(place):
+        return (place >= F.col("below")) & (place < F.col("below") + F.col("n"))
+
+    ends = [(F.floor(x), F.ceil(x)) for x in position]
+    hit = placed(counted_values(df, columns, by), group).where(any_of(holds(e) for pair in ends for e in pair))
     picks = []
-    for i in range(len(probs)):
-        for side, position in (("lo", low[i]), ("hi", high[i])):
-            value = F.max(F.when(holds(position, F.col("start"), F.col("n")), F.col("v")))
-            picks.append(value.alias(f"{side}{i}"))
-        picks.append(F.max(part[i]).alias(f"part{i}"))
-    picked = placed.groupBy(*group).agg(*picks)
+    for i, (low, high) in enumerate(ends):
+        picks.append(F.max(F.when(holds(low), F.col("v"))).alias(f"lo{i}"))
+        picks.append(F.max(F.when(holds(high), F.col("v"))).alias(f"hi{i}"))
+        picks.append(F.max(position[i] - low).alias(f"part{i}"))
     values = F.array(
-        *[
-            F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"part{i}")
-            for i in range(len(probs))
-        ]
+        *[F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"part{i}") for i in range(len(probs))]
     )
-    return (
-        picked.select(*group, values.alias("q"))
-        .groupBy(*by)
-        .agg(*[F.first(F.when(F.col("c") == c, F.col("q")), True).alias(c) for c in columns])
+    picked = hit.groupBy(*group).agg(*picks).select(*group, values.alias("q"))
+    return picked.groupBy(*by).agg(
+        *[F.first(F.when(F.col("c") == c, F.col("q")), True).alias(c) for c in columns]
     )
 
 
-def quantile_values(df: DataFrame, columns, probs, **options) -> dict:
+def quantile_values(df: DataFrame, columns, probs) -> dict:
     """Overall quantiles on the driver: {column: [value, ...]}."""
-    row = quantiles(df, columns, probs, **options).first()
+    row = quantiles(df, columns, probs).first()
     return {c: list(row[c]) if row is not None and row[c] else [None] * len(probs) for c in columns}
 
 
-def count_below(df: DataFrame, column, limit=None, buckets=None) -> DataFrame:
+def count_below(df: DataFrame, column) -> DataFrame:
     """Per distinct value v: its rows n and the rows with a smaller value."""
-    values = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
-    if small_domain(values, ["v"], limit):
-        values = values.withColumn("v_bucket", F.lit(0.0))
-    else:
-        values = _with_buckets(values, ["v"], buckets or BUCKETS)
-    counts = values.groupBy(F.col("v_bucket").alias("b"), "v").agg(F.count(F.lit(1)).alias("n"))
-    ordered = Window.partitionBy(F.lit(0)).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        counts.groupBy("b")
-        .agg(F.sum("n").alias("rows"))
-        .select("b", F.coalesce(F.sum("rows").over(ordered), F.lit(0)).alias("skip"))
-    )
-    running = Window.partitionBy("b").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    # At most BUCKETS rows, so this side is always small enough to broadcast.
-    return counts.join(F.broadcast(offsets), "b").select(
-        "v", "n", (F.col("skip") + F.coalesce(F.sum("n").over(running), F.lit(0))).alias("below")
-    )
+    return placed(counted_values(df, [column]), ["c"]).select("v", "n", "below")

@@ -14,7 +14,7 @@ from pricegrid.functions.hashing import split_key
 from pricegrid.functions.predicates import known, outside
 from pricegrid.operators.features import numeric_columns, quoted, string_columns
 from pricegrid.operators.lookup import HOT_SHARE, lookup
-from pricegrid.operators.order import quantile_values, quantiles, small_domain
+from pricegrid.operators.order import quantile_values, quantiles
 from pricegrid.operators.quality import per_column
 from pricegrid.session import stage
 
@@ -276,12 +276,8 @@ def group_stats(df: DataFrame, by, value, stats=("mean", "median", "std", "count
         "max": F.max(value),
         "count": F.count(value),
     }
-    exact = "median" in stats
-    one_pass = exact and small_domain(df, [value])
-    if one_pass:
-        plain["median"] = F.round(F.median(value), 4)
     grouped = df.groupBy(*by).agg(*[plain[s].alias(s) for s in stats if s in plain])
-    if exact and not one_pass:
+    if "median" in stats:
         middle = quantiles(df, [value], [0.5], by).select(
             *by, F.round(F.col(value)[0], 4).alias("median")
         )

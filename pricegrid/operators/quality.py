@@ -103,13 +103,13 @@ def assessment_rules(config, reference_years=(2021, 2023), max_rate=50000):
     ]
     return [
         Rule(f"Year range ({low}-{high})", f"year < {low} or year > {high}", ("year",),
-             description="Years outside valid range"),
+             description="year beyond the limits"),
         *[shared[name] for name in keep],
         Rule("Engine size (0.7-7.0L)", f"engine_size <= 0 or engine_size > {engine}", ("engine_size",),
-             description="Invalid engine sizes"),
+             description="engine size beyond the limits"),
         Rule(f"Year of reference ({first}-{last})",
              f"year_of_reference < {first} or year_of_reference > {last}", ("year_of_reference",),
-             description="Invalid reference years"),
+             description="reference year beyond the limits"),
     ]
 
 

@@ -65,9 +65,12 @@ class Registry:
         self.spark, self.path = spark, path.rstrip("/")
 
     def _read(self, name, schema):
+        """A table of the registry; one that was never written is empty, other errors surface."""
         try:
             return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], schema)
 
     def entries(self) -> DataFrame:
@@ -86,11 +89,16 @@ class Registry:
         self, model: PipelineModel, model_name, model_type, performance_metrics, features=None,
         hyperparameters=None, training_info=None, version=None,
     ):
-        """Save the model (features and estimator as one) and register it."""
+        """Save the model (features and estimator as one) and register it.
+
+        An existing version is refused, and a model folder is never overwritten.
+        """
+        if version is not None and version in self.versions(model_name):
+            raise ValueError(f"{model_name} {version} is already registered")
         version = version or self.next_version(model_name)
         path = f"{self.path}/models/{model_name}/{version}"
         features = feature_names(model) if features is None else list(features)
-        model.write().overwrite().save(path)
+        model.write().save(path)
         row = (
             model_name, model_type, version, path, datetime.now(timezone.utc).isoformat(),
             {k: float(v) for k, v in performance_metrics.items() if v is not None}, features,

@@ -74,19 +74,19 @@ def categorical_rules(config, normalize=False):
 def business_rules(config):
     doors = in_list(config.allowed["doors"])
     return [
-        Rule("Price > 0", "price <= 0", ("price",), "error", "Non-positive prices found"),
-        Rule("KM >= 0", "km < 0", ("km",), "error", "Negative mileage found"),
+        Rule("Price > 0", "price <= 0", ("price",), "error", "price is zero or below"),
+        Rule("KM >= 0", "km < 0", ("km",), "error", "mileage is below zero"),
         Rule(
             "Year <= year_of_reference", "year > year_of_reference", ("year", "year_of_reference"),
-            "error", "Vehicle year greater than reference year",
+            "error", "built after the year it is listed for",
         ),
-        Rule("Age >= 0", "age_years < 0", ("age_years",), "error", "Negative age values found"),
+        Rule("Age >= 0", "age_years < 0", ("age_years",), "error", "age is below zero"),
         Rule(
             "Age calculation consistency",
             "coalesce(age_years <> year_of_reference - year, true)",
             ("age_years", "year_of_reference", "year"),
             "warning",
-            "Age calculation mismatch (age_years != year_of_reference - year)",
+            "age is not the difference of the two years",
         ),
         Rule(
             # A divisor of zero (age -1) is an infinite rate when km is above zero.
@@ -94,15 +94,15 @@ def business_rules(config):
             "case when age_years + 1 = 0 then km > 0 else km / (age_years + 1) > 50000 end",
             ("km", "age_years"),
             "warning",
-            "Unusually high mileage rate found",
+            "more than 50 000 km a year",
         ),
         Rule(
             "Engine size > 0", "engine_size <= 0", ("engine_size",), "error",
-            "Non-positive engine sizes found",
+            "engine size is zero or below",
         ),
         Rule(
             "Doors (2, 3, 4, or 5)", f"not coalesce(doors in ({doors}), false)", ("doors",), "error",
-            "Invalid door counts",
+            "number of doors not accepted",
         ),
     ]
 

@@ -106,7 +106,7 @@ def _split(df, name):
 @query("ml6_decision_tree")
 def ml6_decision_tree(spark, sf_dir):
     df = model_frame(spark, sf_dir)
-    model = training.decision_tree(depth=6).fit(_split(df, "train"))
+    model = training.decision_tree().fit(_split(df, "train"))
     return ev.metrics(model.transform(df), "label", "prediction", ["split"])
 
 

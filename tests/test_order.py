@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -20,34 +22,32 @@ def skewed(spark):
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
 
 
-def test_bucketed_quantiles_are_exact(skewed):
+def test_quantiles_are_exact(skewed):
     pdf = skewed.toPandas()
-    whole = order.quantile_values(skewed, ["x", "y"], PROBS, limit=10, buckets=16)
+    whole = order.quantile_values(skewed, ["x", "y"], PROBS)
     for c in ("x", "y"):
         assert whole[c] == pytest.approx(pdf[c].quantile(PROBS).tolist())
-    grouped = order.quantiles(skewed, ["x"], PROBS, ["g"], limit=10, buckets=16).collect()
+    grouped = order.quantiles(skewed, ["x"], PROBS, ["g"]).collect()
     assert len(grouped) == 4
     for r in grouped:
         assert r.x == pytest.approx(pdf[pdf.g == r.g].x.quantile(PROBS).tolist())
 
 
-def test_both_quantile_ways_agree(skewed):
-    fast = {r.g: r.x for r in order.quantiles(skewed, ["x"], PROBS, ["g"]).collect()}
-    wide = {r.g: r.x for r in order.quantiles(skewed, ["x"], PROBS, ["g"], limit=1, buckets=64).collect()}
-    assert fast.keys() == wide.keys()
-    assert all(fast[g] == pytest.approx(wide[g]) for g in fast)
+def test_no_plan_merges_raw_values_in_one_task(skewed):
+    for df in (order.quantiles(skewed, ["x"], PROBS), profiling.group_stats(skewed, "g", "x"), order.count_below(skewed, "x")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "percentile" not in plan and "median(" not in plan
 
 
 def test_missing_values_and_empty_frames(spark):
     df = spark.createDataFrame([(None,), (1.0,), (3.0,)], "x double")
-    assert order.quantile_values(df, ["x"], [0.5], limit=0, buckets=4)["x"] == [2.0]
+    assert order.quantile_values(df, ["x"], [0.5])["x"] == [2.0]
     assert order.quantile_values(df.limit(0), ["x"], [0.5])["x"] == [None]
 
 
-@pytest.mark.parametrize("limit", [10, 10**6])
-def test_rows_below_each_value(skewed, limit):
+def test_rows_below_each_value(skewed):
     pdf = skewed.toPandas()
-    found = order.count_below(skewed, "x", limit=limit, buckets=16).collect()
+    found = order.count_below(skewed, "x").collect()
     counts = pdf.x.value_counts().sort_index()
     below = counts.cumsum() - counts
     assert {r.v: (r.n, r.below) for r in found} == {v: (counts[v], below[v]) for v in counts.index}
@@ -72,11 +72,10 @@ def test_equal_keys_at_the_cut_are_refused(spark):
         order.cut_keys(df, F.col("k"), lambda n: [50])
 
 
-@pytest.mark.parametrize("limit", [4, 10**6])
-def test_spearman_equals_pandas(skewed, limit):
+def test_spearman_equals_pandas(skewed):
     pdf = skewed.toPandas()
     expected = pdf.x.rank().corr(pdf.y.rank())
-    row = correlation.spearman_pairs(skewed, ["x", "y"], limit=limit, buckets=8).first()
+    row = correlation.spearman_pairs(skewed, ["x", "y"]).first()
     assert row.r == pytest.approx(expected)
     test = correlation.correlation_test(skewed, "x", "y").first()
     assert test.spearman == pytest.approx(expected, abs=1e-6)
@@ -88,6 +87,40 @@ def test_two_sided_p_values():
     assert correlation.two_sided_p(2.228, 10) == pytest.approx(0.05, abs=2e-4)
     assert correlation.two_sided_p(12.706, 1) == pytest.approx(0.05, abs=2e-4)
     assert correlation.two_sided_p(1.96, 10**6) == pytest.approx(0.05, abs=2e-4)
+    assert correlation.two_sided_p(0, 5) == 1.0
+    # Closed forms for one and two degrees.
+    assert correlation.two_sided_p(3.0, 1) == pytest.approx(1 - 2 * math.atan(3.0) / math.pi, rel=1e-12)
+    assert correlation.two_sided_p(3.0, 2) == pytest.approx(1 - 3.0 / math.sqrt(11), rel=1e-12)
+    # No step at any number of degrees.
+    for n in (199, 200, 999, 1000):
+        assert 0 < correlation.two_sided_p(3.0, n) - correlation.two_sided_p(3.0, n + 1) < 1e-5
+    assert correlation.two_sided_p(3.0, 10**12) == pytest.approx(0.0026997960632601866, rel=1e-4)
+
+
+def test_spearman_ranks_each_pair_on_its_complete_rows(spark):
+    rows = [(1.0, 5.0, 1.0), (2.0, None, 2.0), (3.0, 2.0, 3.5), (4.0, 9.0, 3.0), (None, 1.0, 8.0), (6.0, 7.0, 9.0), (7.0, None, 7.0), (8.0, 8.0, 6.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    pdf = df.toPandas()
+    found = {(r.a, r.b): r.r for r in correlation.spearman_pairs(df).collect()}
+    for (a, b), r in found.items():
+        both = pdf[[a, b]].dropna()
+        assert r == pytest.approx(both[a].rank().corr(both[b].rank()))
+    assert len(found) == 3
+    ranked = {r.feature: r.r for r in correlation.target_rank_correlations(df, "a").collect()}
+    assert ranked["b"] == pytest.approx(found["a", "b"], abs=1e-6)
+
+
+def test_rows_without_a_key_are_spread(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.range(20000).select("id", F.when(F.col("id") % 2 == 0, F.concat(F.lit("k"), F.col("id"))).alias("k"))
+        table = df.where("k is not null").select(F.col("k").alias("value"), F.col("id").alias("m"))
+        out = lookup(df, table, "k", {"m": "found"}, 10000, broadcast_rows=0)
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) <= 2 * 20000 / int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert out.where("found is null").count() == 10000 and out.where("found = id").count() == 10000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
 @pytest.mark.parametrize("broadcast_rows", [0, 100])
