@@ -31,6 +31,7 @@ from pricegrid.session import stage
 #: The control strings of the template and of common chat formats.
 CONTROL = ["<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<|im_start|>", "<|im_end|>", "<|endoftext|>"]
 OPEN, CLOSE = "<s>", "</s>"
+AT_ONCE = 64  # texts whose encodings are held at the same time
 _CONTROL = re.compile(r"\\|" + "|".join(map(re.escape, CONTROL)))
 _ESCAPED = re.compile(r"\\(\\|n)|" + "|".join(f"{re.escape(c[0])}\\\\{re.escape(c[1:])}" for c in CONTROL))
 _TURN = re.compile(re.escape(OPEN) + r"([^\n]*)\n(.*?)" + re.escape(CLOSE), re.DOTALL)
@@ -77,7 +78,10 @@ def token_counter(path):
         cache = count_cache()
         if path not in cache:
             cache[path] = Tokenizer.from_file(path)
-        return pd.Series([len(e.ids) for e in cache[path].encode_batch(texts.fillna("").tolist(), add_special_tokens=False)])
+        plain, sizes = texts.fillna("").tolist(), []
+        for k in range(0, len(plain), AT_ONCE):  # encodings are far larger than their texts
+            sizes += [len(e.ids) for e in cache[path].encode_batch(plain[k : k + AT_ONCE], add_special_tokens=False)]
+        return pd.Series(sizes, dtype="int64")
 
     return count
 
@@ -99,9 +103,8 @@ def windows(turns, tokens, budget=1024, history=2, history_budget=256, markup=8)
         "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
     )
     order = ["conv_id", "turn", "role", "text"]
-    rows = rows.withColumn("n", tokens(F.col("text")) + markup)
-    dealt = rows.repartitionByRange("conv_id", "turn", "role").sortWithinPartitions(*order)
-    dealt = stage(dealt.withColumn("part", F.spark_partition_id()), "chat-turns")
+    dealt = rows.repartitionByRange("conv_id", "turn", "role")  # tokens are counted after it, once
+    dealt = stage(dealt.withColumn("part", F.spark_partition_id()).withColumn("n", tokens(F.col("text")) + markup), "chat-turns")
 
     # Level one: sums inside a partition; level two: one row a partition and conversation.
     inside = Window.partitionBy("part", "conv_id").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, 0)
