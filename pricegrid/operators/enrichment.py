@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from pricegrid import constants as C
 from pricegrid.functions.hashing import uniform, weighted
+from pricegrid.operators.keys import with_row_key
 from pricegrid.operators.projection import rename_existing, reorder
 from pricegrid.schema import CANONICAL_SCHEMA
 from pricegrid.sources.tables import sample_rows
@@ -86,7 +87,11 @@ def doors():
 
 
 def enrich(df: DataFrame, key="listing_id", sample=None, seed=42, keep_key=False) -> DataFrame:
-    """Raw listings to the canonical columns, with generated values."""
+    """Raw listings to the canonical columns, with generated values.
+
+    A table without the key column gets one from its rows.
+    """
+    df = df if key in df.columns else with_row_key(df, key)
     df = sample_rows(df, sample, key, seed) if sample else df
     if "age_years" not in df.columns:
         df = df.withColumn("age_years", F.col("year_of_reference") - F.col("year_model"))

@@ -21,6 +21,11 @@ from pricegrid.session import stage
 # Keys fetched at the end of a search for a cut key.
 FETCH = 20_000
 PREFIX_DIGITS = 3
+LONGEST_KEY = 64
+
+
+class EqualKeys(ValueError):
+    """Rows with equal keys lie on both sides of a cut."""
 
 
 def cut_keys(df: DataFrame, key, ranks_of, stratum=None) -> dict:
@@ -30,7 +35,8 @@ def cut_keys(df: DataFrame, key, ranks_of, stratum=None) -> dict:
     prefix inside the prefixes still open (at most 16^3 counters per open
     prefix) until the rest is short enough to fetch. Rows are read but never
     moved, so a split by these keys needs no sort of the table. Rank 0 gives
-    None. Returns {stratum: (n, [key, ...])}.
+    None. Equal keys on both sides of a cut raise EqualKeys. Returns
+    {stratum: (n, [key, ...])}.
     """
     stratum = F.lit(0) if stratum is None else stratum
     base = df.select(stratum.alias("s"), key.alias("k")).where(F.col("s").isNotNull())
@@ -53,8 +59,8 @@ def cut_keys(df: DataFrame, key, ranks_of, stratum=None) -> dict:
                 open_[goal] = narrowed
         if open_:
             depth += PREFIX_DIGITS
-            if depth > 32:
-                raise ValueError("the key is not unique: too many equal keys at the cut")
+            if depth > LONGEST_KEY + PREFIX_DIGITS:
+                raise EqualKeys("the key is not unique: too many equal keys at the cut")
             hist = _prefix_counts(base, depth, {(g[0], p) for g, (p, _, _) in open_.items()})
     if ready:
         wanted = {(g[0], p) for g, (p, _, _) in ready.items()}
@@ -66,7 +72,7 @@ def cut_keys(df: DataFrame, key, ranks_of, stratum=None) -> dict:
         for (s, r), (p, rank, _) in ready.items():
             run = sorted(keys[(s, p)])
             if rank < len(run) and run[rank] == run[rank - 1]:
-                raise ValueError("the key is not unique: equal keys at the cut")
+                raise EqualKeys("the key is not unique: equal keys at the cut")
             found[(s, r)] = run[rank - 1]
     return {s: (sizes[s], [found[(s, r)] for r in ranks]) for s, ranks in goals.items()}
 

@@ -2,7 +2,9 @@
 
 Fitting finds the hash keys at the split points; applying a split only compares
 keys, so the table is neither sorted nor shuffled and the assignment does not
-depend on partitioning, retries or row order.
+depend on partitioning, retries or row order. A table without the key column, or
+with equal keys at a split point, is ordered by its whole rows (operators/keys.py),
+which costs one shuffle and gives exact sizes as well.
 """
 
 from __future__ import annotations
@@ -15,9 +17,9 @@ from pyspark.sql import functions as F
 
 from pricegrid import constants as C
 from pricegrid.functions.bins import right_closed
-from pricegrid.functions.hashing import split_key
 from pricegrid.functions.predicates import any_of
-from pricegrid.operators.order import count_below, cut_keys
+from pricegrid.operators.keys import ordered
+from pricegrid.operators.order import EqualKeys, count_below, cut_keys
 
 
 @dataclass(frozen=True)
@@ -30,6 +32,7 @@ class SplitModel:
     cuts: dict
     column: str | None = None
     edges: tuple = ()
+    by_row: bool = False
 
     def transform(self, df: DataFrame, split_col="split") -> DataFrame:
         """Label every row train, val or test.
@@ -37,12 +40,13 @@ class SplitModel:
         The stratified split leaves out rows that fall in no bin. Hash and bin
         are columns of their own, so each is worked out once per row.
         """
-        new = {"_key": split_key(F.col(self.key), self.seed)}
+        df, key = ordered(df, self.key, self.seed, self.by_row)
+        new = {"_key": key}
         if self.method == "stratified":
             new["_bin"] = right_closed(F.col(self.column), list(self.edges), include_lowest=True)
         out = df.withColumns(new)
         out = out.where(F.col("_bin").isNotNull()) if self.method == "stratified" else out
-        return out.withColumn(split_col, self._label()).drop(*new)
+        return out.withColumn(split_col, self._label()).drop(*new, "_row")
 
     def _label(self):
         key = F.col("_key")
@@ -102,21 +106,31 @@ class Splitter:
         return [first, first + math.floor(n * self.val)]
 
     def fit(self, df: DataFrame) -> SplitModel:
+        """Whole rows order the table only if it has no key, or equal ones at a split point."""
+        if self.key in df.columns:
+            try:
+                return self._fit(df, False)
+            except EqualKeys:
+                pass
+        return self._fit(df, True)
+
+    def _fit(self, df, by_row):
+        df, key = ordered(df, self.key, self.seed, by_row)
         if self.method == "stratified" and self.target in df.columns:
-            return self._fit_stratified(df)
+            return self._fit_stratified(df, key, by_row)
         if self.method == "time" and self.order in df.columns:
-            return self._fit_time(df)
-        found = cut_keys(df, split_key(F.col(self.key), self.seed), self._ranks)
+            return self._fit_time(df, key, by_row)
+        found = cut_keys(df, key, self._ranks)
         cuts = {s: (n, *keys) for s, (n, keys) in found.items()}
-        return SplitModel("random", self.key, self.seed, cuts)
+        return SplitModel("random", self.key, self.seed, cuts, by_row=by_row)
 
-    def _fit_stratified(self, df):
+    def _fit_stratified(self, df, key, by_row):
         bins = right_closed(F.col(self.target), list(self.edges), include_lowest=True)
-        found = cut_keys(df, split_key(F.col(self.key), self.seed), self._ranks, stratum=bins)
+        found = cut_keys(df, key, self._ranks, stratum=bins)
         cuts = {s: (n, *keys) for s, (n, keys) in found.items()}
-        return SplitModel("stratified", self.key, self.seed, cuts, self.target, self.edges)
+        return SplitModel("stratified", self.key, self.seed, cuts, self.target, self.edges, by_row)
 
-    def _fit_time(self, df):
+    def _fit_time(self, df, key, by_row):
         """Rows are ordered by time and, within the same time, by key hash."""
         rows = df.where(F.col(self.order).isNotNull())
         n = df.count()
@@ -135,12 +149,12 @@ class Splitter:
             if value is not None:
                 inner.setdefault(value, []).append(rank)
         found = (
-            cut_keys_at(rows, F.col(self.order).cast("double"), split_key(F.col(self.key), self.seed), inner)
+            cut_keys_at(rows, F.col(self.order).cast("double"), key, inner)
             if inner
             else {}
         )
         labelled = [(v, found.get((v, r))) for v, r in points]
-        return SplitModel("time", self.key, self.seed, {"points": labelled}, self.order)
+        return SplitModel("time", self.key, self.seed, {"points": labelled}, self.order, by_row=by_row)
 
     def split(self, df: DataFrame):
         """Fit and return the (train, val, test) frames."""

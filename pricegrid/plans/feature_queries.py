@@ -372,13 +372,13 @@ def fs2_mutual_information(spark, sf_dir):
 @query("fs3_importance")
 def fs3_importance(spark, sf_dir):
     df = _candidates(spark, sf_dir)
-    return selection.FeatureSelector("importance", prune=False, trees=20).fit(df, "price", CANDIDATES).report(spark)
+    return selection.FeatureSelector("importance", prune=False).fit(df, "price", CANDIDATES).report(spark)
 
 
 @query("fs4_all_methods")
 def fs4_all_methods(spark, sf_dir):
     df = _candidates(spark, sf_dir)
-    return selection.FeatureSelector("all", trees=20).fit(df, "price", CANDIDATES).report(spark)
+    return selection.FeatureSelector("all").fit(df, "price", CANDIDATES).report(spark)
 
 
 @query(

@@ -71,7 +71,7 @@ class BatchJob:
             raise ValueError(f"unknown stage: {upto}")
         last, out, key = STAGES.index(upto), {}, self.config.key
         steps = {
-            "load": lambda: combine(*frames),
+            "load": lambda: combine(*frames, key=None if any(key in f.columns for f in frames) else key),
             "validate_before": lambda: validation.validate(out["load"], self.config),
             "clean": lambda: Cleaner(self.config, self.method).clean(out["load"]),
             "validate_after": lambda: validation.validate(out["clean"], self.config),

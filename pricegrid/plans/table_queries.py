@@ -271,6 +271,22 @@ def sp2_random_split(spark, sf_dir):
     return Splitter().fit(rows).transform(rows)
 
 
+ROW_HASH = """md5(md5('{"brand":"' || brand || '","year_of_reference":' || year_of_reference || '}') || '-' || copy || '|42')"""
+
+
+@query(
+    "sp2_keyless_split",
+    f"""{L}, c as (select brand, year_of_reference,
+  row_number() over (partition by brand, year_of_reference) - 1 as copy from l),
+ h as (select *, {ROW_HASH} as k from c), {sql.split_ctes('h', 'k')}
+select brand, year_of_reference, split, count(*) as n from sp group by all""",
+)
+def sp2_keyless_split(spark, sf_dir):
+    """Few different rows without a key: copies are told apart by their number."""
+    rows = once(listings(spark, sf_dir), "brand", "year_of_reference")
+    return Splitter().fit(rows).transform(rows).groupBy("brand", "year_of_reference", "split").agg(F.count("*").alias("n"))
+
+
 BIN_SQL = "case " + " ".join(
     f"when price{'>=' if i == 0 else '>'}{low}" + (f" and price<={high}" if high else "") + f" then {i}"
     for i, (low, high) in enumerate(zip(C.SPLIT_PRICE_EDGES, C.SPLIT_PRICE_EDGES[1:]))

@@ -8,16 +8,17 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricegrid.functions.hashing import split_key
 from pricegrid.functions.predicates import nan_to_null
-from pricegrid.operators.order import cut_keys
+from pricegrid.operators.keys import ordered, with_row_key
+from pricegrid.operators.order import EqualKeys, cut_keys
 from pricegrid.schema import CANONICAL_SCHEMA
 
 
-def read_listings(spark: SparkSession, path, schema=CANONICAL_SCHEMA, fmt="csv", header=True):
+def read_listings(spark: SparkSession, path, schema=CANONICAL_SCHEMA, fmt="csv", header=True, key=None):
     """Scan a file or folder with a declared schema, so no inference pass runs.
 
     Fields that do not parse become null. A missing path raises FileNotFoundError.
+    With `key`, a column of that name tells all rows apart (see with_row_key).
     """
     reader = spark.read.schema(schema) if schema is not None else spark.read
     try:
@@ -29,7 +30,8 @@ def read_listings(spark: SparkSession, path, schema=CANONICAL_SCHEMA, fmt="csv",
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"no such dataset: {path}") from error
         raise
-    return nan_to_null(df)
+    df = nan_to_null(df)
+    return with_row_key(df, key) if key else df
 
 
 def read_all(spark: SparkSession, paths: dict, **options) -> dict:
@@ -37,18 +39,29 @@ def read_all(spark: SparkSession, paths: dict, **options) -> dict:
     return {name: read_listings(spark, path, **options) for name, path in paths.items()}
 
 
-def combine(*frames: DataFrame) -> DataFrame:
-    """Union by column name; columns that a frame lacks become null."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+def combine(*frames: DataFrame, key=None) -> DataFrame:
+    """Union by column name; columns that a frame lacks become null.
+
+    With `key`, rows get a new key column of that name (see with_row_key).
+    """
+    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return with_row_key(df, key) if key else df
 
 
 def sample_rows(df: DataFrame, n: int, key="listing_id", seed=42) -> DataFrame:
     """The n rows with the smallest seeded key hash: the same rows on every run.
 
     The n-th smallest hash is looked up first, so keeping the rows is a plain
-    filter and no task has to hold the sample.
+    filter and no task has to hold the sample. Without the key column, or with
+    equal keys at the cut, whole rows give the order.
     """
-    hashed = split_key(F.col(key), seed)
-    found = cut_keys(df, hashed, lambda total: [min(n, total)])
+    for by_row in [False, True] if key in df.columns else [True]:
+        rows, hashed = ordered(df, key, seed, by_row)
+        try:
+            found = cut_keys(rows, hashed, lambda total: [min(n, total)])
+            break
+        except EqualKeys:
+            if by_row:
+                raise
     cut = next((keys[0] for _, keys in found.values()), None)
-    return df.limit(0) if cut is None else df.where(hashed <= F.lit(cut))
+    return df.limit(0) if cut is None else rows.where(hashed <= F.lit(cut)).select(*df.columns)
