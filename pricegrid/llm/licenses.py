@@ -6,13 +6,16 @@ s bigrams and a template with t of them can reach a Dice coefficient d only if
 s and t differ by at most the factor (2 - d) / d, and only if the passage shares
 at least d t / (2 - d) bigrams. So a template is tried on a text only if the
 text holds that many of its bigrams, and only passages within the size bounds
-that begin and end at shared bigrams are measured. Every word of every text is
+that begin and end at shared bigrams are measured. The upper bound also holds
+for a passage's bigrams with their repeats, so a text that repeats a licence many
+times is work in proportion to its length. Every word of every text is
 looked at; the templates are a small fixed table, or the caller's.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 
 import numpy as np
 import pandas as pd
@@ -113,53 +116,54 @@ def bigrams(texts):
 
 
 def prepared(templates):
-    """(licence, variant, distinct bigrams) of every template with a bigram."""
+    """(licence, variant, distinct bigrams, all bigrams' number) of every template with a bigram."""
     out = []
     for name, texts in templates.items():
         for k, text in enumerate(texts):
             _, pairs = bigrams([text])
             if len(pairs):
-                out.append((name, k, np.unique(pairs)))
+                out.append((name, k, np.unique(pairs), len(pairs)))
     return out
 
 
-def passages(pairs, known, threshold):
+def passages(pairs, known, length, threshold):
     """Best passages of a text: (dice, first bigram, last bigram) over distinct bigrams.
 
-    `pairs` are the bigrams of a text, `known` the template's. From every shared
-    bigram the passages within the size bounds that end at a shared bigram are
-    measured; of overlapping ones the best, then earliest and longest, stays.
+    `pairs` are the bigrams of a text, `known` the template's, `length` their
+    number with repeats. From every shared bigram the passages within the size
+    bounds that end at a shared bigram are measured; the best, then longest, counts.
     """
     t = len(known)
-    where = np.flatnonzero(np.isin(pairs, known))
+    where = np.flatnonzero(np.isin(pairs, known)).tolist()
     if len(np.unique(pairs[where])) < threshold * t / (2 - threshold):
         return []
-    most = (2 - threshold) / threshold * t
+    most, longest = (2 - threshold) / threshold * t, (2 - threshold) / threshold * length
     found = []
     for i, first in enumerate(where):
-        seen, shared, upto, k = set(), set(), first, i
-        while k < len(where):
-            last = where[k]
-            for p in range(upto, last + 1):
-                seen.add(int(pairs[p]))
+        seen, shared, upto, best = set(), set(), first, None
+        for last in where[i : i + int(longest) + 1]:
+            seen.update(pairs[upto : last + 1].tolist())
             upto = last + 1
-            if len(seen) > most:
+            if len(seen) > most or upto - first > longest:
                 break
             shared.add(int(pairs[last]))
             dice = 2 * len(shared) / (len(seen) + t)
-            if dice >= threshold:
-                found.append((dice, int(first), int(last)))
-            k += 1
+            if dice >= threshold and (best is None or dice >= best[0]):
+                best = (dice, first, last)
+        if best:
+            found.append(best)
     return found
 
 
 def disjoint(found):
     """Of overlapping passages the one with the highest coefficient, then the earliest and longest."""
-    kept, taken = [], []
+    kept, firsts, lasts = [], [], []  # taken passages in order; they do not overlap
     for row in sorted(found, key=lambda r: (-r[0], r[1], -(r[2] - r[1]), r[3:])):
-        if all(row[2] < a or row[1] > b for a, b in taken):
+        k = bisect_left(firsts, row[1])
+        if (k == 0 or lasts[k - 1] < row[1]) and (k == len(firsts) or firsts[k] > row[2]):
             kept.append(row)
-            taken.append((row[1], row[2]))
+            firsts.insert(k, row[1])
+            lasts.insert(k, row[2])
     return sorted(kept, key=lambda r: r[1])
 
 
@@ -171,8 +175,8 @@ def scan(docs, templates=None, key="doc_id", text="text", threshold=THRESHOLD):
     rows. Other columns are dropped.
     """
     ready = prepared(TEMPLATES if templates is None else templates)
-    every = np.unique(np.concatenate([b for _, _, b in ready])) if ready else np.zeros(0, np.uint64)
-    least = min((threshold * len(b) / (2 - threshold) for _, _, b in ready), default=0)
+    every = np.unique(np.concatenate([b for _, _, b, _ in ready])) if ready else np.zeros(0, np.uint64)
+    least = min((threshold * len(b) / (2 - threshold) for _, _, b, _ in ready), default=0)
     names = [key, "license", "dice", "first_word", "n_words"]
     schema = docs.select(key).schema.add("license", "string").add("dice", "double").add("first_word", "long").add("n_words", "long")
 
@@ -187,8 +191,8 @@ def scan(docs, templates=None, key="doc_id", text="text", threshold=THRESHOLD):
                     if hi <= lo or hit[hi] - hit[lo] < least:
                         continue
                     found = []
-                    for name, variant, known in ready:
-                        found += [(d, i, j, name, variant) for d, i, j in passages(pairs[lo:hi], known, threshold)]
+                    for name, variant, known, length in ready:
+                        found += [(d, i, j, name, variant) for d, i, j in passages(pairs[lo:hi], known, length, threshold)]
                     out += [(batch[key].iloc[k], name, d, i, j - i + 2) for d, i, j, name, _ in disjoint(found)]
             if out:
                 yield pd.DataFrame(out, columns=names).astype({key: batch[key].dtype})

@@ -234,6 +234,16 @@ def test_license_passages(spark):
     assert rows(licenses.scan(docs_of(spark, texts), templates={})) == []
 
 
+def test_license_repeated_very_often_takes_linear_time():
+    for name in ("ISC", "MIT"):
+        templates = {name: licenses.TEMPLATES[name][-1:]}
+        ((_, _, known, length),) = licenses.prepared(templates)
+        _, pairs = licenses.bigrams([" ".join(templates[name] * 100)])
+        found = licenses.disjoint(licenses.passages(pairs, known, length, 0.8))
+        assert len(found) >= 99 and all(d >= 0.8 for d, _, _ in found)
+        assert all(a[2] < b[1] for a, b in zip(found, found[1:]))
+
+
 def test_license_query_finds_all_planted_lines(spark):
     docs = table(spark, SF, "documents")
     lines = docs.where("text rlike 'Released under the MIT License|Licensed under the Apache License|Licensed under CC BY-NC|GNU General Public License'")
