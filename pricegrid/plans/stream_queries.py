@@ -53,8 +53,9 @@ def st1_stream_rejected(spark, sf_dir):
 select strftime(s, '%Y-%m-%d %H:%M:%S') as window_start, count(*) as rows,
  count(*) filter (where event_type not in ('view','click','purchase','signup')) as unknown_type,
  count(*) filter (where value<0) as negative_value, count(*) filter (where value>200) as high_value,
- count(*) filter (where json_extract(props,'$.k') is null) as bad_props
-from w where s + interval 1 day <= (select max(ts) from events) - interval 1 hour group by s""",
+ count(*) filter (where json_extract(props,'$.k') is null) as bad_props,
+ s + interval 1 day <= (select max(ts) from events) - interval 1 hour as closed
+from w group by s""",
 )
 def st2_quality_windows(spark, sf_dir):
     base = shared_dir(spark, "windows")
@@ -64,7 +65,7 @@ def st2_quality_windows(spark, sf_dir):
     )
     counters = quality.quality_counters(stream, quality.event_rules())
     quality.write_counters(counters, f"{base}/out", f"{base}/checkpoint").awaitTermination()
-    out = spark.read.schema(counters.schema).parquet(f"{base}/out")
+    out = quality.read_counters(spark, f"{base}/out", counters.schema).drop("window_end", "last_event")
     return out.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
 
 

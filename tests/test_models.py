@@ -161,7 +161,11 @@ def test_late_events_are_dropped(spark):
     batch(2, [("2024-01-01 13:00:00", "view", -1.0, '{"k": 2}')])
     batch(3, [("2024-01-01 10:30:00", "view", 1.0, '{"k": 1}'), ("2024-01-01 16:00:00", "view", 1.0, '{"k": 1}')])
     batch(4, [("2024-01-01 19:00:00", "view", 1.0, '{"k": 1}')])
-    rows = {str(r.window_start)[11:16]: r for r in spark.read.parquet(f"{base}/out").collect()}
+    fields = spark.read.parquet(f"{base}/out").drop("batch").schema
+    counted = stream_quality.read_counters(spark, f"{base}/out", fields, "10 minutes")
+    rows = {str(r.window_start)[11:16]: r for r in counted.collect()}
     first = rows["10:00"]
     assert (first.rows, first.unknown_type, first.high_value, first.bad_props) == (2, 1, 1, 1)
     assert rows["13:00"].negative_value == 1
+    # The window still open at the end is there as well, and marked.
+    assert {k: r.closed for k, r in rows.items()} == {"10:00": True, "13:00": True, "16:00": True, "19:00": False}
