@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pricegrid import constants as C
 from pricegrid.functions import bins
 from pricegrid.operators import correlation, profiling, projection
+from pricegrid.operators.order import quantiles
 from pricegrid.plans import sql
 from pricegrid.plans.catalog import Catalog
 from pricegrid.plans.table_queries import CATEGORY_SQL, range_sql_case
@@ -497,6 +498,38 @@ def ed35_mean_of_means(spark, sf_dir):
     )
 
 
+MEANS = "m as (select model, avg(price) as mean, count(*) as n from l where model is not null group by 1 having count(price)>=50)"
+
+
+@query(
+    "ed35_median_of_means",
+    f"{L}, {MEANS} select round(quantile_cont(mean,0.5),4) as median_of_means from m",
+)
+def ed35_median_of_means(spark, sf_dir):
+    means = listings(spark, sf_dir).where("model is not null").groupBy("model").agg(
+        F.avg("price").alias("mean"), F.count("price").alias("n")
+    ).where("n >= 50")
+    return quantiles(means, ["mean"], [0.5]).select(F.round(F.col("mean")[0], 4).alias("median_of_means"))
+
+
+for _name, _pair, _source in (
+    ("fuel_by_transmission", ("fuel_type", "transmission"), "select fuel_type, transmission, price from l"),
+    ("condition_by_age", ("condition", "age_range"), f"select condition, {range_sql_case('age_years', C.AGE_RANGE_EDGES, C.AGE_RANGE_LABELS)} as age_range, price from l"),
+):
+
+    @query(
+        f"ed36_{_name}_stats",
+        f"""{L}, s as ({_source}) select {', '.join(_pair)}, round(avg(price),4) as mean,
+ round(quantile_cont(price,0.5),4) as median, count(price) as count from s
+ where {' and '.join(f'{c} is not null' for c in _pair)} group by 1,2""",
+    )
+    def _pair_stats(spark, sf_dir, pair=_pair):
+        """Mean, median and count of the price per pair of groups."""
+        label = bins.right_closed(F.col("age_years"), C.AGE_RANGE_EDGES, C.AGE_RANGE_LABELS)
+        df = once(listings(spark, sf_dir).withColumn("age_range", label), *pair, "price")
+        return profiling.group_stats(df, list(pair), "price", ("mean", "median", "count"))
+
+
 @query(
     "ed36_brand_by_year",
     f"""{L}, t as (select brand from l group by 1 order by count(*) desc, brand limit 10)
