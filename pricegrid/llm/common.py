@@ -77,6 +77,13 @@ def window_hash(hashes, at, length, salt=0):
     return mixed(total)
 
 
+def ranges(first, count):
+    """first[0], first[0]+1, ... count[0] numbers, and so on for every entry."""
+    total = int(count.sum())
+    shift = np.repeat(first - np.concatenate([[0], np.cumsum(count)[:-1]]), count)
+    return np.arange(total) + shift
+
+
 def components(links, a="a", b="b"):
     """Smallest node reachable from every linked node: (node, component).
 

@@ -2,17 +2,22 @@
 
 On unit vectors cosine >= c is distance <= sqrt(2 - 2c) = t. Nets with halving
 radii are laid over a sample of at most SAMPLE vectors: every level's centres
-lie further apart than its radius and each centre's parent covers it. Every
-vector goes down to a centre, and in it to the shell whose radius (halving from
-2 down to t/2) its distance falls in; a centre's shell is a tree node with the
-true covering radius of its members. The sample steers only the speed.
-
-The traversal takes pairs of nodes: apart by more than t plus both radii, no
-member of one is within t of the other (pruned); if the distance plus both radii
-is at most t, all members are (linked without comparing any); the other pairs
-are compared. Nodes are cut or packed into blocks of at most BLOCK vectors, and
-two blocks are compared as one matrix product in double precision, so no pair of
-vectors ever becomes a row: a block pair gives link counts and a spanning forest.
+lie further apart than its radius, and each new centre's parent is the nearest
+centre of the coarser levels, which covers it. Every vector goes down to a
+centre, and in it to the shell whose radius (halving from 2 down to t/2) its
+distance falls in; a centre's shell is a leaf with the true covering radius of
+its members, and covering radii are summed up from level to level. The sample
+steers only the speed.
+
+The dual traversal meets every two leaves once, below the node where their ways
+part: a pair of nodes further apart than t plus both radii is pruned with all
+that lies below it, else the wider node is opened. Of the leaf pairs left, those
+whose distance plus both radii is at most t are linked without comparing any
+member; the others are compared. The traversal runs in tasks, dealt by tree
+edge, and its pairs stay in a table. Leaves are cut or packed, in the order of
+the tree, into blocks of at most BLOCK vectors, and two blocks are compared as
+one matrix product in double precision, so no pair of vectors ever becomes a
+row: a block pair gives link counts and a spanning forest.
 
 Equal vectors are one class with a weight. A vector that is null, zero or has
 null or non-finite components links with nothing.
@@ -20,15 +25,18 @@ null or non-finite components links with nothing.
 
 from __future__ import annotations
 
+from collections import namedtuple
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from pricegrid.llm.common import components
+from pricegrid.llm.common import components, ranges
 from pricegrid.session import stage
 
 SAMPLE = 2048
 BLOCK = 4096
+PORTION = 1 << 16  # node pairs handled at once
 SLACK = 1e-7  # bounds are kept this far from the threshold; pairs inside are compared
 
 
@@ -48,12 +56,13 @@ def nets(points, smallest):
     nearest = np.full(len(points), np.inf)
     owner = np.zeros(len(points), int)
     while True:
+        coarser = owner.copy()
         for k in np.argsort(-nearest, kind="stable"):
             if nearest[k] > radius:
-                parents.append(int(owner[k]) if centres else -1)
+                parents.append(int(coarser[k]) if centres else -1)
                 centres.append(int(k))
                 radii.append(radius)
-                d = np.sqrt(np.maximum(0, 2 - 2 * points @ points[k]))
+                d = np.sqrt(np.clip(2 - 2 * points @ points[k], 0, 4))
                 closer = d < nearest
                 nearest[closer], owner[closer] = d[closer], len(centres) - 1
         if radius <= smallest:
@@ -61,6 +70,81 @@ def nets(points, smallest):
         radius = max(radius / 2, smallest)
 
 
+#: Nodes 0 to leaves - 1 are leaves. A node has a centre and a covering radius;
+#: node x >= leaves has the children kids[first[x - leaves]:first[x - leaves + 1]].
+Tree = namedtuple("Tree", "leaves centre cover first kids")
+
+
+def cover_tree(points, parents, radii, leaf_centre, leaf_radius):
+    """The tree over leaves given by centre and radius, and the leaves' order in it.
+
+    A centre is a node on its own level and on all finer ones; its children are
+    itself and the centres it is parent of, one level down, and on the last level
+    its leaves. Nodes without leaves below are left out; the root comes last.
+    """
+    levels = np.unique(radii)[::-1]
+    level = np.searchsorted(-levels, -radii)
+    centre, cover, kids = leaf_centre.tolist(), leaf_radius.tolist(), []
+    below = [[] for _ in radii]  # nodes of the finer level, by the centre above
+    for leaf, k in enumerate(centre):
+        below[k].append(leaf)
+    for depth in range(len(levels) - 1, -1, -1):
+        up = [[] for _ in radii]
+        for k in np.flatnonzero(level <= depth):
+            if below[k]:
+                d = np.linalg.norm(points[[centre[x] for x in below[k]]] - points[k], axis=1)
+                up[k if level[k] < depth or depth == 0 else parents[k]].append(len(centre))
+                centre.append(int(k))
+                cover.append(min(2.0, float((d + [cover[x] for x in below[k]]).max()) + SLACK))
+                kids.append(below[k])
+        below = up
+    order, waiting, leaves = [], [len(centre) - 1], len(leaf_centre)
+    while waiting:
+        x = waiting.pop()
+        if x < leaves:
+            order.append(x)
+        else:
+            waiting.extend(kids[x - leaves])
+    first = np.concatenate([[0], np.cumsum([len(k) for k in kids])]).astype(np.int64)
+    return Tree(leaves, np.array(centre), np.array(cover), first, np.concatenate(kids).astype(np.int64)), np.array(order)
+
+
+def meetings(tree, points, edges, t):
+    """(a, b, whole) of the leaf pairs that are not pruned, in portions.
+
+    Every edge stands for its child met with the children after it under the
+    same parent, and a leaf also for itself, so all edges together meet every
+    two leaves once. whole: all members of both leaves lie within t.
+    """
+    ends = np.repeat(tree.first[1:], np.diff(tree.first))[edges]
+    start = np.where(tree.kids[edges] < tree.leaves, edges, edges + 1)
+    waiting = [(np.repeat(tree.kids[edges], ends - start), tree.kids[ranges(start, ends - start)])]
+    while waiting:
+        a, b = waiting.pop()
+        if len(a) > PORTION:
+            waiting.extend((a[k : k + PORTION], b[k : k + PORTION]) for k in range(0, len(a), PORTION))
+            continue
+        apart = np.sqrt(np.clip(2 - 2 * np.einsum("ij,ij->i", points[tree.centre[a]], points[tree.centre[b]]), 0, 4))
+        apart[tree.centre[a] == tree.centre[b]] = 0
+        reach = tree.cover[a] + tree.cover[b]
+        near = apart - reach <= t + SLACK
+        a, b, whole = a[near], b[near], (apart + reach <= t - SLACK)[near]
+        done = (a < tree.leaves) & (b < tree.leaves)
+        if done.any():
+            yield a[done], b[done], whole[done]
+        a, b = a[~done], b[~done]
+        if len(a):
+            other = (a < tree.leaves) | ((b >= tree.leaves) & (tree.cover[b] > tree.cover[a]))
+            x, y = np.where(other, b, a), np.where(other, a, b)
+            begin = tree.first[x - tree.leaves]
+            count = tree.first[x - tree.leaves + 1] - begin
+            if count.sum() > 4 * PORTION and len(x) > 1:
+                half = len(x) // 2
+                waiting += [(x[:half], y[:half]), (x[half:], y[half:])]
+            else:
+                waiting.append((tree.kids[ranges(begin, count)], np.repeat(y, count)))
+
+
 def forest(i, j, n):
     """A spanning forest (pairs of indices) of the links i-j over n points."""
     low = np.arange(n)
@@ -88,8 +172,8 @@ def links(classes, threshold=0.9, sample=SAMPLE, block=BLOCK):
     if not len(some):
         return spark.createDataFrame([], "id long, n long"), spark.createDataFrame([], "a long, b long")
     points = unit(some["v"])
-    centres, _, _ = nets(points, t / 2)
-    tree = spark.sparkContext.broadcast(points[centres])
+    centres, parents, radii = nets(points, t / 2)
+    held = spark.sparkContext.broadcast(points[centres])
     shells = [t / 2]
     while shells[-1] < 2:
         shells.append(shells[-1] * 2)
@@ -98,9 +182,8 @@ def links(classes, threshold=0.9, sample=SAMPLE, block=BLOCK):
         for batch in batches:
             if len(batch):
                 x = unit(batch["v"])
-                d2 = 2 - 2 * x @ tree.value.T
-                centre = d2.argmin(axis=1)
-                d = np.linalg.norm(x - tree.value[centre], axis=1)
+                centre = (x @ held.value.T).argmax(axis=1)
+                d = np.linalg.norm(x - held.value[centre], axis=1)
                 yield batch.assign(node=centre * 64 + np.searchsorted(shells, d), d=d)
 
     kind = classes.select("*").schema.add("node", "long").add("d", "double")
@@ -109,108 +192,100 @@ def links(classes, threshold=0.9, sample=SAMPLE, block=BLOCK):
         F.count("*").alias("n"), F.sum("weight").alias("w"), F.max("d").alias("r"), F.min("id").alias("low")
     ).toPandas().sort_values("node").reset_index(drop=True)  # at most SAMPLE centres x 6 shells
 
-    place = tree.value[nodes["node"].to_numpy() // 64]
-    r = nodes["r"].to_numpy()
-    apart = np.sqrt(np.maximum(0, 2 - 2 * np.clip(place @ place.T, -1, 1)))
-    same = nodes["node"].to_numpy()[:, None] // 64 == nodes["node"].to_numpy()[None, :] // 64
-    apart[same] = 0
-    reach = r[:, None] + r[None, :]
-    pruned = apart - reach > t + SLACK
-    bulk = apart + reach <= t - SLACK
-
-    # Blocks: a large node is cut into parts, small nodes are packed together in
-    # tree order; a node with a bulk pair stays alone so that it can be skipped.
-    n = nodes["n"].to_numpy()
-    group, size, alone = np.zeros(len(n), int), 0, False
-    for k in range(len(n)):
-        single = n[k] >= block or (bulk[k, k] and n[k] >= 64)
-        if k and (single or alone or size + n[k] > block):
-            group[k:] = group[k - 1] + 1
-            size = 0
-        size, alone = size + n[k], single
-    groups = int(group[-1]) + 1
-    starts = np.searchsorted(group, np.arange(groups))
-    count = np.add.reduceat(n, starts)
-    parts = np.maximum(1, -(-count // block))
-    over = lambda m: np.logical_and.reduceat(np.logical_and.reduceat(m, starts, 0), starts, 1)
-    skip, whole = over(pruned), over(bulk)
-    todo = [(int(a), int(b)) for a, b in zip(*np.nonzero(np.triu(~skip & ~whole)))]
-
-    table = pd.DataFrame({"node": nodes["node"], "g": group, "parts": parts[group]})
-    member = F.broadcast(spark.createDataFrame(table))  # at most SAMPLE centres x 6 shells
+    tree, order = cover_tree(held.value, parents, radii, nodes["node"].to_numpy() // 64, nodes["r"].to_numpy())
+
+    # Blocks: a large leaf is cut into parts, small leaves are packed together in
+    # tree order; a leaf whose members all link stays alone so that it can be skipped.
+    n, tight = nodes["n"].to_numpy(), 2 * nodes["r"].to_numpy() <= t - SLACK
+    group, size, alone, at = np.zeros(len(n), int), 0, False, 0
+    for step, k in enumerate(order):
+        single = n[k] >= block or (tight[k] and n[k] >= 64)
+        if step and (single or alone or size + n[k] > block):
+            at, size = at + 1, 0
+        group[k], size, alone = at, size + n[k], single
+    nodes["g"] = group
+    blocks = nodes.groupby("g").agg(leaves=("n", "size"), n=("n", "sum"), w=("w", "sum"), low=("low", "min")).reset_index()
+    blocks["parts"] = np.maximum(1, -(-blocks["n"] // block))
+    blocks = spark.createDataFrame(blocks)  # at most the leaves, as are all tables made of them
+
+    walked = spark.sparkContext.broadcast((tree, group))
+
+    def traverse(batches):
+        tree, group = walked.value
+        for batch in batches:
+            edges = batch["id"].to_numpy()
+            for k in range(0, len(edges), 64):
+                for a, b, whole in meetings(tree, held.value, edges[k : k + 64], t):
+                    ga, gb = np.minimum(group[a], group[b]), np.maximum(group[a], group[b])
+                    met = pd.DataFrame({"ga": ga, "gb": gb, "n": 1, "whole": whole.astype(np.int64)})
+                    yield met.groupby(["ga", "gb"], as_index=False).sum()
+
+    edges = spark.range(len(tree.kids)).repartition(int(min(len(tree.kids), 64)), "id")
+    pairs = edges.mapInPandas(traverse, "ga long, gb long, n long, whole long").groupBy("ga", "gb").agg(F.sum("n").alias("n"), F.sum("whole").alias("whole"))
+    side = lambda s: blocks.select(F.col("g").alias(f"g{s}"), *[F.col(c).alias(c + s) for c in ("leaves", "w", "low", "parts")])
+    pairs = pairs.join(side("a"), "ga").join(side("b"), "gb")
+    every = F.when(F.col("ga") == F.col("gb"), F.expr("leavesa * (leavesa + 1) / 2")).otherwise(F.expr("leavesa * leavesb"))
+    pairs = stage(pairs.withColumn("bulk", F.col("whole") == every), "cover-pairs")
+
+    member = F.broadcast(spark.createDataFrame(nodes[["node", "g"]]).join(blocks.select("g", "parts"), "g"))
     cut = placed.join(member, "node").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
     cut = stage(cut.select("id", "weight", "v", "g", "part"), "cover-blocks")
 
-    counts, joins = [], []
-    if todo:
-        asked = spark.createDataFrame(
-            [(k, a, b, int(parts[a]), int(parts[b])) for k, (a, b) in enumerate(todo)], "pair int, ga int, gb int, pa int, pb int"
-        )
-        asked = asked.select("*", F.explode(F.sequence(F.lit(0), F.col("pa") - 1)).alias("xa"))
-        asked = asked.select("*", F.explode(F.sequence(F.lit(0), F.col("pb") - 1)).alias("xb")).where("ga <> gb or xa <= xb")
-        sides = asked.select(
-            "pair", "xa", "xb",
-            F.explode(F.array(
-                F.struct(F.lit(0).alias("side"), F.col("ga").alias("g"), F.col("xa").cast("long").alias("part")),
-                F.struct(F.lit(1).alias("side"), F.col("gb").alias("g"), F.col("xb").cast("long").alias("part")),
-            )).alias("s"),
-        ).select("pair", "xa", "xb", "s.*").dropDuplicates(["pair", "xa", "xb", "g", "part"])
-        dealt = cut.join(sides, ["g", "part"])
-
-        def compare(batch):
-            x, w, ids = unit(batch["v"]), batch["weight"].to_numpy(), batch["id"].to_numpy()
-            side = batch["side"].to_numpy()
-            inner = side.min() == side.max()
-            first = np.flatnonzero(side == side.min())
-            other = first if inner else np.flatnonzero(side == 1)
-            total, fi, fj = np.zeros(len(x), np.int64), [], []
-            for k in range(0, len(first), 512):
-                rows = first[k : k + 512]
-                near = x[rows] @ x[other].T >= threshold
-                if inner:
-                    near[np.arange(len(rows)), np.arange(k, k + len(rows))] = False
-                i, j = np.nonzero(near)
-                if len(i):
-                    np.add.at(total, rows[i], w[other[j]])
-                    if not inner:
-                        np.add.at(total, other[j], w[rows[i]])
-                    a, b = forest(rows[i], other[j], len(x))
-                    fi.append(a)
-                    fj.append(b)
-            hit = np.flatnonzero(total)
-            out = [pd.DataFrame({"a": ids[hit], "b": 0, "n": total[hit]})]
-            if fi:
-                a, b = forest(np.concatenate(fi), np.concatenate(fj), len(x))
-                out.append(pd.DataFrame({"a": ids[a], "b": ids[b], "n": 0}))
-            return pd.concat(out).astype("int64")
-
-        met = dealt.groupBy("pair", "xa", "xb").applyInPandas(compare, "a long, b long, n long")
-        met = stage(met, "cover-links")
-        counts.append(met.where("n > 0").select(F.col("a").alias("id"), "n"))
-        joins.append(met.where("n = 0").select("a", "b"))
-
-    # Bulk pairs: counted by weight, joined through the nodes' smallest ids.
-    done = whole[np.ix_(group, group)]
-    low = nodes["low"].to_numpy()
-    extra = np.where(done, nodes["w"].to_numpy()[None, :], 0).sum(axis=1)
-    lows = [(int(low[k]), int(low[m])) for k, m in zip(*np.nonzero(np.triu(done, 1)))]
-    if done.any():
-        # All members of a node link to all of any bulk partner, so one of its members is their hub.
-        hub = low[done.argmax(axis=1)]
-        bulk_rows = pd.DataFrame({"node": nodes["node"], "extra": extra.astype(np.int64), "own": done.diagonal(), "hub": hub})
-        bulk_rows = F.broadcast(spark.createDataFrame(bulk_rows[bulk_rows["extra"] > 0]))  # at most the nodes
-        held = placed.select("id", "weight", "node").join(bulk_rows, "node")
-        counts.append(held.select("id", (F.col("extra") - F.when(F.col("own"), F.col("weight")).otherwise(0)).alias("n")))
-        joins.append(held.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")))
-        if lows:
-            joins.append(spark.createDataFrame(lows, "a long, b long"))
-    if not counts:
-        return spark.createDataFrame([], "id long, n long"), spark.createDataFrame([], "a long, b long")
-    n_links, edges = counts[0], joins[0]
-    for more in counts[1:]:
-        n_links = n_links.unionByName(more)
-    for more in joins[1:]:
-        edges = edges.unionByName(more)
+    asked = pairs.where("not bulk").select("ga", "gb", "partsb", F.explode(F.expr("sequence(0L, partsa - 1)")).alias("xa"))
+    asked = asked.select("ga", "gb", "xa", F.explode(F.expr("sequence(0L, partsb - 1)")).alias("xb")).where("ga <> gb or xa <= xb")
+    sides = asked.select(
+        "ga", "gb", "xa", "xb",
+        F.explode(F.array(
+            F.struct(F.lit(0).alias("side"), F.col("ga").alias("g"), F.col("xa").alias("part")),
+            F.struct(F.lit(1).alias("side"), F.col("gb").alias("g"), F.col("xb").alias("part")),
+        )).alias("s"),
+    ).select("ga", "gb", "xa", "xb", "s.*").dropDuplicates(["ga", "gb", "xa", "xb", "g", "part"])
+    dealt = cut.join(sides, ["g", "part"])
+
+    def compare(batch):
+        x, w, ids = unit(batch["v"]), batch["weight"].to_numpy(), batch["id"].to_numpy()
+        side = batch["side"].to_numpy()
+        inner = side.min() == side.max()
+        first = np.flatnonzero(side == side.min())
+        other = first if inner else np.flatnonzero(side == 1)
+        total, fi, fj = np.zeros(len(x), np.int64), [], []
+        for k in range(0, len(first), 512):
+            rows = first[k : k + 512]
+            near = x[rows] @ x[other].T >= threshold
+            if inner:
+                near[np.arange(len(rows)), np.arange(k, k + len(rows))] = False
+            i, j = np.nonzero(near)
+            if len(i):
+                np.add.at(total, rows[i], w[other[j]])
+                if not inner:
+                    np.add.at(total, other[j], w[rows[i]])
+                a, b = forest(rows[i], other[j], len(x))
+                fi.append(a)
+                fj.append(b)
+        hit = np.flatnonzero(total)
+        out = [pd.DataFrame({"a": ids[hit], "b": 0, "n": total[hit]})]
+        if fi:
+            a, b = forest(np.concatenate(fi), np.concatenate(fj), len(x))
+            out.append(pd.DataFrame({"a": ids[a], "b": ids[b], "n": 0}))
+        return pd.concat(out).astype("int64")
+
+    met = dealt.groupBy("ga", "gb", "xa", "xb").applyInPandas(compare, "a long, b long, n long")
+    met = stage(met, "cover-links")
+
+    # Bulk pairs: counted by weight. All members of a block link to all of a bulk
+    # partner, so the smallest member of one partner is their hub.
+    bulk = pairs.where("bulk")
+    both = bulk.select(F.col("ga").alias("g"), F.col("wb").alias("w"), F.col("lowb").alias("hub"), (F.col("ga") == F.col("gb")).alias("own")).unionByName(
+        bulk.where("ga <> gb").select(F.col("gb").alias("g"), F.col("wa").alias("w"), F.col("lowa").alias("hub"), F.lit(False).alias("own"))
+    )
+    both = F.broadcast(both.groupBy("g").agg(F.sum("w").alias("extra"), F.min("hub").alias("hub"), F.bool_or("own").alias("own")))
+    linked = cut.select("id", "weight", "g").join(both, "g")
+    n_links = met.where("n > 0").select(F.col("a").alias("id"), "n").unionByName(
+        linked.select("id", (F.col("extra") - F.when(F.col("own"), F.col("weight")).otherwise(0)).alias("n"))
+    )
+    edges = met.where("n = 0").select("a", "b")
+    edges = edges.unionByName(linked.select(F.col("hub").alias("a"), F.col("id").alias("b")))
+    edges = edges.unionByName(bulk.select(F.col("lowa").alias("a"), F.col("lowb").alias("b"))).where("a <> b")
     return n_links.groupBy("id").agg(F.sum("n").alias("n")), edges.distinct()
 
 

@@ -94,13 +94,6 @@ def _slices(batch, text):
         yield a, b, starts, hash_words(words)[codes]
 
 
-def _ranges(first, count):
-    """first[0], first[0]+1, ... count[0] numbers, and so on for every entry."""
-    total = int(count.sum())
-    shift = np.repeat(first - np.concatenate([[0], np.cumsum(count)[:-1]]), count)
-    return np.arange(total) + shift
-
-
 def anchors(docs, length=LENGTH, period=PERIOD, cover=COVER):
     """One row an anchor of (row, text): row, at, h, x, met, lone."""
     size = length - period + 1
