@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import importlib
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from pricegrid.llm import bpe, chat_format, decontamination, embedding_dedup, language_id, licenses, line_dedup, secrets, simhash, substring_dedup
@@ -87,29 +88,44 @@ def op5(spark, sf_dir):
 
 
 def read_back(windows):
-    """Per conversation, from formatted windows alone: turns, loss text and length."""
+    """Per conversation, from formatted windows alone: turns, loss text and length.
+
+    A digest of a whole conversation is read in order, so its windows come sorted
+    to one task; they pass through it a batch at a time and only the state of the
+    digests is held, however long the conversation is.
+    """
+    kind = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+    names = [c.split()[0] for c in kind.split(", ")]
+    schema = pa.schema([(n, pa.string() if n.endswith("sha256") else pa.int64()) for n in names])
 
     def run(batches):
+        held = None  # conv_id, turns, digest of turns, loss characters, digest of loss, characters
+
+        def done():
+            return dict(zip(names, (held[0], held[1], held[2].hexdigest(), held[3], held[4].hexdigest(), held[5])))
+
         for batch in batches:
-            rows = []
-            for conv, at, skip, text, mask in zip(batch["conv_id"], batch["window"], batch["n_repeated"], batch["formatted"], batch["mask"]):
-                turns = chat_format.parse(text)[skip:]
-                loss = [chat_format.unescape(text[m["start"] : m["end"]]) for m in mask]
-                rows.append((conv, at, len(turns), "".join(f"{r}\n{t}\n" for r, t in turns), "".join(loss), sum(map(len, loss)), len(text)))
-            frame = pd.DataFrame(rows, columns=["conv_id", "at", "n", "turns", "loss", "loss_chars", "chars"])
-            yield frame.astype({"conv_id": "Int64"})
-
-    parsed = windows.select("conv_id", "window", "n_repeated", "formatted", "mask").mapInPandas(
-        run, "conv_id long, at long, n long, turns string, loss string, loss_chars long, chars long"
-    )
-    packed = parsed.groupBy("conv_id").agg(
-        F.sort_array(F.collect_list(F.struct("at", "turns", "loss"))).alias("x"),
-        F.sum("n").alias("n_turns"), F.sum("loss_chars").alias("loss_chars"), F.sum("chars").alias("formatted_chars"),
-    )
-    digest = lambda name: F.sha2(F.array_join(F.col(f"x.{name}"), ""), 256)
-    return packed.select(
-        "conv_id", "n_turns", digest("turns").alias("turns_sha256"), "loss_chars", digest("loss").alias("loss_sha256"), "formatted_chars"
-    )
+            out = []
+            for row in batch.to_pylist():
+                if held is None or held[0] != row["conv_id"]:
+                    if held is not None:
+                        out.append(done())
+                    held = [row["conv_id"], 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+                text = row["formatted"]
+                for role, said in chat_format.parse(text)[row["n_repeated"] :]:
+                    held[1] += 1
+                    held[2].update(f"{role}\n{said}\n".encode("utf-8", "replace"))
+                for m in row["mask"]:
+                    loss = chat_format.unescape(text[m["start"] : m["end"]])
+                    held[3] += len(loss)
+                    held[4].update(loss.encode("utf-8", "replace"))
+                held[5] += len(text)
+            yield pa.RecordBatch.from_pylist(out, schema)
+        if held is not None:
+            yield pa.RecordBatch.from_pylist([done()], schema)
+
+    slim = windows.select("conv_id", "window", "n_repeated", "formatted", "mask")
+    return slim.repartition("conv_id").sortWithinPartitions("conv_id", "window").mapInArrow(run, kind)
 
 
 @catalog.add("op6_chat_format")
