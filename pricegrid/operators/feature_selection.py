@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricegrid.functions.bins import edge_count
-from pricegrid.operators.features import FeatureVector, numeric_columns, quoted
+from pricegrid.operators.features import ColumnContractModel, FeatureVector, _Fitter, numeric_columns, quoted
 from pricegrid.operators.order import quantile_values
+from pricegrid.session import stage
 
 
 def correlation_scores(df: DataFrame, features, target) -> dict:
@@ -150,3 +151,23 @@ class FeatureSelector:
         rows = [(c, s, c in self.selected) for c, s in self.scores.items()]
         frame = spark.createDataFrame(rows, "feature string, score double, selected boolean")
         return frame.orderBy(F.desc("score"), "feature")
+
+
+class SelectFeatures(_Fitter):
+    """Selection as the last stage of a feature pipeline, saved and loaded with it.
+
+    target and keep stay in the frame and are never scored; options are those of
+    FeatureSelector. The fitted stage keeps the chosen columns in frame order.
+    """
+
+    def __init__(self, target=None, keep=(), **options):
+        super().__init__()
+        self._put(target=target, keep=list(dict.fromkeys([*keep, *([target] if target else [])])), options=options)
+
+    def _fit(self, df):
+        keep, target = self.opt("keep"), self.opt("target")
+        features = [c for c in numeric_columns(df) if c not in keep]
+        # The scores read the frame several times: a slim table spares its joins.
+        slim = stage(df.select(quoted(target), *[quoted(c) for c in features]), "selection-input")
+        chosen = set(FeatureSelector(**self.opt("options")).fit(slim, target, features).selected)
+        return ColumnContractModel()._put(keep=keep, features=[c for c in features if c in chosen])

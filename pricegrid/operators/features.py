@@ -560,9 +560,9 @@ class NumericBinsAsText(_Stateless):
         return df.withColumns({c: F.col(c).cast("string") for c in _present(df, self.opt("columns"))})
 
 
-def fit_features(train, config, **options):
-    """Fit all feature stages on the training rows and return the fitted model."""
-    return Pipeline(stages=feature_stages(config, **options)).fit(train)
+def fit_features(train, config, extra=(), **options):
+    """Fit all feature stages, and extra ones after them, on the training rows."""
+    return Pipeline(stages=[*feature_stages(config, **options), *extra]).fit(train)
 
 
 def feature_names(model):

@@ -303,6 +303,36 @@ def fe16_saved_features(spark, sf_dir):
     return _rounded(PipelineModel.load(path).transform(df))
 
 
+FEATURES = ["km", *STANDARD, "km_log", *[f"{c}_encoded" for c in ENCODED], *[f"{c}_{v}" for c, vs in ONE_HOT.items() for v in vs]]
+
+
+@query(
+    "fe16_saved_selection",
+    f"with f as ({FULL_SQL}), tr as (select * from f where split='train'), te as (select * from f where split='test') "
+    + sql.union(
+        f"select '{c}' as feature, count(*) as n, round(avg(\"{c}\"),3)+0e0 as mean from te "
+        f"having (select abs(corr(\"{c}\",price)) from tr) >= 0.05"
+        for c in FEATURES
+    ),
+)
+def fe16_saved_selection(spark, sf_dir):
+    """Rows and mean on test of the features that a saved and loaded model selects."""
+    from pyspark.ml import PipelineModel
+
+    from pricegrid.session import shared_dir
+
+    df = split_listings(spark, sf_dir)
+    select = selection.SelectFeatures("price", ("listing_id", "split"), method="correlation", threshold=0.05, prune=False)
+    model = fe.fit_features(train_rows(df), LISTINGS, [select], keep=("split",), mapping=nation_regions(spark, sf_dir))
+    path = shared_dir(spark, "selected-model")
+    model.write().overwrite().save(path)
+    loaded = PipelineModel.load(path)
+    names = fe.feature_names(loaded)
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), fe.quoted(c).cast("double").alias("x")) for c in names]))
+    rows = loaded.transform(df).where("split = 'test'").select(cells.alias("c")).select("c.*")
+    return rows.groupBy("feature").agg(F.count("*").alias("n"), (F.round(F.avg("x"), 3) + 0.0).alias("mean"))
+
+
 @query(
     "fe17_features_by_split",
     f"with f as ({FULL_SQL}) select split, count(*) as n, round(avg(brand_encoded),3) as brand_encoded, "
@@ -421,3 +451,21 @@ def fs7_apply_selection(spark, sf_dir):
     df = _candidates(spark, sf_dir)
     chosen = selection.FeatureSelector("correlation", k=4).fit(df, "price", CANDIDATES)
     return chosen.transform(df, keep=("price",))
+
+
+@query(
+    "fs7_selected_values",
+    f"""{FRAME}, s as ({SCORES}), c as (select * from s order by score desc, feature limit 4), p as ("""
+    + sql.union(f"select '{a}' as a, '{b}' as b, abs(corr({a},{b})) as r from f" for a, b in combinations(CANDIDATES, 2))
+    + """), gone as (select case when x.score>y.score then p.b else p.a end as feature
+ from p join c x on p.a=x.feature join c y on p.b=y.feature where r>0.95), u as ("""
+    + sql.union(f"select '{c}' as feature, count(*) as n, round(avg({c}),3)+0e0 as mean from f" for c in CANDIDATES)
+    + ") select u.* from u join c using (feature) where feature not in (select feature from gone)",
+)
+def fs7_selected_values(spark, sf_dir):
+    """Rows and mean of every column that the selection by correlation keeps."""
+    df = once(_candidates(spark, sf_dir))
+    out = selection.FeatureSelector("correlation", k=4).fit(df, "price", CANDIDATES).transform(df)
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in out.columns]))
+    rows = out.select(cells.alias("c")).select("c.*")
+    return rows.groupBy("feature").agg(F.count("*").alias("n"), (F.round(F.avg("x"), 3) + 0.0).alias("mean"))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from pricegrid.operators import evaluation, segments, training, validation
 from pricegrid.operators.cleaning import Cleaner
+from pricegrid.operators.feature_selection import SelectFeatures
 from pricegrid.operators.features import FeatureVector, feature_names, fit_features
 from pricegrid.operators.registry import Registry, performance
 from pricegrid.operators.splitting import Splitter
@@ -36,6 +37,7 @@ class BatchJob:
     method: str = "iqr"
     split_method: str = "random"
     mapping: dict | None = None
+    selection: dict | None = None  # options of FeatureSelector; None keeps all features
     grids: dict | None = None
     counts: tuple = (3, 10, 10)
     main_model: str = "gradient_boosting"
@@ -91,7 +93,9 @@ class BatchJob:
 
     def _features(self, labelled):
         train = labelled.where(F.col("split") == "train")
-        model = fit_features(train, self.config, keep=("split",), mapping=self.mapping)
+        keep = (self.config.key, self.config.target, "split")
+        extra = [] if self.selection is None else [SelectFeatures(self.config.target, keep, **self.selection)]
+        model = fit_features(train, self.config, extra, keep=("split",), mapping=self.mapping)
         model.write().overwrite().save(f"{self.path}/models/features")
         names = feature_names(model)
         vector = FeatureVector(names).transform(model.transform(labelled))

@@ -1,6 +1,8 @@
 import pytest
+from pyspark.ml import PipelineModel
 
 from pricegrid.operators import enrichment
+from pricegrid.operators.features import feature_names
 from pricegrid.plans.job import STAGES, BatchJob
 from pricegrid.schema import LISTINGS, RAW_SCHEMA
 from pricegrid.session import shared_dir
@@ -39,6 +41,15 @@ def test_batch_job_runs_and_resumes(spark):
         job.run(df, upto="deploy")
 
 
+def test_batch_job_keeps_the_selected_features(spark):
+    path = shared_dir(spark, "job-selection")
+    job = BatchJob(spark, path, LISTINGS, advanced=False, selection={"method": "correlation", "k": 3, "prune": False})
+    rows = job.run(dirty_listings(spark, SF), upto="features")["features"]
+    assert {r.features.size for r in rows.select("features").distinct().collect()} == {3}
+    names = feature_names(PipelineModel.load(f"{path}/models/features"))
+    assert len(names) == 3 and "split" not in names and LISTINGS.target not in names
+
+
 def test_splits_must_be_complete(spark):
     path = shared_dir(spark, "splits")
     df = spark.createDataFrame([(1, "train"), (2, "val")], "id long, split string")
