@@ -455,12 +455,12 @@ def fs7_apply_selection(spark, sf_dir):
 
 @query(
     "fs7_selected_values",
-    f"""{FRAME}, s as ({SCORES}), c as (select * from s order by score desc, feature limit 4), p as ("""
+    f"""{FRAME}, scored as ({SCORES}), best as (select * from scored order by score desc, feature limit 4), met as ("""
     + sql.union(f"select '{a}' as a, '{b}' as b, abs(corr({a},{b})) as r from f" for a, b in combinations(CANDIDATES, 2))
-    + """), gone as (select case when x.score>y.score then p.b else p.a end as feature
- from p join c x on p.a=x.feature join c y on p.b=y.feature where r>0.95), u as ("""
+    + """), gone as (select case when x.score>y.score then met.b else met.a end as feature
+ from met join best x on met.a=x.feature join best y on met.b=y.feature where r>0.95), vals as ("""
     + sql.union(f"select '{c}' as feature, count(*) as n, round(avg({c}),3)+0e0 as mean from f" for c in CANDIDATES)
-    + ") select u.* from u join c using (feature) where feature not in (select feature from gone)",
+    + ") select vals.* from vals join best using (feature) where feature not in (select feature from gone)",
 )
 def fs7_selected_values(spark, sf_dir):
     """Rows and mean of every column that the selection by correlation keeps."""
