@@ -105,6 +105,25 @@ def test_nets_halve_and_cover():
     assert gaps.max() <= 0.2 + 1e-9
 
 
+@pytest.mark.parametrize("spread", [0.02, 0.3, 2.0])
+def test_traversal_meets_every_near_pair_of_leaves_once(spread):
+    rng = np.random.default_rng(3)
+    points = np.repeat(rng.normal(size=(8, 6)), 25, axis=0) + rng.normal(size=(200, 6)) * spread
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    t = np.sqrt(0.2)
+    index, parents, radii = embedding_dedup.nets(points, t / 2)
+    centres = points[index]
+    leaf = np.repeat(np.arange(len(index)), 2)
+    radius = rng.uniform(0, 0.3, len(leaf))
+    tree, order = embedding_dedup.cover_tree(centres, parents, radii, leaf, radius)
+    assert sorted(order) == list(range(len(leaf)))
+    met = [(min(a, b), max(a, b)) for part in embedding_dedup.meetings(tree, centres, np.arange(len(tree.kids)), t) for a, b in zip(*part[:2])]
+    apart = np.linalg.norm(centres[leaf][:, None] - centres[leaf][None], axis=2)
+    near = apart - radius[:, None] - radius[None, :] <= t
+    assert len(met) == len(set(met))
+    assert {(a, b) for a, b in zip(*np.nonzero(np.triu(near)))} <= set(met)
+
+
 def test_substrings_of_mixed_documents(spark):
     rng = random.Random(3)
     passage, other = words(rng, 60), words(rng, 35)
