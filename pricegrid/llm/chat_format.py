@@ -169,7 +169,7 @@ def windows(turns, tokens, budget=1024, history=2, history_budget=256, markup=8)
         F.sort_array(F.collect_list(F.struct("kind", "idx", "role", "text"))).alias("turns"), F.sum("n").alias("n_tokens")
     )
 
-    kind = "conv_id long, first long, n_repeated int, n_turns int, n_tokens long, over_budget boolean, formatted string, mask array<struct<start:long,end:long>>"
+    kind = "conv_id string, first long, n_repeated int, n_turns int, n_tokens long, over_budget boolean, formatted string, mask array<struct<start:long,end:long>>"
 
     def write(batches):
         for batch in batches:
@@ -178,9 +178,9 @@ def windows(turns, tokens, budget=1024, history=2, history_budget=256, markup=8)
                 text, mask = render([(t["role"], t["text"], t["kind"] == 2 and t["role"] == "assistant") for t in held])
                 repeated = sum(t["kind"] < 2 for t in held)
                 out.append((conv, first, repeated, len(held), n, n > budget, text, [{"start": a, "end": b} for a, b in mask]))
-            frame = pd.DataFrame(out, columns=[c.split()[0] for c in kind.split(", ")])
-            yield frame.astype({"conv_id": "Int64"})
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in kind.split(", ")])
 
-    made = packed.mapInPandas(write, kind)
-    return made.withColumnRenamed("first", "window")
+    # As text, because pandas would turn numbers beside a null into doubles.
+    made = packed.withColumn("conv_id", F.col("conv_id").cast("string")).mapInPandas(write, kind)
+    return made.withColumn("conv_id", F.col("conv_id").cast("long")).withColumnRenamed("first", "window")
 

@@ -114,6 +114,12 @@ def test_chat_round_trip(spark):
     assert all(any(len((x or "").split(" ")) > 80 for c, _, _, x in data if c == conv) for conv in single)
 
 
+def test_chat_ids_beyond_doubles_beside_a_null(spark):
+    data = [(c, 0, "user", "a") for c in (None, 2**53, 2**53 + 1)]
+    got = {r[0]: tuple(r[1:5]) for r in queries.read_back(chat(spark, data)).collect()}
+    assert got == expected_chat(data) and len(got) == 3
+
+
 def test_chat_of_one_hot_conversation(spark):
     data = [(5, k, "assistant" if k % 2 else "user", f"text {k} " + "w " * (k % 50)) for k in range(3000)]
     made = chat(spark, data, budget=200)
