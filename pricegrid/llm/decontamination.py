@@ -138,17 +138,23 @@ def _everything(hashes):
 
 
 def benchmark_windows(benchmark, item="item_id", text="text", size=SIZE):
-    """One row a window of an item: item, ipos, size, h, islots; words shorter than `size` are one window."""
+    """One row a window of a benchmark text: item, version, ipos, size, h, islots; words shorter than `size` are one window.
+
+    Equal rows are one text; several texts under one item are versions of it, told apart by their hash.
+    """
 
     def run(batches):
         for batch in batches:
             for a, b in slices(batch["t"]):
-                rows = _rows(batch["t"].iloc[a:b], batch["i"].to_numpy()[a:b], range(1, size + 1), _everything, whole=size)
+                rows = _rows(batch["t"].iloc[a:b], np.arange(a, b), range(1, size + 1), _everything, whole=size)
                 if rows is not None and len(rows):
-                    yield rows.rename(columns={"key": "item", "pos": "ipos", "slots": "islots"})
+                    at = rows.pop("key").to_numpy().astype(np.int64)
+                    rows = rows.rename(columns={"pos": "ipos", "slots": "islots"})
+                    yield rows.assign(item=batch["i"].to_numpy()[at], version=batch["v"].to_numpy()[at])[names]
 
-    slim = benchmark.select(F.col(item).alias("i"), F.col(text).alias("t")).where("i is not null and t is not null")
-    return slim.mapInPandas(run, "item long, ipos long, size int, h long, islots array<string>")
+    names = ["item", "version", "ipos", "size", "h", "islots"]
+    slim = benchmark.select(F.col(item).alias("i"), F.col(text).alias("t")).where("i is not null and t is not null").distinct()
+    return slim.withColumn("v", F.xxhash64("t")).mapInPandas(run, "item long, version long, ipos long, size int, h long, islots array<string>")
 
 
 def bitmap(hashes, bits=BITS):
@@ -169,7 +175,8 @@ def leaks(docs, benchmark, key="doc_id", text="text", item="item_id", size=SIZE,
 
     Columns: key, item, containment, verbatim (all placeholder values equal the
     item's), first_token. Documents without a key and items without an id are
-    left out, as are null and empty texts; equal rows count once.
+    left out, as are null and empty texts; equal rows count once. Of several
+    texts under one item the one that leaks most is reported.
     """
     windows = stage(benchmark_windows(benchmark, item, text, size), "benchmark-windows")
     sizes = sorted(r[0] for r in windows.select("size").distinct().collect())  # at most `size` numbers
@@ -188,29 +195,30 @@ def leaks(docs, benchmark, key="doc_id", text="text", item="item_id", size=SIZE,
 
     slim = docs.select(F.col(key).cast("string").alias("k"), F.col(text).alias("t")).where("k is not null and t is not null")
     hits = slim.mapInPandas(run, "key string, pos long, size int, h long, slots array<string>").distinct()
+    text_of = ["item", "version"]
     met = hits.join(windows, ["h", "size"]).withColumn("shift", F.col("pos") - F.col("ipos"))
-    met = stage(met.select("key", "item", "ipos", "pos", "shift", "slots", "islots"), "benchmark-hits")
+    met = stage(met.select("key", *text_of, "ipos", "pos", "shift", "slots", "islots"), "benchmark-hits")
 
-    pairs = met.where("size(slots) > 0").select("key", "item", "shift", F.explode(F.arrays_zip("islots", "slots")).alias("s"))
-    pairs = pairs.groupBy("key", "item", "shift", F.col("s.islots").alias("theirs")).agg(
+    pairs = met.where("size(slots) > 0").select("key", *text_of, "shift", F.explode(F.arrays_zip("islots", "slots")).alias("s"))
+    pairs = pairs.groupBy("key", *text_of, "shift", F.col("s.islots").alias("theirs")).agg(
         F.min("s.slots").alias("lo"), F.max("s.slots").alias("hi")
     )
-    judged = pairs.groupBy("key", "item", "shift").agg(
+    judged = pairs.groupBy("key", *text_of, "shift").agg(
         F.bool_and(F.col("lo") == F.col("hi")).alias("steady"), F.bool_and((F.col("lo") == F.col("theirs")) & (F.col("hi") == F.col("theirs"))).alias("same")
     )
-    good = met.join(judged, ["key", "item", "shift"], "left").where("coalesce(steady, true)")
+    good = met.join(judged, ["key", *text_of, "shift"], "left").where("coalesce(steady, true)")
 
-    totals = windows.groupBy("item").agg(F.count("*").alias("n"))
-    good = good.join(totals, "item")
+    totals = windows.groupBy(*text_of).agg(F.count("*").alias("n"))
+    good = good.join(totals, text_of)
     # Matches count near one place: bands of alignments as wide as the item, two ways half a band apart.
     width = F.greatest(F.col("n") + size, F.lit(16))
     band = F.explode(F.array(
         F.struct(F.lit(0).alias("way"), F.floor(F.col("shift") / width).alias("band")),
         F.struct(F.lit(1).alias("way"), F.floor((F.col("shift") + F.floor(width / 2)) / width).alias("band")),
     ))
-    near = good.select("key", "item", "n", "ipos", "pos", F.coalesce("same", F.lit(True)).alias("same"), band.alias("x"))
-    places = near.groupBy("key", "item", "n", "x", "ipos").agg(F.min("pos").alias("pos"), F.bool_or("same").alias("same"))
-    found = places.groupBy("key", "item", "x").agg(
+    near = good.select("key", *text_of, "n", "ipos", "pos", F.coalesce("same", F.lit(True)).alias("same"), band.alias("x"))
+    places = near.groupBy("key", *text_of, "n", "x", "ipos").agg(F.min("pos").alias("pos"), F.bool_or("same").alias("same"))
+    found = places.groupBy("key", *text_of, "x").agg(
         (F.count("*") / F.first("n")).alias("containment"), F.bool_and("same").alias("verbatim"), F.min("pos").alias("first_token")
     ).where(F.col("containment") >= containment)
     best = found.groupBy("key", "item").agg(F.max(F.struct("containment", "verbatim", (-F.col("first_token")).alias("f"))).alias("m"))

@@ -314,6 +314,14 @@ def test_short_items_and_empty_tables(spark):
     assert leaks_of(spark, [], ["a b c"]) == {} and leaks_of(spark, ["a b c"], []) == {}
 
 
+def test_repeated_benchmark_rows_and_two_texts_of_an_item(spark):
+    other = "The quick chemist mixes two clear liquids in a tall glass and waits until the colour turns from blue to green."
+    texts = [f"so we ask. {ITEM}", f"as they say. {other}", "nothing of the kind"]
+    bench = spark.createDataFrame([(0, ITEM), (0, ITEM), (0, ITEM), (1, ITEM), (1, other), (1, other)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): (r["containment"], r["verbatim"]) for r in decontamination.leaks(docs_of(spark, texts), bench).collect()}
+    assert got == {(0, 0): (1.0, True), (0, 1): (1.0, True), (1, 1): (1.0, True)}
+
+
 def test_decontamination_query(spark):
     found = {(r["doc_id"], r["item_id"]) for r in entry.queries()["op1_decontamination"](spark, SF).collect()}
     items = {r["item_id"]: " ".join(r["text"].split()) for r in table(spark, SF, "benchmark").collect()}
