@@ -70,7 +70,7 @@ def op2(spark, sf_dir):
 @catalog.add("op3_secret_scan")
 def op3(spark, sf_dir):
     found = secrets.scan(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "place", F.sha2("value", 256).alias("value_sha256"), "score", "is_secret")
+    return found.select("doc_id", "place", "field", "run", F.sha2("value", 256).alias("value_sha256"), "score", "is_secret")
 
 
 @catalog.add("op4_simhash")

@@ -1,8 +1,9 @@
 """Secret scans: candidate tokens judged by a random forest, in DataFrame functions.
 
-Candidates are tokens with an unbroken run of at least MIN_LENGTH characters of
-the alphabets of keys (letters, digits, + / _ - =), split off from an assignment
-such as `password=`. A forest removes the false positives among them from
+Candidates are all unbroken runs of at least MIN_LENGTH characters of the
+alphabets of keys (letters, digits, + / _ -, = as padding), several in a token of
+compact JSON, a URL or minified code. Name and neighbours of a run come from the
+text in front of it in its token. A forest removes the false positives from
 
 * the length,
 * character transitions: changes between digits, lower and upper case, distinct
@@ -42,11 +43,15 @@ NAMES = r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|api[_-]?key|apikey|access[
 EXAMPLES = r"(?i)(?<![\w.@-])(example|sample|dummy|placeholder|changeme|your|test|fake|mock|xxx+)(?![\w.@-])"
 DIGESTS = r"(?i)\b(sha\d*|md5|checksum|digest|commit|revision|etag|uuid|guid|hash)\b"
 TEST_PATHS, DOC_PATHS = r"(?i)(test|spec|fixture|example|sample|mock)", r"(?i)(doc|readme|\.md$|license)"
-_VALUE = rf"([A-Za-z0-9+/_=-]{{{MIN_LENGTH},}})"
+_VALUE = rf"[A-Za-z0-9+/_-]{{{MIN_LENGTH},}}(?:={{1,2}}(?![A-Za-z0-9+/_=-]))?"
+_ASSIGNED = r"([A-Za-z_][A-Za-z0-9_.-]{0,39})[\"'`\]]{0,2}[=:]+>?[\"'`({\[]{0,3}$"  # the name a value in a token is assigned to
+_FIELDS = r"[,;&?{}]+"  # between the fields of a token: compact JSON, queries of URLs, statements
+NEAR = 64  # characters of a field read in front of a run
 
 
 def findings(docs, key="doc_id", text="text", path="source"):
-    """One row a candidate: key, place (word number), path, name, value, before, after, address.
+    """One row a candidate: key, place (word number), field and run (numbers within the word),
+    path, name, value, before, after, address.
 
     Null and empty texts have none. Only candidates leave the scan, with
     AROUND words on either side; the text does not.
@@ -59,14 +64,21 @@ def findings(docs, key="doc_id", text="text", path="source"):
     rows = rows.withColumn("at", long_ones).where(F.size("at") > 0)
     rows = rows.select("key", "path", F.explode(F.transform("at", lambda i: F.struct(
         i.alias("place"), F.get("w", i).alias("token"),
-        F.array_join(F.slice("w", F.greatest(i - AROUND, F.lit(0)) + 1, F.least(i, F.lit(AROUND))), " ").alias("before"),
+        F.array_join(F.slice("w", F.greatest(i - AROUND, F.lit(0)) + 1, F.least(i, F.lit(AROUND))), " ").alias("words_before"),
         F.array_join(F.slice("w", i + 2, F.lit(AROUND)), " ").alias("after"),
     ))).alias("x")).select("key", "path", "x.*")
-    named = F.regexp_extract("token", r"^[\"'({\[]*([A-Za-z_.-]{2,40}?)[=:]+", 1)
-    rest = F.when(named != "", F.regexp_replace("token", r"^[\"'({\[]*[A-Za-z_.-]{2,40}?[=:]+", "")).otherwise(F.col("token"))
-    rows = rows.withColumn("name", named).withColumn("value", F.regexp_extract(rest, _VALUE, 1)).where("value <> ''")
-    address = F.col("token").rlike(r"@|://|^www\.|^\d{1,3}(\.\d{1,3}){3}")
-    return rows.withColumn("address", address).drop("token").dropDuplicates(["key", "place", "value"])
+    rows = rows.select("*", F.posexplode(F.split("token", _FIELDS)).alias("field", "said")).where(F.length("said") >= MIN_LENGTH)
+    # The texts between the runs of a field tell what stands in front of each.
+    rows = rows.withColumn("values", F.regexp_extract_all("said", F.lit(_VALUE), F.lit(0))).withColumn("gaps", F.split("said", _VALUE))
+    runs = F.arrays_zip("values", "gaps", F.concat(F.array(F.lit("")), "values").alias("last"))
+    rows = rows.select("*", F.posexplode(F.filter(runs, lambda r: r["values"].isNotNull())).alias("run", "r"))
+    front = F.concat("r.last", "r.gaps")
+    front = F.substring(front, F.greatest(F.length(front) - NEAR, F.lit(0)) + 1, F.lit(NEAR))
+    rows = rows.withColumn("value", F.col("r.values")).withColumn("name", F.regexp_extract(front, _ASSIGNED, 1))
+    rows = rows.withColumn("before", F.concat_ws(" ", "words_before", F.when(front != "", front)))
+    address = F.col("said").rlike(r"@|://|^www\.|^\d{1,3}(\.\d{1,3}){3}")
+    rows = rows.withColumn("address", address).select("key", "place", "field", "run", "path", "name", "value", "before", "after", "address")
+    return rows.dropDuplicates(["key", "place", "field", "run", "value"])
 
 
 def dictionary(docs, text="text", min_docs=MIN_DOCS):
@@ -78,7 +90,7 @@ def dictionary(docs, text="text", min_docs=MIN_DOCS):
 
 def features(found, words):
     """The findings with the forest's features; `words` is a table of dictionary words."""
-    found = found.withColumn("fid", F.xxhash64("key", "place", "value"))
+    found = found.withColumn("fid", F.xxhash64("key", "place", "field", "run", "value"))
     runs = found.select("fid", F.explode(F.expr("regexp_extract_all(lower(value), '[a-z]{3,}', 0)")).alias("word"))
     covered = runs.join(words, "word").groupBy("fid").agg(F.sum(F.length("word")).alias("in_words"))
     found = found.join(covered, "fid", "left")
@@ -153,7 +165,9 @@ def judge(found, model, threshold=0.5):
 def scan(docs, labels=None, key="doc_id", text="text", path="source", threshold=0.5, min_docs=MIN_DOCS, **options):
     """All findings of `docs` with score and is_secret.
 
-    labels: (key, place, label) of reviewed findings; None takes `rule_labels`.
+    labels: (key, place, label) of reviewed findings, with field and run where a
+    word has several candidates; without them a label holds for all of its word.
+    None takes `rule_labels`.
     A finding repeated by equal rows counts once; findings in documents without
     a key keep a null key. Empty tables give no finding.
     """
@@ -162,6 +176,7 @@ def scan(docs, labels=None, key="doc_id", text="text", path="source", threshold=
     if labels is None:
         labelled = rule_labels(found)
     else:
-        labels = labels.select(F.col(key).alias("key"), "place", F.col("label").cast("double").alias("label"))
-        labelled = found.join(labels, ["key", "place"])
+        at = ["place", *[c for c in ("field", "run") if c in labels.columns]]
+        labels = labels.select(F.col(key).alias("key"), *at, F.col("label").cast("double").alias("label"))
+        labelled = found.join(labels, ["key", *at])
     return judge(found, train(labelled, **options), threshold).withColumnRenamed("key", key)

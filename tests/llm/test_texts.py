@@ -287,6 +287,22 @@ def test_secrets_from_labels_and_odd_rows(spark):
     assert secrets.scan(df.where("doc_id = 3")).collect()[0]["score"] == 1.0
 
 
+def test_several_secrets_in_one_token(spark):
+    rng = random.Random(8)
+    a, b = ("".join(rng.choices("0123456789abcdef", k=32)) for _ in range(2))
+    aws, known = "wJalrXUtnFEMI/K7MDENG/bPxRfiCY" + "0123456789", "AKIA" + "Q7" * 8
+    texts = [f'{{"a":"{a}","b":"{b}"}}', f"https://api.example.com/v1/accounts/list/all?key={known}", f'{{"aws_secret_access_key":"{aws}"}}',
+             f"var x='{a}'+'{b}';", f"password={a}", f'token = "{b}"', f"{a}=="]
+    found = secrets.findings(docs_of(spark, texts, "src/app.py")).collect()
+    got = {(r["key"], r["name"], r["value"]): r["address"] for r in found}
+    wanted = [(0, "a", a), (0, "b", b), (1, "key", known), (2, "aws_secret_access_key", aws), (3, "x", a), (3, "", b),
+              (4, "password", a), (5, "", b), (6, "", a + "==")]
+    assert all(w in got and not got[w] for w in wanted)
+    assert len({(r["key"], r["place"], r["field"], r["run"]) for r in found}) == len(found)
+    scored = {(r["doc_id"], r["value"]): r["score"] for r in secrets.scan(docs_of(spark, texts, "src/app.py")).collect()}
+    assert {(k, v) for k, _, v in wanted} <= set(scored)
+
+
 # Decontamination
 
 ITEM = "A train leaves Boston at 60 km per hour and another train leaves after 3 hours. How many hours until it arrives in Boston again?"
