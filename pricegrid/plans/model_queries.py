@@ -157,29 +157,24 @@ def ml7_baselines_on_train(spark, sf_dir):
     return _against_mean(result.predict(df), result.prediction_columns)
 
 
-SMALL_FOREST = {"numTrees": [10, 20], "maxDepth": [4, 6], "minInstancesPerNode": [2, 4]}
-SMALL_BOOST = {"maxIter": [5, 10], "stepSize": [0.05, 0.1], "maxDepth": [3], "minInstancesPerNode": [1, 5]}
-
-
 @query("ml8_forest_search")
 def ml8_forest_search(spark, sf_dir):
     train = _split(model_frame(spark, sf_dir), "train")
-    return training.search_forest(train, SMALL_FOREST, n=2).table(spark).drop("seconds")
+    return training.search_forest(train).table(spark).drop("seconds")
 
 
 @query("ml9_boosting_search")
 def ml9_boosting_search(spark, sf_dir):
     df = model_frame(spark, sf_dir)
-    found = training.search_boosting(_split(df, "train"), _split(df, "val"), SMALL_BOOST, n=2)
+    found = training.search_boosting(_split(df, "train"), _split(df, "val"))
     return found.table(spark).drop("seconds")
 
 
 @query("ml10_deep_boosting_search")
 def ml10_deep_boosting_search(spark, sf_dir):
     df = model_frame(spark, sf_dir)
-    grid = {**SMALL_BOOST, "maxDepth": [5], "minInstancesPerNode": [10, 20]}
     found = training.search_boosting(
-        _split(df, "train"), _split(df, "val"), grid, n=2, name="deep_boosting", early_stopping=True
+        _split(df, "train"), _split(df, "val"), training.DEEP_BOOST_GRID, name="deep_boosting", early_stopping=True
     )
     return found.table(spark).drop("seconds")
 
@@ -187,8 +182,7 @@ def ml10_deep_boosting_search(spark, sf_dir):
 @query("ml11_train_all")
 def ml11_train_all(spark, sf_dir):
     df = model_frame(spark, sf_dir)
-    grids = {"forest": SMALL_FOREST, "boosting": SMALL_BOOST, "deep_boosting": SMALL_BOOST}
-    found = training.train_advanced(_split(df, "train"), _split(df, "val"), grids, counts=(1, 1, 1))
+    found = training.train_advanced(_split(df, "train"), _split(df, "val"))
     return ev.compare_models(found.predict(df), found.prediction_columns, "label", ["split"])
 
 

@@ -1,3 +1,6 @@
+import inspect
+from unittest.mock import MagicMock
+
 import numpy as np
 import pytest
 from pyspark.ml import Pipeline
@@ -6,10 +9,11 @@ from pyspark.sql import functions as F
 from pricegrid.operators import evaluation, scoring, segments, training
 from pricegrid.operators import features as fe
 from pricegrid.operators.registry import Registry, latest_versions, next_versions
+from pricegrid.plans import model_queries
 from pricegrid.session import shared_dir
 from pricegrid.streaming import quality as stream_quality
 from pricegrid.streaming import scoring as stream_scoring
-from tests.conftest import FORD, HONDA, TOYOTA, frame
+from tests.conftest import FORD, HONDA, SF, TOYOTA, frame
 
 
 @pytest.fixture(scope="module")
@@ -169,3 +173,29 @@ def test_late_events_are_dropped(spark):
     assert rows["13:00"].negative_value == 1
     # The window still open at the end is there as well, and marked.
     assert {k: r.closed for k, r in rows.items()} == {"10:00": True, "13:00": True, "16:00": True, "19:00": False}
+
+
+FOREST, BOOST, DEEP = (training.FOREST_GRID, 3), (training.BOOST_GRID, 10), (training.DEEP_BOOST_GRID, 10)
+
+
+@pytest.mark.parametrize("name, wanted", [
+    ("ml8_forest_search", [FOREST]), ("ml9_boosting_search", [BOOST]), ("ml10_deep_boosting_search", [DEEP]),
+    ("ml11_train_all", [FOREST, BOOST, DEEP]),
+])
+def test_search_queries_take_the_whole_grids(monkeypatch, name, wanted):
+    searched = []
+    for search, default in (("search_forest", training.FOREST_GRID), ("search_boosting", training.BOOST_GRID)):
+        known = inspect.signature(getattr(training, search))
+
+        def record(*args, known=known, default=default, **options):
+            given = known.bind(*args, **options)
+            given.apply_defaults()
+            searched.append((given.arguments["grid"] or default, given.arguments["n"]))
+            return MagicMock()
+
+        monkeypatch.setattr(training, search, record)
+    monkeypatch.setattr(model_queries, "model_frame", MagicMock())
+    monkeypatch.setattr(model_queries, "_split", MagicMock())
+    monkeypatch.setattr(model_queries, "ev", MagicMock())
+    getattr(model_queries, name)(None, SF)
+    assert searched == wanted
