@@ -240,6 +240,30 @@ def test_license_passages(spark):
     assert rows(licenses.scan(docs_of(spark, texts), templates={})) == []
 
 
+NOTICES = {
+    "GPL-2.0": "{p} is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
+    "by the Free Software Foundation; either version 2 of the License, or (at your option) any later version. {p} is distributed in the hope "
+    "that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR "
+    "PURPOSE. See the GNU General Public License for more details.",
+}
+NOTICES["GPL-3.0"] = NOTICES["GPL-2.0"].replace("version 2", "version 3")
+NOTICES["AGPL-3.0"] = NOTICES["GPL-3.0"].replace("GNU General", "GNU Affero General")
+NOTICES["LGPL-3.0"] = NOTICES["GPL-3.0"].replace("GNU General", "GNU Lesser General")
+NOTICES["LGPL-2.1"] = NOTICES["GPL-2.0"].replace("GNU General", "GNU Lesser General").replace("version 2", "version 2.1")
+NOTICES["LGPL-2.0"] = NOTICES["GPL-2.0"].replace("GNU General", "GNU Library General").replace("{p}", "This library")
+
+
+def test_every_notice_has_its_own_label(spark):
+    given = [(n, t.replace("{p}", p)) for n, t in NOTICES.items() for p in ("This program", "This file")]
+    given += [(n, t) for n, texts in licenses.TEMPLATES.items() for t in texts]
+    got = {}
+    for r in licenses.scan(docs_of(spark, [f"Some words first. {t} And then more." for _, t in given])).collect():
+        got.setdefault(r["doc_id"], set()).add(r["license"])
+    assert [(k, n, got.get(k)) for k, (n, _) in enumerate(given) if got.get(k) != {n}] == []
+    more = {"EPL-1.0", "EPL-2.0", "EUPL-1.1", "EUPL-1.2", "Zlib", "BSL-1.0", "Artistic-2.0", "WTFPL", "0BSD", "CC-BY-ND-4.0", "CC-BY-NC-SA-4.0", "CC-BY-NC-ND-4.0"}
+    assert more <= set(licenses.TEMPLATES)
+
+
 def test_license_repeated_very_often_takes_linear_time():
     for name in ("ISC", "MIT"):
         templates = {name: licenses.TEMPLATES[name][-1:]}
