@@ -9,8 +9,10 @@ numbers are not taken for questions. Items shorter than a window are one window.
 
 Where a window matches, the values in the placeholders are compared: at one
 alignment of item and document, each value of the item must always meet the same
-value, else the matches at that alignment do not count. So a question with other
-numbers or names throughout is caught, and a chance meeting of templates is not.
+value, else the windows that hold it do not count; the others do. Equal numbers,
+quantities and units are one value only between the same neighbours, as a question
+may use a number twice in different roles. So a question with other numbers or names
+throughout is caught, and a chance meeting of templates is not.
 
 A document leaks an item if matching windows near one place cover at least
 CONTAINMENT of the item's windows.
@@ -111,10 +113,18 @@ def window_hashes(tokens, plain, slot, at, size):
     return hashes
 
 
-def _rows(texts, keys, sizes, passes, whole=None):
-    """Frame of key, pos, size, h, slots of the windows that pass."""
+def _rows(texts, keys, sizes, passes, whole=None, roles=False):
+    """Frame of key, pos, size, h, slots of the windows that pass; with `roles` also the neighbours of each slot but names."""
     starts, tokens, plain, slot, codes, values = template(texts)
     lengths = np.diff(starts)
+    edge = set(starts.tolist())
+
+    def role(p):
+        if tokens[p] == _NAME:
+            return ""
+        sides = (codes[p - 1] if p not in edge else None), (codes[p + 1] if p + 1 not in edge else None)
+        return " ".join("" if c is None else values[c].decode("utf-8", "replace") for c in sides) + " "
+
     out = []
     for size in sizes:
         owner = np.repeat(np.arange(len(lengths)), np.maximum(lengths - size + 1, 0))
@@ -126,10 +136,13 @@ def _rows(texts, keys, sizes, passes, whole=None):
         h = window_hashes(tokens, plain, slot, at, size)
         hit = np.flatnonzero(passes(h))
         slots = [[values[codes[p]].decode("utf-8", "replace") for p in range(at[k], at[k] + size) if slot[p]] for k in hit]
-        out.append(pd.DataFrame({
+        frame = pd.DataFrame({
             "key": [keys[k] for k in owner[hit]], "pos": (at[hit] - starts[:-1][owner[hit]]).astype(np.int64),
             "size": size, "h": h[hit].view(np.int64), "slots": slots,
-        }))
+        })
+        if roles:
+            frame["iroles"] = [[role(p) for p in range(at[k], at[k] + size) if slot[p]] for k in hit]
+        out.append(frame)
     return pd.concat(out) if out else None
 
 
@@ -138,7 +151,7 @@ def _everything(hashes):
 
 
 def benchmark_windows(benchmark, item="item_id", text="text", size=SIZE):
-    """One row a window of a benchmark text: item, version, ipos, size, h, islots; words shorter than `size` are one window.
+    """One row a window of a benchmark text: item, version, ipos, size, h, islots, iroles; words shorter than `size` are one window.
 
     Equal rows are one text; several texts under one item are versions of it, told apart by their hash.
     """
@@ -146,15 +159,15 @@ def benchmark_windows(benchmark, item="item_id", text="text", size=SIZE):
     def run(batches):
         for batch in batches:
             for a, b in slices(batch["t"]):
-                rows = _rows(batch["t"].iloc[a:b], np.arange(a, b), range(1, size + 1), _everything, whole=size)
+                rows = _rows(batch["t"].iloc[a:b], np.arange(a, b), range(1, size + 1), _everything, whole=size, roles=True)
                 if rows is not None and len(rows):
                     at = rows.pop("key").to_numpy().astype(np.int64)
                     rows = rows.rename(columns={"pos": "ipos", "slots": "islots"})
                     yield rows.assign(item=batch["i"].to_numpy()[at], version=batch["v"].to_numpy()[at])[names]
 
-    names = ["item", "version", "ipos", "size", "h", "islots"]
+    names = ["item", "version", "ipos", "size", "h", "islots", "iroles"]
     slim = benchmark.select(F.col(item).alias("i"), F.col(text).alias("t")).where("i is not null and t is not null").distinct()
-    return slim.withColumn("v", F.xxhash64("t")).mapInPandas(run, "item long, version long, ipos long, size int, h long, islots array<string>")
+    return slim.withColumn("v", F.xxhash64("t")).mapInPandas(run, "item long, version long, ipos long, size int, h long, islots array<string>, iroles array<string>")
 
 
 def bitmap(hashes, bits=BITS):
@@ -197,16 +210,17 @@ def leaks(docs, benchmark, key="doc_id", text="text", item="item_id", size=SIZE,
     hits = slim.mapInPandas(run, "key string, pos long, size int, h long, slots array<string>").distinct()
     text_of = ["item", "version"]
     met = hits.join(windows, ["h", "size"]).withColumn("shift", F.col("pos") - F.col("ipos"))
-    met = stage(met.select("key", *text_of, "ipos", "pos", "shift", "slots", "islots"), "benchmark-hits")
-
-    pairs = met.where("size(slots) > 0").select("key", *text_of, "shift", F.explode(F.arrays_zip("islots", "slots")).alias("s"))
-    pairs = pairs.groupBy("key", *text_of, "shift", F.col("s.islots").alias("theirs")).agg(
-        F.min("s.slots").alias("lo"), F.max("s.slots").alias("hi")
-    )
-    judged = pairs.groupBy("key", *text_of, "shift").agg(
-        F.bool_and(F.col("lo") == F.col("hi")).alias("steady"), F.bool_and((F.col("lo") == F.col("theirs")) & (F.col("hi") == F.col("theirs"))).alias("same")
+    met = stage(met.select("key", *text_of, "ipos", "pos", "shift", "slots", "islots", "iroles"), "benchmark-hits")
+
+    at = ["key", *text_of, "shift"]
+    pairs = met.where("size(slots) > 0").select(*at, "ipos", "pos", F.explode(F.arrays_zip("islots", "iroles", "slots")).alias("s"))
+    pairs = pairs.select(*at, "ipos", "pos", F.col("s.islots").alias("theirs"), F.col("s.iroles").alias("role"), F.col("s.slots").alias("ours"))
+    values = pairs.groupBy(*at, "theirs", "role").agg((F.min("ours") == F.max("ours")).alias("steady"))
+    judged = pairs.join(values, [*at, "theirs", "role"]).groupBy(*at, "ipos", "pos").agg(
+        F.bool_and("steady").alias("steady"), F.bool_and(F.col("ours") == F.col("theirs")).alias("same")
     )
-    good = met.join(judged, ["key", *text_of, "shift"], "left").where("coalesce(steady, true)")
+    whole = values.groupBy(*at).agg(F.bool_and("steady").alias("whole"))  # a copy with an altered value is not verbatim
+    good = met.join(judged, [*at, "ipos", "pos"], "left").where("coalesce(steady, true)").join(whole, at, "left")
 
     totals = windows.groupBy(*text_of).agg(F.count("*").alias("n"))
     good = good.join(totals, text_of)
@@ -216,7 +230,7 @@ def leaks(docs, benchmark, key="doc_id", text="text", item="item_id", size=SIZE,
         F.struct(F.lit(0).alias("way"), F.floor(F.col("shift") / width).alias("band")),
         F.struct(F.lit(1).alias("way"), F.floor((F.col("shift") + F.floor(width / 2)) / width).alias("band")),
     ))
-    near = good.select("key", *text_of, "n", "ipos", "pos", F.coalesce("same", F.lit(True)).alias("same"), band.alias("x"))
+    near = good.select("key", *text_of, "n", "ipos", "pos", (F.coalesce("same", F.lit(True)) & F.coalesce("whole", F.lit(True))).alias("same"), band.alias("x"))
     places = near.groupBy("key", *text_of, "n", "x", "ipos").agg(F.min("pos").alias("pos"), F.bool_or("same").alias("same"))
     found = places.groupBy("key", *text_of, "x").agg(
         (F.count("*") / F.first("n")).alias("containment"), F.bool_and("same").alias("verbatim"), F.min("pos").alias("first_token")

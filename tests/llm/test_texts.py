@@ -354,6 +354,18 @@ def test_short_items_and_empty_tables(spark):
     assert leaks_of(spark, [], ["a b c"]) == {} and leaks_of(spark, ["a b c"], []) == {}
 
 
+def test_one_altered_value_and_coincident_numbers(spark):
+    item = (
+        f"{ITEM} Explain each step of your work in plain words and then write down the final answer on a separate line below all of the "
+        "steps that you took so that a reader can follow and check them one by one without any further help."
+    )
+    roads = "We drive for 2 hours in the rain and then we wait beside 2 trains until the guard waves. How far did we go?"
+    texts = [item.replace("leaves Boston", "leaves Paris"), roads.replace("2 hours", "3 hours").replace("2 trains", "5 trains"), roads]
+    got = leaks_of(spark, texts, [item, roads])
+    assert set(got) == {(0, 0), (1, 1), (2, 1)}
+    assert 0.8 <= got[0, 0]["containment"] < 1 and not got[0, 0]["verbatim"] and got[1, 1]["containment"] == 1 and got[2, 1]["verbatim"] and not got[1, 1]["verbatim"]
+
+
 def test_repeated_benchmark_rows_and_two_texts_of_an_item(spark):
     other = "The quick chemist mixes two clear liquids in a tall glass and waits until the colour turns from blue to green."
     texts = [f"so we ask. {ITEM}", f"as they say. {other}", "nothing of the kind"]
