@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators and the corpus pipeline, with their SQL."""
+"""Registered queries of the operators and the corpus pipeline, with their SQL."""
 
 from __future__ import annotations
 
@@ -8,7 +8,10 @@ import importlib
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from pricegrid.llm import bpe, chat_format, decontamination, embedding_dedup, language_id, licenses, line_dedup, secrets, simhash, substring_dedup
+from pricegrid.llm import (
+    bpe, chat_format, decontamination, embedding_dedup, language_id, licenses, line_dedup, merkle_manifest, periodic_runs,
+    secrets, simhash, substring_dedup,
+)
 from pricegrid.llm.common import table
 from pricegrid.plans.catalog import Catalog
 
@@ -183,6 +186,105 @@ def op10(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def crc(column="doc_id"):
+    """Unsigned CRC-32 of a number's decimal digits."""
+    return F.crc32(F.col(column).cast("string").cast("binary"))
+
+
+def with_periodic_tails(docs):
+    """The documents of which a tenth repeats a part of its words up to its end."""
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n, g = F.greatest(F.size("w"), F.lit(1)), F.floor(F.col("h") / 10)
+    head = F.pmod(g, n).cast("int")
+    period = (1 + F.floor((n - head) / (3 + F.pmod(g, F.lit(8))))).cast("int")
+    tail = F.flatten(F.array_repeat(F.slice("w", head + 1, period), F.ceil((n - head) / period).cast("int")))
+    made = F.array_join(F.slice(F.concat(F.slice("w", F.lit(1), head), tail), F.lit(1), n), " ")
+    planted = docs.withColumn("h", crc())
+    some = (F.col("h") % 10 == 0) & F.col("text").isNotNull()
+    planted = planted.withColumn("w", F.when(some, words))
+    return planted.select("doc_id", F.when(some & (F.size("w") > 0), made).otherwise(F.col("text")).alias("text"))
+
+
+@catalog.add("op11_periodic_runs")
+def op11(spark, sf_dir):
+    found = periodic_runs.periodic_runs(with_periodic_tails(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+    def longer(a, b):
+        more = b["length"] * a["period"] - a["length"] * b["period"]
+        return F.signum(F.when(more != 0, more).when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(a["period"] - b["period"])).cast("int")
+
+    best = F.get(F.array_sort("runs", longer), F.lit(0))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    lines = F.concat_ws("", F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def _sql_field(column):
+    return f"case when {column} is null then '-' else strlen({column}::varchar)::varchar || ':' || {column}::varchar end"
+
+
+MERKLE_SQL = r"""
+with recursive doc as (
+  select row_number() over () as rid, doc_id, source, lang, n_chars, text, list_reduce(list_concat([4294967295::bigint], list_transform(string_split(doc_id::varchar, ''), lambda d: ascii(d)::bigint)),
+    lambda c, b: list_reduce(list_concat([xor(c, b)], [0::bigint, 0, 0, 0, 0, 0, 0, 0]), lambda x, i: xor(x >> 1, (x & 1) * 3988292384))) & 1 as odd
+  from documents
+), leaves as (
+  select rid, doc_id, source, sha256(HEAD || TEXT) as leaf,
+    sha256(HEAD || (case when odd = 1 then BENT else TEXT end)) as bent
+  from doc
+), placed as (
+  select *, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as r, count(*) over (partition by source) as n from leaves
+), up as (
+  select source, 0 as lvl, r as idx, leaf as h, n from placed
+  union all
+  select source, lvl + 1, idx // 3, sha256(string_agg(h, '' order by idx)), (max(n) + 2) // 3 from up where n > 1 group by source, lvl, idx // 3
+), sub as (
+  select source, h, row_number() over (order by source nulls first) - 1 as r, count(*) over () as n from up where n = 1
+), top as (
+  select 0 as lvl, r as idx, h, n from sub
+  union all
+  select lvl + 1, idx // 3, sha256(string_agg(h, '' order by idx)), (max(n) + 2) // 3 from top where n > 1 group by lvl, idx // 3
+), near as (
+  select a.source, a.lvl, a.idx, coalesce(string_agg(b.h, '' order by b.idx) filter (where b.idx < a.idx), '') as pre,
+    coalesce(string_agg(b.h, '' order by b.idx) filter (where b.idx > a.idx), '') as post
+  from up a join up b on a.source is not distinct from b.source and a.lvl = b.lvl and a.idx // 3 = b.idx // 3 where a.n > 1 group by a.source, a.lvl, a.idx
+), near_top as (
+  select a.lvl, a.idx, coalesce(string_agg(b.h, '' order by b.idx) filter (where b.idx < a.idx), '') as pre,
+    coalesce(string_agg(b.h, '' order by b.idx) filter (where b.idx > a.idx), '') as post
+  from top a join top b on a.lvl = b.lvl and a.idx // 3 = b.idx // 3 where a.n > 1 group by a.lvl, a.idx
+), walk as (
+  select rid, source, 0 as lvl, r as idx, bent as h, '' as proof from placed
+  union all
+  select w.rid, w.source, w.lvl + 1, w.idx // 3, sha256(pre || h || post), proof || pre || post
+  from walk w join near k on w.source is not distinct from k.source and w.lvl = k.lvl and w.idx = k.idx
+), over_sub as (
+  select rid, any_value(source) as source, arg_max(h, lvl) as h, arg_max(proof, lvl) as proof from walk group by rid
+), walk_top as (
+  select o.rid, s.r as idx, 0 as lvl, o.h, o.proof from over_sub o join sub s on o.source is not distinct from s.source
+  union all
+  select w.rid, w.idx // 3, w.lvl + 1, sha256(pre || w.h || post), proof || pre || post from walk_top w join near_top k on w.lvl = k.lvl and w.idx = k.idx
+), folded as (
+  select rid, arg_max(h, lvl) as h, arg_max(proof, lvl) as proof from walk_top group by rid
+)
+select p.doc_id, p.leaf, s.h as subroot, t.h as root, sha256(f.proof) as proof_sha256, f.h as folded_root, f.h = t.h as verified
+from placed p join folded f on p.rid = f.rid join sub s on p.source is not distinct from s.source cross join (select h from top where n = 1) t
+""".replace("HEAD", " || ".join(_sql_field(c) for c in ("doc_id", "source", "lang", "n_chars"))).replace(
+    "TEXT", f"({_sql_field('text')})").replace("BENT", f"({_sql_field("replace(text, chr(10), '')")})")
+
+
+@catalog.add("op13_merkle_manifest", MERKLE_SQL)
+def op13(spark, sf_dir):
+    even = F.coalesce(crc() % 2 == 0, F.lit(False))
+    bent = F.when(even, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    return merkle_manifest.manifest(
+        table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], tampered={"text": bent}
+    )
+
+
 @catalog.add("pipeline")
 def pipeline(spark, sf_dir):
     return importlib.import_module("corpus_pipeline").run(spark, sf_dir)
