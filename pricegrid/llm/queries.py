@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from pricegrid.llm import (
-    bpe, chat_format, decontamination, embedding_dedup, language_id, licenses, line_dedup, merkle_manifest, periodic_runs,
+    bpe, chat_format, decontamination, embedding_dedup, language_id, licenses, line_dedup, lm_scores, merkle_manifest, periodic_runs,
     secrets, simhash, substring_dedup,
 )
 from pricegrid.llm.common import table
@@ -223,6 +223,15 @@ def op11(spark, sf_dir):
     )
 
 
+@catalog.add("op12_lm_scores")
+def op12(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = F.coalesce(crc() % 5 == 1, F.lit(False))
+    model = lm_scores.fit(docs, ~held, crc() % 5 == 2)
+    found = model.score().withColumn("held_out", held)
+    return found.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def _sql_field(column):
     return f"case when {column} is null then '-' else strlen({column}::varchar)::varchar || ':' || {column}::varchar end"
 
