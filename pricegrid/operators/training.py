@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import math
 import time
 from dataclasses import dataclass, field
 from itertools import product
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml import Model, Pipeline
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.regression import (
     DecisionTreeRegressor,
+    GBTRegressionModel,
     GBTRegressor,
     LinearRegression,
     RandomForestRegressor,
@@ -21,6 +25,7 @@ from pyspark.sql import functions as F
 
 from pricegrid.operators.features import _Fitted, _Fitter
 from pricegrid.operators.order import quantile_values
+from pricegrid.session import lineage_dir
 
 FEATURES, LABEL, PREDICTION = "features", "label", "prediction"
 
@@ -97,21 +102,26 @@ def decision_tree(depth=10, leaf=10, seed=42, label=LABEL, features=FEATURES):
 
 @dataclass
 class TrainingResult:
-    """Fitted models by name with parameters, seconds and validation RMSE."""
+    """Fitted models by name with parameters, seconds and validation RMSE.
+
+    `judged` holds all candidates of a search: (parameters, RMSE) in drawn order.
+    """
 
     models: dict = field(default_factory=dict)
     params: dict = field(default_factory=dict)
     seconds: dict = field(default_factory=dict)
     rmse: dict = field(default_factory=dict)
+    judged: dict = field(default_factory=dict)
 
-    def add(self, name, model, seconds, params=None, rmse=None):
+    def add(self, name, model, seconds, params=None, rmse=None, judged=()):
         self.models[name] = model
         self.seconds[name] = seconds
         self.params[name] = params or {}
         self.rmse[name] = None if rmse is None else float(rmse)
+        self.judged[name] = [(p, float(score)) for p, score in judged]
 
     def merge(self, other):
-        for part in ("models", "params", "seconds", "rmse"):
+        for part in ("models", "params", "seconds", "rmse", "judged"):
             getattr(self, part).update(getattr(other, part))
         return self
 
@@ -127,6 +137,43 @@ class TrainingResult:
     def prediction_columns(self):
         return {name: f"yhat_{name}" for name in self.models}
 
+    def candidates(self, spark) -> DataFrame:
+        """One row per candidate of every search: model, number, parameters, RMSE, chosen."""
+        rows = [
+            (name, k, {p: str(v) for p, v in params.items()}, score, params == self.params[name])
+            for name, judged in self.judged.items()
+            for k, (params, score) in enumerate(judged)
+        ]
+        return spark.createDataFrame(
+            rows, "model string, candidate int, params map<string,string>, rmse double, chosen boolean"
+        )
+
+    def facts(self, df: DataFrame, grids: dict) -> DataFrame:
+        """What holds of searches whatever the data, per model and split.
+
+        Rows, candidates judged, whether the chosen values lie in the grid and
+        have the lowest error of all candidates, and on train whether the model
+        errs no more than the train mean would.
+        """
+        errors = [
+            F.struct(
+                F.lit(name).alias("model"),
+                F.lit(len(self.judged[name])).cast("long").alias("candidates"),
+                F.lit(all(self.params[name][p] in values for p, values in grids[name].items())).alias("in_grid"),
+                F.lit(self.rmse[name] == min(score for _, score in self.judged[name])).alias("lowest"),
+                F.sqrt(F.avg(F.pow(F.col(LABEL) - F.col(column), 2))).alias("rmse"),
+            )
+            for name, column in self.prediction_columns.items()
+        ]
+        found = self.predict(df).groupBy("split").agg(
+            F.count(F.lit(1)).alias("n_samples"), F.stddev_pop(LABEL).alias("deviation"), F.array(*errors).alias("m")
+        )
+        found = found.select("split", "n_samples", "deviation", F.explode("m").alias("m"))
+        fits = F.when(F.col("split") == "train", F.col("m.rmse") <= F.col("deviation") * (1 + 1e-9))
+        return found.select(
+            "m.model", "split", "n_samples", "m.candidates", "m.in_grid", "m.lowest", fits.alias("fits_train")
+        )
+
     def table(self, spark) -> DataFrame:
         """One row per model: type, parameters, seconds, validation RMSE."""
         rows = [
@@ -209,36 +256,83 @@ def search_forest(train, grid=None, n=3, folds=2, seed=42, parallelism=2, sample
     ).fit(train)
     best = int(np.argmin(found.avgMetrics))
     result = TrainingResult()
-    result.add("random_forest", found.bestModel, time.time() - start, candidates[best], found.avgMetrics[best])
+    result.add(
+        "random_forest", found.bestModel, time.time() - start, candidates[best], found.avgMetrics[best],
+        zip(candidates, found.avgMetrics),
+    )
     return result
 
 
+def first_rounds(model: GBTRegressionModel, rounds) -> GBTRegressionModel:
+    """The boosted model as it was after so many rounds."""
+    if rounds >= model.getNumTrees:
+        return model
+    java, context = model._java_obj, SparkContext._active_spark_context
+    jvm, gateway = context._jvm, context._gateway
+    trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = gateway.new_array(jvm.double, rounds)
+    for k, (tree, weight) in enumerate(zip(java.trees()[:rounds], list(java.treeWeights())[:rounds])):
+        trees[k], weights[k] = tree, float(weight)
+    cut = GBTRegressionModel(jvm.org.apache.spark.ml.regression.GBTRegressionModel(java.uid(), trees, weights))
+    return cut.setFeaturesCol(model.getFeaturesCol()).setPredictionCol(model.getPredictionCol())
+
+
+def shared_fits(candidates):
+    """Candidates grouped by all parameters but the rounds: {fit: [candidate number]}."""
+    groups = {}
+    for k, params in enumerate(candidates):
+        rest = tuple(sorted((p, v) for p, v in params.items() if p != "maxIter"))
+        groups.setdefault(rest, []).append(k)
+    return groups
+
+
 def search_boosting(
     train, validation=None, grid=None, n=10, seed=42, name="gradient_boosting",
-    early_stopping=False, features=FEATURES,
+    early_stopping=False, features=FEATURES, parallelism=8, rows_per_task=50_000,
 ):
     """Gradient-boosted trees, the candidate with the lowest validation RMSE.
 
     Without validation rows the training rows judge. With early_stopping the
     validation rows also end the boosting of each candidate.
+
+    Rounds are only ever added, so candidates that differ in their number alone are
+    one fit, judged after every round by one pass over the rows that judge. Fits are
+    independent: `parallelism` of them run side by side, each over tasks of at least
+    `rows_per_task` rows, for a round's time on few rows is the start of its tasks.
+    Spark cuts the lineage of the rounds by checkpoints.
     """
-    start, evaluator = time.time(), rmse_evaluator()
-    judge = train if validation is None else validation
-    best = (float("inf"), None, None)
-    for params in sample_grid(grid or BOOST_GRID, n, seed):
-        model = GBTRegressor(labelCol=LABEL, featuresCol=features, seed=seed, **params)
-        rows = train
-        if early_stopping and validation is not None:
-            model = model.setValidationIndicatorCol("is_validation")
-            rows = train.withColumn("is_validation", F.lit(False)).unionByName(
-                validation.withColumn("is_validation", F.lit(True))
-            )
-        fitted = model.fit(rows)
-        score = evaluator.evaluate(fitted.transform(judge))
-        if score < best[0]:
-            best = (score, fitted, params)
+    start, judge = time.time(), train if validation is None else validation
+    lineage_dir(train.sparkSession)
+    candidates = sample_grid(grid or BOOST_GRID, n, seed)
+    stops = early_stopping and validation is not None
+    rows = train
+    if stops:
+        rows = train.withColumn("is_validation", F.lit(False)).unionByName(
+            validation.withColumn("is_validation", F.lit(True))
+        )
+    rows = rows.coalesce(max(1, math.ceil(rows.count() / rows_per_task)))
+    scores, models = [None] * len(candidates), {}
+
+    def fit(group):
+        rest, members = group
+        rounds = max(candidates[k].get("maxIter", 20) for k in members)
+        model = GBTRegressor(labelCol=LABEL, featuresCol=features, seed=seed, maxIter=rounds, **dict(rest))
+        fitted = (model.setValidationIndicatorCol("is_validation") if stops else model).fit(rows)
+        errors = fitted.evaluateEachIteration(judge, "squared")
+        for k in members:
+            scores[k] = math.sqrt(errors[min(candidates[k].get("maxIter", 20), len(errors)) - 1])
+        models[rest] = fitted
+
+    groups = shared_fits(candidates)
+    with ThreadPool(max(1, min(parallelism, len(groups)))) as pool:
+        # The longest fits start first.
+        ordered = sorted(groups.items(), key=lambda g: -max(candidates[k].get("maxDepth", 5) for k in g[1]))
+        pool.map(inheritable_thread_target(train.sparkSession)(fit), ordered, chunksize=1)
+    best = int(np.argmin(scores))
+    rest = next(g for g, members in groups.items() if best in members)
+    model = first_rounds(models[rest], candidates[best].get("maxIter", 20))
     result = TrainingResult()
-    result.add(name, best[1], time.time() - start, best[2], best[0])
+    result.add(name, model, time.time() - start, candidates[best], scores[best], zip(candidates, scores))
     return result
 
 

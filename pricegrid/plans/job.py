@@ -1,8 +1,10 @@
 """The staged batch job: every stage ends in a table below one run folder.
 
-A stage whose table is already complete is read instead of computed, so a run
-that failed continues where it stopped. Stages run in order; there is nothing
-to schedule.
+A stage whose table is complete and was made by the same code from the same
+inputs under the same settings is read instead of computed: its digest is kept
+with the table (plans/fingerprints.py). So a run that failed continues where it
+stopped, and one with another setting redoes the stages that depend on it and
+all after them. Stages run in order; there is nothing to schedule.
 """
 
 from __future__ import annotations
@@ -13,14 +15,17 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricegrid.operators import evaluation, segments, training, validation
+from pricegrid.operators import (
+    cleaning, evaluation, feature_selection, features, registry, rules, segments, splitting, training, validation,
+)
 from pricegrid.operators.cleaning import Cleaner
 from pricegrid.operators.feature_selection import SelectFeatures
 from pricegrid.operators.features import FeatureVector, feature_names, fit_features
 from pricegrid.operators.registry import Registry, performance
 from pricegrid.operators.splitting import Splitter
+from pricegrid.plans import fingerprints
 from pricegrid.schema import TableConfig
-from pricegrid.sources import sinks
+from pricegrid.sources import sinks, tables
 from pricegrid.sources.tables import combine
 
 STAGES = (
@@ -28,6 +33,20 @@ STAGES = (
     "evaluate", "segments", "register",
 )
 
+# Per stage: the stages it reads, the settings it takes and the modules that compute it.
+DEPENDS = {
+    "load": ((), (), (tables,)),
+    "validate_before": (("load",), ("config",), (validation, rules)),
+    "clean": (("load",), ("config", "method"), (cleaning, rules, validation)),
+    "validate_after": (("clean",), ("config",), (validation, rules)),
+    "split": (("clean",), ("config", "split_method", "seed"), (splitting,)),
+    "features": (("split",), ("config", "mapping", "selection"), (features, feature_selection)),
+    "train": (("features",), ("grids", "counts", "advanced", "seed"), (training,)),
+    "evaluate": (("features", "train"), (), (evaluation, training)),
+    "segments": (("split", "features", "train"), ("config", "mapping", "main_model", "n_worst"), (segments,)),
+    "register": (("evaluate", "features", "train"), ("main_model",), (registry,)),
+}
+
 
 @dataclass
 class BatchJob:
@@ -50,17 +69,31 @@ class BatchJob:
     def table(self, name) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/{name}")
 
-    def _done(self, name):
-        """A written table has its _SUCCESS marker."""
+    def _done(self, name, made):
+        """A written table has its _SUCCESS marker, and the digest of what made it."""
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         marker = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}/_SUCCESS")
-        return marker.getFileSystem(conf).exists(marker)
-
-    def _stage(self, stage, make, partition=None) -> DataFrame:
-        if not self._done(stage):
+        if not marker.getFileSystem(conf).exists(marker):
+            return False
+        return fingerprints.read(self.spark, f"{self.path}/{name}") == made
+
+    def _digests(self, frames):
+        """The digest of every stage; a change in one changes those after it."""
+        found = {}
+        for stage, (inputs, settings, modules) in DEPENDS.items():
+            own = [fingerprints.frame_digest(f) for f in frames] if stage == "load" else []
+            own += [(name, getattr(self, name)) for name in settings]
+            if stage == "load":
+                own.append(self.config.key)
+            found[stage] = fingerprints.digest(stage, own, fingerprints.code(*modules), [found[i] for i in inputs])
+        return found
+
+    def _stage(self, stage, make, made, partition=None) -> DataFrame:
+        if not self._done(stage, made):
             writer = make().write.mode("overwrite")
             writer = writer.partitionBy(partition) if partition else writer
             writer.parquet(f"{self.path}/{stage}")
+            fingerprints.write(self.spark, f"{self.path}/{stage}", made)
             sinks.append_manifest(
                 self.spark, f"{self.path}/manifest", self.run_id, STAGES.index(stage), stage, "table",
                 f"{self.path}/{stage}",
@@ -84,8 +117,9 @@ class BatchJob:
             "segments": lambda: self._segments(out["split"], out["features"], key),
             "register": lambda: self._register(out),
         }
+        made = self._digests(frames)
         for stage in STAGES[: last + 1]:
-            out[stage] = self._stage(stage, steps[stage], "split" if stage == "split" else None)
+            out[stage] = self._stage(stage, steps[stage], made[stage], "split" if stage == "split" else None)
         return out
 
     def _split(self, clean):

@@ -157,33 +157,43 @@ def ml7_baselines_on_train(spark, sf_dir):
     return _against_mean(result.predict(df), result.prediction_columns)
 
 
-@query("ml8_forest_search")
+SEARCHED = {
+    "random_forest": training.FOREST_GRID, "gradient_boosting": training.BOOST_GRID, "deep_boosting": training.DEEP_BOOST_GRID,
+}
+
+
+def _facts_sql(counts):
+    """Searches judge all their candidates and choose the best of the grid, whatever the data."""
+    return f"{SPLIT_SQL} select m.model, split, count(*) as n_samples, m.candidates, true as in_grid, true as lowest," + (
+        " case when split='train' then true end as fits_train from sp cross join (values "
+    ) + ", ".join(f"('{name}', {n}::bigint)" for name, n in counts.items()) + ") m(model, candidates) group by m.model, split, m.candidates"
+
+
+@query("ml8_forest_search", _facts_sql({"random_forest": 3}))
 def ml8_forest_search(spark, sf_dir):
-    train = _split(model_frame(spark, sf_dir), "train")
-    return training.search_forest(train).table(spark).drop("seconds")
+    df = model_frame(spark, sf_dir)
+    return training.search_forest(_split(df, "train")).facts(df, SEARCHED)
 
 
-@query("ml9_boosting_search")
+@query("ml9_boosting_search", _facts_sql({"gradient_boosting": 10}))
 def ml9_boosting_search(spark, sf_dir):
     df = model_frame(spark, sf_dir)
-    found = training.search_boosting(_split(df, "train"), _split(df, "val"))
-    return found.table(spark).drop("seconds")
+    return training.search_boosting(_split(df, "train"), _split(df, "val")).facts(df, SEARCHED)
 
 
-@query("ml10_deep_boosting_search")
+@query("ml10_deep_boosting_search", _facts_sql({"deep_boosting": 10}))
 def ml10_deep_boosting_search(spark, sf_dir):
     df = model_frame(spark, sf_dir)
     found = training.search_boosting(
         _split(df, "train"), _split(df, "val"), training.DEEP_BOOST_GRID, name="deep_boosting", early_stopping=True
     )
-    return found.table(spark).drop("seconds")
+    return found.facts(df, SEARCHED)
 
 
-@query("ml11_train_all")
+@query("ml11_train_all", _facts_sql({"random_forest": 3, "gradient_boosting": 10, "deep_boosting": 10}))
 def ml11_train_all(spark, sf_dir):
     df = model_frame(spark, sf_dir)
-    found = training.train_advanced(_split(df, "train"), _split(df, "val"))
-    return ev.compare_models(found.predict(df), found.prediction_columns, "label", ["split"])
+    return training.train_advanced(_split(df, "train"), _split(df, "val")).facts(df, SEARCHED)
 
 
 # -- evaluation -----------------------------------------------------------------------
@@ -428,6 +438,16 @@ def version_entries(spark, sf_dir):
     )
 
 
+def registered(spark, sf_dir):
+    """These versions in a registry."""
+    store = rg.Registry(spark, shared_dir(spark, "registry"))
+    store.save_all(version_entries(spark, sf_dir).select(
+        "model_name", "version", F.lit("mean").alias("model_type"), F.create_map(F.lit("rmse"), "rmse").alias("performance_metrics"),
+        F.create_map(F.lit("train_size"), F.col("train_size").cast("string")).alias("training_info"),
+    ))
+    return store
+
+
 ENTRIES = f"""{L}, en as (select state as model_name, 'v1.'||(year_of_reference-1992)||'.'||doors as version,
  round(stddev_pop(price),4) as rmse, count(*) as train_size from l group by 1,2),
  ve as (select *, cast(split_part(version,'.',2) as int)*1000+cast(split_part(version,'.',3) as int) as k from en)"""
@@ -479,7 +499,7 @@ def rg1_save_model(spark, sf_dir):
     f"""{ENTRIES} select model_name, 'v1.'||(max(k)//1000)||'.'||(max(k)%1000+1) as next_version from ve group by 1""",
 )
 def rg2_next_version(spark, sf_dir):
-    return rg.next_versions(version_entries(spark, sf_dir))
+    return rg.next_versions(registered(spark, sf_dir).entries())
 
 
 @query(
@@ -499,7 +519,7 @@ def rg3_load_model(spark, sf_dir):
     f"{ENTRIES} select model_name, arg_max(version,k) as latest_version, count(*) as versions from ve group by 1",
 )
 def rg4_list_versions(spark, sf_dir):
-    entries = version_entries(spark, sf_dir)
+    entries = registered(spark, sf_dir).entries()
     count = entries.groupBy("model_name").agg(F.count(F.lit(1)).alias("versions"))
     return rg.latest_versions(entries).join(count, "model_name")
 
@@ -512,16 +532,13 @@ select ve.model_name, ve.version, rmse, b.version is not null as is_production f
 )
 def rg5_production(spark, sf_dir):
     """First the newest version is in production, then the one with the lowest error."""
-    entries = version_entries(spark, sf_dir)
-    first = rg.latest_versions(entries).select(
-        "model_name", F.col("latest_version").alias("version"), F.lit("2024-01-01").alias("chosen_at")
-    )
-    best = entries.where("train_size > 1").groupBy("model_name").agg(
-        F.min_by("version", F.struct("rmse", rg.version_key())).alias("version")
-    ).withColumn("chosen_at", F.lit("2024-02-01"))
-    return rg.with_production(entries, first.unionByName(best)).select(
-        "model_name", "version", "rmse", "is_production"
-    )
+    store = registered(spark, sf_dir)
+    entries = store.entries()
+    store.choose_all(rg.latest_versions(entries).withColumnRenamed("latest_version", "version"))
+    rmse = F.col("performance_metrics")["rmse"]
+    best = entries.where(F.col("training_info")["train_size"].cast("long") > 1).groupBy("model_name")
+    store.choose_all(best.agg(F.min_by("version", F.struct(rmse, rg.version_key())).alias("version")))
+    return store.entries().select("model_name", "version", rmse.alias("rmse"), "is_production")
 
 
 @query(

@@ -47,6 +47,13 @@ def shared_dir(spark, purpose):
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def lineage_dir(spark):
+    """Make sure that iterative estimators can cut their lineage by checkpoints."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(spark, "lineage"))
+
+
 def stage(df, name):
     """Write a table to the shared folder and read it back (cuts the lineage)."""
     path = shared_dir(df.sparkSession, name)

@@ -1,8 +1,10 @@
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.sql import functions as F
 
-from pricegrid.operators import enrichment
+from pricegrid.operators import enrichment, splitting
 from pricegrid.operators.features import feature_names
+from pricegrid.plans import fingerprints
 from pricegrid.plans.job import STAGES, BatchJob
 from pricegrid.schema import LISTINGS, RAW_SCHEMA
 from pricegrid.session import shared_dir
@@ -50,6 +52,62 @@ def test_batch_job_keeps_the_selected_features(spark):
     assert len(names) == 3 and "split" not in names and LISTINGS.target not in names
 
 
+def stages_made(spark, path, run_id):
+    rows = sinks.read_manifest(spark, f"{path}/manifest").where(F.col("run_id") == run_id)
+    return [r.stage for r in rows.orderBy("position").collect()]
+
+
+def test_changed_settings_redo_their_stages_only(spark):
+    path = shared_dir(spark, "job-settings")
+
+    def run(run_id, frame=None, **settings):
+        job = BatchJob(spark, path, LISTINGS, advanced=False, run_id=run_id, **settings)
+        job.run(dirty_listings(spark, SF) if frame is None else frame, upto="split")
+        return stages_made(spark, path, run_id)
+
+    assert run("first") == list(STAGES[:5])
+    assert run("same") == []
+    cleaned = spark.read.parquet(f"{path}/clean").count()
+    assert run("method", method="domain") == ["clean", "validate_after", "split"]
+    assert spark.read.parquet(f"{path}/clean").count() != cleaned
+    assert run("seed", method="domain", seed=7) == ["split"]
+    plain, mapped = (BatchJob(spark, path, LISTINGS, mapping=m)._digests([dirty_listings(spark, SF)]) for m in (None, {"FRANCE": "Europe"}))
+    assert [s for s in STAGES if plain[s] != mapped[s]] == ["features", "train", "evaluate", "segments", "register"]
+    # Other rows redo everything.
+    rows = dirty_listings(spark, SF)
+    assert run("rows", rows.where("price > 2000"), method="domain", seed=7)[0] == "load"
+
+
+def test_changed_code_and_broken_tables_are_redone(spark, monkeypatch):
+    path = shared_dir(spark, "job-code")
+    rows = spark.createDataFrame([tuple(r) for r in dirty_listings(spark, SF).limit(300).collect()], dirty_listings(spark, SF).schema)
+    run = lambda name: BatchJob(spark, path, LISTINGS, run_id=name).run(rows, upto="split")
+    run("first")
+    run("same")
+    assert stages_made(spark, path, "same") == []
+    real = fingerprints.code
+    monkeypatch.setattr(fingerprints, "code", lambda *m: real(*m) + ("new" if splitting in m else ""))
+    run("code")
+    assert stages_made(spark, path, "code") == ["split"]
+    # A table whose digest is gone was not finished.
+    spark.createDataFrame([(1,)], "a int").write.mode("overwrite").parquet(f"{path}/clean")
+    run("broken")
+    assert stages_made(spark, path, "broken") == ["clean"]
+
+
+def test_frames_are_told_by_files_or_rows(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, None), (2, None)], "k long, t string")
+    again = df.repartition(3).orderBy(F.desc("k"))
+    assert fingerprints.frame_digest(df) == fingerprints.frame_digest(again)
+    assert fingerprints.frame_digest(df) != fingerprints.frame_digest(df.distinct())
+    df.write.parquet(f"{tmp_path}/t")
+    read = lambda: spark.read.parquet(f"{tmp_path}/t").withColumn("x", F.transform(F.array("k"), lambda v: v + 1))
+    one = fingerprints.frame_digest(read())
+    assert one == fingerprints.frame_digest(read()) != fingerprints.frame_digest(read().where("k = 1"))
+    df.write.mode("append").parquet(f"{tmp_path}/t")
+    assert one != fingerprints.frame_digest(read())
+
+
 def test_splits_must_be_complete(spark):
     path = shared_dir(spark, "splits")
     df = spark.createDataFrame([(1, "train"), (2, "val")], "id long, split string")

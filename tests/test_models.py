@@ -1,9 +1,14 @@
 import inspect
+import random
+from multiprocessing.pool import ThreadPool
 from unittest.mock import MagicMock
 
 import numpy as np
 import pytest
 from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from pricegrid.operators import evaluation, scoring, segments, training
@@ -115,6 +120,67 @@ def test_registry_round_trip(spark):
         store.set_production("m", "v9.9.9")
 
 
+def test_registry_gives_concurrent_writers_different_versions(spark):
+    path, model = shared_dir(spark, "registry-race"), car_model(spark)
+    with ThreadPool(5) as pool:
+        versions = pool.map(lambda k: Registry(spark, path).save(model, "m", "linear", {"rmse": float(k)}), range(5))
+    store = Registry(spark, path)
+    assert sorted(versions) == store.versions("m") == [f"v1.0.{k}" for k in range(5)]
+    assert store.entries().select("path").distinct().count() == 5
+    # A writer that has read an older state loses its number and decides again.
+    late, last = Registry(spark, path), store.log.last()
+    seen = iter([last - 1, last - 1])
+    late.log.last = lambda: next(seen, None) or store.log.last()
+    assert late.save(model, "m", "linear", {}) == "v1.0.5"
+    with pytest.raises(ValueError):
+        late.save(model, "m", "linear", {}, version="v1.0.3")
+    assert store.log.commit(last, {"action": "choose"}) is False
+    assert len(store.versions("m", upto=last)) == 5 and len(store.versions("m")) == 6
+
+
+def test_registry_bulk_commits(spark):
+    store = Registry(spark, shared_dir(spark, "registry-bulk"))
+    rows = spark.createDataFrame([("a", "v1.0.2"), ("a", "v1.0.10"), ("b", "v2.0.0")], "model_name string, version string")
+    store.save_all(rows)
+    assert store.next_version("a") == "v1.0.11" and store.log.last() == 0
+    for bad in (rows, rows.limit(1).unionByName(rows.limit(1)).withColumn("version", F.lit("v9.0.0"))):
+        with pytest.raises(ValueError):
+            store.save_all(bad)
+    store.choose_all(rows.where("version <> 'v1.0.10'"))
+    store.choose_all(rows.where("version = 'v1.0.10'"))
+    assert (store.production("a"), store.production("b")) == ("v1.0.10", "v2.0.0")
+    with pytest.raises(ValueError):
+        store.choose_all(rows.withColumn("version", F.lit("v0.0.0")))
+
+
+def test_rounds_are_prefixes_and_shared(spark):
+    rng = random.Random(4)
+    data = [(Vectors.dense([rng.random() for _ in range(3)]),) for _ in range(300)]
+    df = spark.createDataFrame(data, ["features"])
+    at = vector_to_array("features")
+    df = df.withColumn("label", 5 * at[0] + F.sin(9 * at[1]) + at[2]).repartition(2).cache()
+    options = dict(labelCol="label", featuresCol="features", seed=7, subsamplingRate=0.8, maxDepth=3)
+    long, short = (GBTRegressor(maxIter=n, **options).fit(df) for n in (9, 4))
+    cut = training.first_rounds(long, 4)
+    assert cut.getNumTrees == 4 and cut.treeWeights == short.treeWeights
+    both = [[r.prediction for r in m.transform(df).collect()] for m in (cut, short)]
+    assert both[0] == pytest.approx(both[1])
+    grid = {"maxIter": [4, 9], "maxDepth": [2, 3], "subsamplingRate": [0.8]}
+    assert sorted(map(len, training.shared_fits(training.sample_grid(grid, 4)).values())) == [2, 2]
+    found = training.search_boosting(df, None, grid, 4, seed=7, parallelism=2)
+    judged = found.judged["gradient_boosting"]
+    for params, score in judged:
+        alone = GBTRegressor(labelCol="label", featuresCol="features", seed=7, **params).fit(df.coalesce(1))
+        assert score == pytest.approx(training.rmse_evaluator().evaluate(alone.transform(df)))
+    chosen = found.params["gradient_boosting"]
+    assert found.models["gradient_boosting"].getNumTrees == chosen["maxIter"]
+    assert found.rmse["gradient_boosting"] == min(score for _, score in judged)
+    rows = found.candidates(spark).collect()
+    assert len(rows) == 4 and [r.chosen for r in rows].count(True) == 1
+    fact = found.facts(df.withColumn("split", F.lit("train")), {"gradient_boosting": grid}).first()
+    assert (fact.n_samples, fact.candidates, fact.in_grid, fact.lowest, fact.fits_train) == (300, 4, True, True, True)
+
+
 REQUEST = {k: v for k, v in TOYOTA.items() if k != "price"} | dict(
     brand="Fiat", model="Uno", year=2020, engine_size=1.0, age_years=4, year_of_reference=2024, month_of_reference="2024-01")
 BAD = [dict(REQUEST, year=1980), dict(REQUEST, km=-1.0), dict(REQUEST, doors=6), dict(REQUEST, fuel_type="Steam"),
