@@ -26,7 +26,9 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType
+from pyspark.sql.types import ArrayType, IntegerType, StringType
+
+from pricegrid.llm.common import map_rows
 
 
 ROLL = 32
@@ -249,16 +251,13 @@ def encode_documents(docs, path, ranks_path=None, pattern=None, text="text", che
     """
     settings = (path, ranks_path, pattern)
     known = docs.sparkSession.sparkContext.broadcast(shared_chunks(docs, settings, text))
-    own = docs.drop("token_ids", "decoded")
-    schema = own.select("*").schema.add("token_ids", ArrayType(IntegerType())).add("decoded", "string")
 
-    def run(batches):
+    def work(batch):
         coder = codec(settings)
-        for batch in batches:
-            ids = [encode_reusing(coder, t or "", known.value) for t in batch[text]]
-            yield batch.assign(token_ids=ids, decoded=[coder.decode(x) for x in ids])
+        ids = [encode_reusing(coder, t or "", known.value) for t in batch.column(text).to_pylist()]
+        return {"token_ids": ids, "decoded": [coder.decode(x) for x in ids]}
 
-    return own.mapInPandas(run, schema)
+    return map_rows(docs, {"token_ids": ArrayType(IntegerType()), "decoded": StringType()}, work)
 
 
 def digests(docs, path, ranks_path=None, pattern=None, key="doc_id", text="text"):
@@ -268,23 +267,19 @@ def digests(docs, path, ranks_path=None, pattern=None, key="doc_id", text="text"
     """
     settings = (path, ranks_path, pattern)
     known = docs.sparkSession.sparkContext.broadcast(shared_chunks(docs, settings, text))
-    schema = docs.select(key).schema
-    for name, kind in (("n_tokens", "long"), ("ids_sha256", "string"), ("decoded_sha256", "string")):
-        schema = schema.add(name, kind)
-
-    def run(batches):
-        coder = codec(settings)
-        names = {}
-        for batch in batches:
-            out = []
-            for k, t in zip(batch[key], batch[text]):
-                ids = encode_reusing(coder, t or "", known.value)
-                for new in set(ids) - names.keys():
-                    names[new] = str(new)
-                joined = ",".join([names[x] for x in ids])
-                decoded = coder.decode(ids)
-                out.append((k, len(ids), hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(decoded.encode("utf-8", "replace")).hexdigest()))
-            frame = pd.DataFrame(out, columns=schema.names)
-            yield frame.astype({key: batch[key].dtype})
-
-    return docs.select(key, text).mapInPandas(run, schema)
+    made = {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"}
+
+    def work(batch):
+        coder, names = codec(settings), {}
+        out = {name: [] for name in made}
+        for t in batch.column("__text").to_pylist():
+            ids = encode_reusing(coder, t or "", known.value)
+            for new in set(ids) - names.keys():
+                names[new] = str(new)
+            joined = ",".join([names[x] for x in ids])
+            out["n_tokens"].append(len(ids))
+            out["ids_sha256"].append(hashlib.sha256(joined.encode()).hexdigest())
+            out["decoded_sha256"].append(hashlib.sha256(coder.decode(ids).encode("utf-8", "replace")).hexdigest())
+        return out
+
+    return map_rows(docs.select(key, F.col(text).alias("__text")), made, work, drop=["__text"])

@@ -7,6 +7,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from pricegrid.session import stage
 
@@ -25,6 +27,28 @@ def unique_number(docs, key):
     return rows == keys == distinct
 
 
+def map_rows(df, made, work, drop=()):
+    """The rows of df with the columns `made` ({name: type}) that work(batch) gives.
+
+    `work` takes an Arrow batch and returns a list for every made column. All other
+    columns but those of `drop` stay in Arrow untouched: as pandas values, whole
+    numbers beside a null would become doubles and lose digits.
+    """
+    names = [c for c in df.columns if c not in drop and c not in made]
+    schema = T.StructType([df.schema[c] for c in names])
+    for name, kind in made.items():
+        schema = schema.add(name, kind)
+    types = [to_arrow_type(schema[n].dataType) for n in made]
+
+    def run(batches):
+        for batch in batches:
+            out = work(batch)
+            arrays = [batch.column(c) for c in names] + [pa.array(out[n], t) for n, t in zip(made, types)]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*names, *made])
+
+    return df.mapInArrow(run, schema)
+
+
 def slices(texts):
     """(first, last) row ranges of a batch with about SLICE_BYTES of text each."""
     first, held = 0, 0

@@ -18,6 +18,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
+from pricegrid.llm.common import map_rows
+
 DIMS = 1 << 14
 PIECE = 1 << 20  # characters handled at once
 UNKNOWN = "und"
@@ -187,23 +189,19 @@ class LanguageModel:
         names = docs.columns if keep is None else list(keep)
         need = docs if keep is None else docs.select(*names, F.col(text).alias("__text"))
         column = text if keep is None else "__text"
-        schema = docs.select(*names).schema
-        for name, kind in (("lang_pred", "string"), ("score", "double"), ("ambiguous", "boolean")):
-            schema = schema.add(name, kind)
         model = self
 
-        def run(batches):
-            for batch in batches:
-                raw, some = model.margins(batch[column])
-                out = batch[names].copy()
-                lang, score, unsure = np.full(len(out), UNKNOWN, object), np.zeros(len(out)), np.zeros(len(out), bool)
-                if some.any() and model.languages:
-                    best, sure, close = model.decode(raw[some])
-                    lang[some] = np.array(model.languages, object)[best]
-                    score[some], unsure[some] = sure, close
-                yield out.assign(lang_pred=lang, score=score, ambiguous=unsure)
+        def work(batch):
+            raw, some = model.margins(batch.column(column).to_pylist())
+            lang, score, unsure = np.full(len(some), UNKNOWN, object), np.zeros(len(some)), np.zeros(len(some), bool)
+            if some.any() and model.languages:
+                best, sure, close = model.decode(raw[some])
+                lang[some] = np.array(model.languages, object)[best]
+                score[some], unsure[some] = sure, close
+            return {"lang_pred": lang, "score": score, "ambiguous": unsure}
 
-        return need.mapInPandas(run, schema)
+        made = {"lang_pred": "string", "score": "double", "ambiguous": "boolean"}
+        return map_rows(need, made, work, drop=[] if keep is None else ["__text"])
 
 
 def held_out(key="doc_id"):
@@ -215,9 +213,12 @@ def keep_known(docs, key="doc_id", text="text", lang="lang", **options):
     """The documents with a recognised language: `und` and ambiguous ones go.
 
     The model is fitted on the documents that are not held out. All columns and
-    rows of the kept documents stay as they are.
+    rows of the kept documents stay as they are. Where no document that may be
+    learned from has a language, nothing can be told apart and all documents stay.
     """
     model = LanguageModel.fit(docs.where(~held_out(key)), key, text, lang, **options)
+    if not model.languages:
+        return docs
     names = {"lang_pred", "score", "ambiguous"} & set(docs.columns)
     if names:
         docs = docs.withColumnsRenamed({n: f"__own_{n}" for n in names})

@@ -18,7 +18,7 @@ import re
 from bisect import bisect_left
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from pricegrid.llm.common import hash_words, mixed, slices, words_of
@@ -305,9 +305,9 @@ def scan(docs, templates=None, key="doc_id", text="text", threshold=THRESHOLD):
 
     def run(batches):
         for batch in batches:
-            out = []
-            for a, b in slices(batch["__text"]):
-                owner, pairs = bigrams(batch["__text"].iloc[a:b])
+            out, texts = [], batch.column("__text").to_pylist()
+            for a, b in slices(texts):
+                owner, pairs = bigrams(texts[a:b])
                 hit = np.concatenate([[0], np.cumsum(np.isin(pairs, every))]) if len(pairs) else np.zeros(1, int)
                 for k in range(a, b):
                     lo, hi = owner[k - a], owner[k - a + 1] - 1  # a text's last word starts no bigram of its own
@@ -319,8 +319,11 @@ def scan(docs, templates=None, key="doc_id", text="text", threshold=THRESHOLD):
                         if np.isin(known, held, assume_unique=True).sum() < threshold * len(known) / (2 - threshold):
                             continue
                         found += [(d, i, j, name, variant) for d, i, j in passages(pairs[lo:hi], known, length, threshold)]
-                    out += [(batch[key].iloc[k], name, d, i, j - i + 2) for d, i, j, name, _ in disjoint(found)]
+                    out += [(k, name, d, i, j - i + 2) for d, i, j, name, _ in disjoint(found)]
             if out:
-                yield pd.DataFrame(out, columns=names).astype({key: batch[key].dtype})
+                at, *found = zip(*out)
+                arrays = [batch.column("__key").take(pa.array(at))]  # in Arrow, so that ids beside a null stay exact
+                arrays += [pa.array(c, t) for c, t in zip(found, (pa.string(), pa.float64(), pa.int64(), pa.int64()))]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return docs.select(key, F.col(text).alias("__text")).mapInPandas(run, schema)
+    return docs.select(F.col(key).alias("__key"), F.col(text).alias("__text")).mapInArrow(run, schema)

@@ -174,7 +174,9 @@ def dedup_lines(docs, key="doc_id", text="text", min_words=MIN_WORDS):
 
 
 def keep_remaining(docs, key="doc_id", text="text", **options):
-    """Documents after line dedup; those that lost every line go."""
+    """Documents after line dedup; those that lost every line go. Other columns
+    stay as they are, also those that have the names of the counts."""
     names = docs.columns
-    found = dedup_lines(docs, key, text, **options).where("n_lines = 0 or n_removed < n_lines")
-    return found.select(*names)
+    own = {n: f"__own_{n}" for n in ("n_lines", "n_removed") if n in names}
+    found = dedup_lines(docs.withColumnsRenamed(own), key, text, **options).where("n_lines = 0 or n_removed < n_lines")
+    return found.select(*[F.col(own[n]).alias(n) if n in own else n for n in names])

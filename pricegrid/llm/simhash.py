@@ -25,7 +25,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import functions as F
 
-from pricegrid.llm.common import components
+from pricegrid.llm.common import components, map_rows
 from pricegrid.session import stage
 
 PARTS = 3
@@ -56,13 +56,8 @@ def fingerprint(text, size=4, seed=42):
 
 def fingerprints(docs, text="text", size=4, seed=42):
     """The documents with a column `fp` (signed 64-bit); the text is dropped."""
-    schema = docs.drop(text).schema.add("fp", "long")
-
-    def run(batches):
-        for batch in batches:
-            yield batch.drop(columns=text).assign(fp=[fingerprint(t, size, seed) for t in batch[text]])
-
-    return docs.mapInPandas(run, schema)
+    made = lambda batch: {"fp": [fingerprint(t, size, seed) for t in batch.column(text).to_pylist()]}
+    return map_rows(docs, {"fp": "long"}, made, drop=[text])
 
 
 def _signed(mask):

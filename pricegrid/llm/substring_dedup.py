@@ -18,11 +18,13 @@ documents is a row a task and hash.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from pricegrid.llm.common import hash_words, slices, unique_number, window_hash, words_of
+from pricegrid.llm.common import hash_words, map_rows, slices, unique_number, window_hash, words_of
 from pricegrid.session import stage
 
 LENGTH = 35
@@ -210,18 +212,18 @@ def remove_repeated(docs, key="doc_id", text="text", length=LENGTH, period=PERIO
     starts = repeated_starts(keyed, repeated, length, period, cover)
     starts = starts.join(repeated.select("row", F.lit(True).alias("copied")), "row", "full")
     name = "kept_sha256" if digest else "kept"
-    schema = docs.select(key).schema.add("n_words", "long").add("n_removed", "long").add(name, "string")
-
-    def run(batches):
-        import hashlib
-
-        for batch in batches:
-            out = []
-            for k, t, s, c in zip(batch["__key"], batch["text"], batch["starts"], batch["copied"]):
-                kept, n = kept_words(t, s, length, c is not None and bool(c))
-                joined = b" ".join(kept)
-                out.append((k, n, n - len(kept), hashlib.sha256(joined).hexdigest() if digest else joined.decode("utf-8", "replace")))
-            yield pd.DataFrame(out, columns=schema.names).astype({key: batch["__key"].dtype})
+    made = {"n_words": "long", "n_removed": "long", name: "string"}
+
+    def work(batch):
+        out = {c: [] for c in made}
+        for t, s, c in zip(*(batch.column(c).to_pylist() for c in ("text", "starts", "copied"))):
+            kept, n = kept_words(t, s, length, bool(c))
+            joined = b" ".join(kept)
+            out["n_words"].append(n)
+            out["n_removed"].append(n - len(kept))
+            out[name].append(hashlib.sha256(joined).hexdigest() if digest else joined.decode("utf-8", "replace"))
+        return out
 
     # Both joins take the same columns of the documents, so Spark deals them out once.
-    return keyed.join(starts, "row", "left").select("__key", "text", "starts", "copied").mapInPandas(run, schema)
+    met = keyed.join(starts, "row", "left").select("__key", "text", "starts", "copied")
+    return map_rows(met, made, work, drop=["text", "starts", "copied"]).withColumnRenamed("__key", key)
