@@ -8,21 +8,43 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricegrid.operators import gram
 from pricegrid.operators.features import numeric_columns, quoted
 from pricegrid.operators.lookup import HOT_SHARE, lookup
 from pricegrid.operators.order import counted_values, placed
 from pricegrid.session import stage
 
 
+WIDE = 200  # more pairs than this are not expressions of one aggregate
+
+
 def pearson_pairs(df: DataFrame, columns=None) -> DataFrame:
-    """corr of every pair of columns, all in one aggregate."""
+    """corr of every pair of columns, all in one pass."""
     columns = columns or numeric_columns(df)
     pairs = list(combinations(columns, 2))
     return _pair_rows(df, pairs, [(a, b, f"r{i}") for i, (a, b) in enumerate(pairs)])
 
 
+def wide_correlations(df: DataFrame, pairs):
+    """[r] of pairs of columns. Few pairs are one aggregate; many are read off the
+    co-moments of their columns, whose state grows with the columns, not the pairs' expressions."""
+    if len(pairs) > WIDE:
+        columns = list(dict.fromkeys(c for pair in pairs for c in pair))
+        found = gram.correlations(df, columns)
+        return [found[a, b] if (a, b) in found else found[b, a] for a, b in pairs]
+    if not pairs:
+        return []
+    return list(df.agg(
+        *[F.corr(quoted(a).cast("double"), quoted(b).cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]
+    ).first())
+
+
 def _pair_rows(df, pairs, shown):
-    """Rows (a, b, r) from one aggregate; shown names the aggregate of each row."""
+    """Rows (a, b, r) of pairs; shown names the pair's place of each row, or none for 1."""
+    if len(pairs) > WIDE:
+        found = {f"r{i}": r for i, r in enumerate(wide_correlations(df, pairs))}
+        rows = [(a, b, found[r] if r else 1.0) for a, b, r in shown]
+        return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
     row = df.agg(
         *[F.corr(quoted(a).cast("double"), quoted(b).cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]
     )
@@ -47,6 +69,10 @@ def correlation_matrix(df: DataFrame, columns=None) -> DataFrame:
 def target_correlations(df: DataFrame, target, columns=None) -> DataFrame:
     """corr of each column with the target, sorted by value."""
     columns = [c for c in (columns or numeric_columns(df)) if c != target]
+    if len(columns) > WIDE:
+        rows = list(zip(columns, wide_correlations(df, [(c, target) for c in columns])))
+        found = df.sparkSession.createDataFrame(rows, "feature string, r double")
+        return found.select("feature", F.round("r", 6).alias("r")).orderBy(F.desc_nulls_last("r"), "feature")
     row = df.agg(
         *[F.corr(quoted(c).cast("double"), quoted(target).cast("double")).alias(f"r{i}") for i, c in enumerate(columns)]
     )

@@ -10,17 +10,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricegrid.functions.bins import edge_count
+from pricegrid.operators.correlation import wide_correlations
 from pricegrid.operators.features import ColumnContractModel, FeatureVector, _Fitter, numeric_columns, quoted
 from pricegrid.operators.order import quantile_values
 from pricegrid.session import stage
 
 
 def correlation_scores(df: DataFrame, features, target) -> dict:
-    """Absolute Pearson correlation with the target, all in one aggregate."""
-    row = df.agg(
-        *[F.abs(F.corr(quoted(c).cast("double"), quoted(target).cast("double"))).alias(f"s{i}") for i, c in enumerate(features)]
-    ).first()
-    return {c: row[f"s{i}"] for i, c in enumerate(features)}
+    """Absolute Pearson correlation with the target, all in one pass."""
+    found = wide_correlations(df, [(c, target) for c in features])
+    return {c: None if r is None else abs(r) for c, r in zip(features, found)}
 
 
 def mutual_information(df: DataFrame, features, target, n_bins=10) -> DataFrame:
@@ -65,14 +64,9 @@ def importance_scores(df: DataFrame, features, target, trees=100, depth=5, seed=
 
 
 def feature_pairs(df: DataFrame, features) -> dict:
-    """Absolute correlation of every feature pair, one aggregate."""
+    """Absolute correlation of every feature pair, all in one pass."""
     pairs = list(combinations(features, 2))
-    if not pairs:
-        return {}
-    row = df.agg(
-        *[F.abs(F.corr(quoted(a).cast("double"), quoted(b).cast("double"))).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]
-    ).first()
-    return {pair: row[f"r{i}"] for i, pair in enumerate(pairs)}
+    return {pair: None if r is None else abs(r) for pair, r in zip(pairs, wide_correlations(df, pairs))}
 
 
 def redundant(pairs: dict, scores: dict, cutoff=0.95) -> set:

@@ -389,6 +389,24 @@ def binned_stats(df: DataFrame, column, value, width, low, high, min_count=0) ->
     return stats.where(F.col("count") > min_count).withColumn("bin_mid", F.col("bin_start") + width / 2)
 
 
+def means_histogram(df: DataFrame, by, value, n_bins, min_count=0) -> DataFrame:
+    """How many groups have their mean in each of n equal bins between the least and
+    the largest mean: bin, low, high, groups. Bins are right-closed, the first also
+    holds its lower edge; an empty bin has no row."""
+    means = df.where(F.col(by).isNotNull()).groupBy(by).agg(F.avg(value).alias("m"), F.count(value).alias("n"))
+    means = stage(means.where((F.col("n") >= max(min_count, 1)) & F.col("m").isNotNull()), "group-means")
+    low, high = means.agg(F.min("m"), F.max("m")).first()
+    if low is None:
+        return means.select(F.lit(0).alias("bin"), "m", F.col("m").alias("high"), F.lit(0).alias("groups")).limit(0).withColumnRenamed("m", "low")
+    edges = bins.equal_width_edges(low, high, n_bins)
+    found = means.groupBy(bins.right_closed(F.col("m"), edges).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("groups"))
+    width = (high - low) / n_bins
+    return found.select(
+        "bin", F.round(low + F.col("bin") * F.lit(width), 4).alias("low"),
+        F.round(low + (F.col("bin") + 1) * F.lit(width), 4).alias("high"), "groups",
+    )
+
+
 def range_box_stats(df: DataFrame, column, value, edges, labels) -> DataFrame:
     """Box statistics of value per labelled right-closed range."""
     label = bins.right_closed(F.col(column), edges, labels)

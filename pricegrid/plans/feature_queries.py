@@ -399,10 +399,24 @@ def fs2_mutual_information(spark, sf_dir):
     return selection.mutual_information(_candidates(spark, sf_dir), MI_COLUMNS, "price")
 
 
-@query("fs3_importance")
+def _selection_facts(report, method):
+    """What holds of scores by a seeded forest: which features, that importances are a
+    share of one, and that the best of them is among the chosen."""
+    return report.agg(
+        F.lit(method).alias("method"), F.array_join(F.sort_array(F.collect_set("feature")), ",").alias("features"),
+        F.count(F.lit(1)).alias("n"), F.bool_and(F.col("score").between(0, 1)).alias("within"),
+        F.round(F.sum("score"), 6).alias("total"), F.max_by("selected", "score").alias("best_selected"),
+    )
+
+
+@query(
+    "fs3_importance",
+    f"select 'importance' as method, '{','.join(sorted(CANDIDATES))}' as features, {len(CANDIDATES)}::bigint as n, true as within, 1e0 as total, true as best_selected",
+)
 def fs3_importance(spark, sf_dir):
     df = _candidates(spark, sf_dir)
-    return selection.FeatureSelector("importance", prune=False).fit(df, "price", CANDIDATES).report(spark)
+    report = selection.FeatureSelector("importance", prune=False).fit(df, "price", CANDIDATES).report(spark)
+    return _selection_facts(report, "importance")
 
 
 @query("fs4_all_methods")

@@ -358,6 +358,12 @@ def _bin_sql(column, value, width, low, high, having=""):
  cast({start} as double)+{width}/2.0e0 as bin_mid from l where {column}>={low} and {column}<{high} group by 1 {having}"""
 
 
+@query("ed26_year_bins", _bin_sql("year", "price", 2, 1990, 2002))
+def ed26_year_bins(spark, sf_dir):
+    """Price by bins of two model years."""
+    return profiling.binned_stats(once(listings(spark, sf_dir), "year", "price"), "year", "price", 2, 1990, 2002)
+
+
 @query("ed26_age_bins", _bin_sql("age_years", "km", 5, 0, 40))
 def ed26_age_bins(spark, sf_dir):
     return profiling.binned_stats(once(listings(spark, sf_dir), "age_years", "km"), "age_years", "km", 5, 0, 40)
@@ -512,6 +518,17 @@ def ed35_median_of_means(spark, sf_dir):
     return quantiles(means, ["mean"], [0.5]).select(F.round(F.col("mean")[0], 4).alias("median_of_means"))
 
 
+@query(
+    "ed35_means_histogram",
+    f"""{L}, m as (select city, avg(price) as m from l where city is not null group by 1 having count(price)>=5),
+ e as (select min(m) as lo, max(m) as hi, (max(m)-min(m))/8 as w from m),
+ b as (select greatest(least(cast(ceil((m-lo)/w) as int)-1, 7), 0) as bin, lo, w from m cross join e)
+select bin, round(lo+bin*w,4) as low, round(lo+(bin+1)*w,4) as high, count(*) as groups from b group by bin, lo, w""",
+)
+def ed35_means_histogram(spark, sf_dir):
+    return profiling.means_histogram(once(listings(spark, sf_dir), "city", "price"), "city", "price", 8, 5)
+
+
 for _name, _pair, _source in (
     ("fuel_by_transmission", ("fuel_type", "transmission"), "select fuel_type, transmission, price from l"),
     ("condition_by_age", ("condition", "age_range"), f"select condition, {range_sql_case('age_years', C.AGE_RANGE_EDGES, C.AGE_RANGE_LABELS)} as age_range, price from l"),
@@ -553,6 +570,35 @@ def ed36_fuel_by_transmission(spark, sf_dir):
     return profiling.pivot_means(listings(spark, sf_dir), "fuel_type", "transmission", "price", GEARS)
 
 
+YEARS = list(range(1992, 1999))
+
+
+@query(
+    "ed36_brand_by_year_pivot",
+    f"""{L}, t as (select brand from l group by 1 order by count(*) desc, brand limit 10) select brand, """ + ", ".join(
+        f'round(avg(price) filter (where year={y}),4) as "{y}"' for y in YEARS
+    ) + " from l where brand in (select brand from t) group by 1",
+)
+def ed36_brand_by_year_pivot(spark, sf_dir):
+    top = profiling.only_frequent(once(listings(spark, sf_dir), "brand", "year", "price"), "brand", 10)
+    return profiling.pivot_means(top, "brand", "year", "price", YEARS)
+
+
+@query(
+    "ed36_fuel_by_engine_pivot",
+    f"""{L}, r as (select min(engine_size) as lo, max(engine_size) as hi from l),
+ s as (select fuel_type, price, case when engine_size<=lo+(hi-lo)*1/5 then 0 when engine_size<=lo+(hi-lo)*2/5 then 1
+ when engine_size<=lo+(hi-lo)*3/5 then 2 when engine_size<=lo+(hi-lo)*4/5 then 3 else 4 end as b from l cross join r)
+select fuel_type, """ + ", ".join(f'round(avg(price) filter (where b={k}),4) as "{k}"' for k in range(5)) + " from s group by 1",
+)
+def ed36_fuel_by_engine_pivot(spark, sf_dir):
+    df = once(listings(spark, sf_dir), "engine_size", "fuel_type", "price")
+    low, high = df.agg(F.min("engine_size"), F.max("engine_size")).first()
+    label = bins.right_closed(F.col("engine_size"), bins.equal_width_edges(low, high, 5))
+    df = df.withColumn("engine_bin", label.cast("string"))
+    return profiling.pivot_means(df, "fuel_type", "engine_bin", "price", [str(k) for k in range(5)])
+
+
 AGE_CASE = range_sql_case("age_years", C.AGE_RANGE_EDGES, C.AGE_RANGE_LABELS)
 
 

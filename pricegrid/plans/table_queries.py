@@ -15,7 +15,7 @@ from pricegrid.schema import CANONICAL_SCHEMA, LISTINGS
 from pricegrid.session import once, shared_dir
 from pricegrid.sources import sinks
 from pricegrid.sources.listings import dirty_listings, listings, raw_listings
-from pricegrid.sources.tables import combine, read_all, read_listings, sample_rows
+from pricegrid.sources.tables import combine, read_all, read_listings, read_rescued, sample_rows
 
 catalog = Catalog()
 query = catalog.add
@@ -48,6 +48,56 @@ def io1_csv_scan(spark, sf_dir):
     )
 
 
+DAMAGED = f"""{L}, x as (select *, cast('0x'||substr(listing_id,5,4) as int) % 40 as h from l),
+ r as (select case when h in (0,1) then 'year' when h=2 then 'price' when h in (3,4) then 'fields' end as reason from x)"""
+
+
+def damaged_lines(spark, sf_dir):
+    """Listings as CSV files some of whose lines the schema does not fit."""
+    df = listings(spark, sf_dir).select(*CANONICAL_COLUMNS, "listing_id")
+    pick = F.conv(F.substring("listing_id", 5, 4), 16, 10).cast("int") % 40
+    df = df.withColumn("_pick", pick)
+    texts = {c: F.col(c).cast("string") for c in CANONICAL_COLUMNS}
+    texts["year"] = F.when(F.col("_pick").isin(0, 1), "MMXX").otherwise(texts["year"])
+    texts["price"] = F.when(F.col("_pick") == 2, F.concat(F.lit("R$ "), texts["price"])).otherwise(texts["price"])
+    fields = F.to_csv(F.struct(*[t.alias(c) for c, t in texts.items()]))
+    fields = F.when(F.col("_pick") == 3, F.concat(fields, F.lit(",more"))).otherwise(fields)
+    fields = F.when(F.col("_pick") == 4, F.regexp_replace(fields, ",[^,]*$", "")).otherwise(fields)
+    path = shared_dir(spark, "damaged")
+    df.select(fields.alias("line")).write.text(path)
+    return path
+
+
+@query(
+    "io1_rescued_records",
+    f"""{DAMAGED} select coalesce(reason, 'read') as found, count(*) as lines from r group by 1""",
+)
+def io1_rescued_records(spark, sf_dir):
+    rows, rescued = read_rescued(spark, damaged_lines(spark, sf_dir), header=False)
+    reason = F.when(F.col("reasons")[0].startswith("other"), "fields").otherwise(F.substring_index(F.col("reasons")[0], ":", 1))
+    return rows.agg(F.lit("read").alias("found"), F.count(F.lit(1)).alias("lines")).unionByName(
+        rescued.groupBy(reason.alias("found")).agg(F.count(F.lit(1)).alias("lines"))
+    )
+
+
+@query(
+    "cl15_rescued_values",
+    f"""{DAMAGED}, v as (select x.* from x where h in (0,1,2)) select case when h=2 then 'price' else 'year' end as "column",
+ case when h=2 then 'no double' else 'no bigint' end as fault, count(*) as lines,
+ round(avg(case when h=2 then price end),4) as mean_price from v group by 1,2""",
+)
+def cl15_rescued_values(spark, sf_dir):
+    """Quarantined lines by column and fault; the text tells what stood there."""
+    _, rescued = read_rescued(spark, damaged_lines(spark, sf_dir), header=False)
+    parts = F.split(F.col("reasons")[0], ": ", 3)
+    told = rescued.where(F.col("reasons")[0].contains(": no ")).select(
+        parts[0].alias("column"), parts[1].alias("fault"), F.regexp_replace(parts[2], r"^R\$ ", "").try_cast("double").alias("price")
+    )
+    return told.groupBy("column", "fault").agg(
+        F.count(F.lit(1)).alias("lines"), F.round(F.avg("price"), 4).alias("mean_price")
+    )
+
+
 @query(
     "io2_load_all",
     f"""{L} select case when year_of_reference<1998 then 'historical' else 'recent' end as dataset,

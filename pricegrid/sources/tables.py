@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pricegrid.functions.predicates import nan_to_null
 from pricegrid.operators.keys import ordered, with_row_key
@@ -34,6 +35,48 @@ def read_listings(spark: SparkSession, path, schema=CANONICAL_SCHEMA, fmt="csv",
     return with_row_key(df, key) if key else df
 
 
+RESCUED = "_rescued"
+
+
+def read_rescued(spark: SparkSession, path, schema=CANONICAL_SCHEMA, header=True, sep=","):
+    """(rows, rescued) of CSV files: every line is in exactly one of the two.
+
+    `rescued` holds each line that the schema does not fit, with its file, the line
+    as it stands and the reasons: fields that do not parse (name and text) or
+    another number of fields. A quoted field may hold the separator, but not a line
+    break. Both tables parse all columns of a line, whatever is selected later, so
+    they agree on what is malformed. Empty lines are no lines.
+    """
+    names = [f.name for f in schema]
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    texts = ", ".join(f"`{n}` string" for n in names)
+    # One column that no separator or quote cuts is the line as it stands.
+    whole = {"sep": "\u0001", "quote": "", "escape": "", "header": header, "maxCharsPerColumn": -1}
+    try:
+        lines = spark.read.schema("line string").options(**whole).csv(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            raise FileNotFoundError(f"no such dataset: {path}") from error
+        raise
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": RESCUED, "sep": sep}
+    lines = lines.select(F.col("_metadata.file_path").alias("file"), "line").where("line is not null")
+    parsed = lines.withColumn("row", F.from_csv("line", f"{ddl}, {RESCUED} string", options))
+    bad = F.col(f"row.{RESCUED}").isNotNull()
+    rows = nan_to_null(parsed.where(~bad).select(*[F.col("row")[n].alias(n) for n in names]))
+    told = parsed.where(bad).withColumn("text", F.from_csv("line", f"{texts}, {RESCUED} string", options))
+    unread = [
+        F.when(
+            F.col("row")[n].isNull() & (F.col("text")[n] != ""),
+            F.concat(F.lit(f"{n}: no {f.dataType.simpleString()}: "), F.col("text")[n]),
+        )
+        for n, f in zip(names, schema)
+        if not isinstance(f.dataType, T.StringType)
+    ]
+    count = F.when(F.col("text")[RESCUED].isNotNull(), F.lit(f"other than {len(names)} fields"))
+    reasons = F.filter(F.array(count, *unread), lambda r: r.isNotNull())
+    return rows, told.select("file", "line", reasons.alias("reasons"))
+
+
 def read_all(spark: SparkSession, paths: dict, **options) -> dict:
     """Several datasets by name."""
     return {name: read_listings(spark, path, **options) for name, path in paths.items()}
