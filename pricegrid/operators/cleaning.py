@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from pricegrid.functions import text
 from pricegrid.functions.predicates import any_of, known, outside
+from pricegrid.operators.duplicates import drop_copies
 from pricegrid.operators.features import category_rows, numeric_columns, string_columns
 from pricegrid.operators.order import quantile_values
 from pricegrid.operators.rules import Rule
@@ -21,8 +22,8 @@ METHODS = ("iqr", "zscore", "domain", "combined")
 
 
 def dedupe(df: DataFrame) -> DataFrame:
-    """Keep one of each set of equal rows; copies collapse before the shuffle."""
-    return df.dropDuplicates()
+    """Keep one of each set of equal rows; only rows that may have a copy are shuffled."""
+    return drop_copies(df)
 
 
 def fit_statistics(df: DataFrame, columns, method="combined") -> dict:

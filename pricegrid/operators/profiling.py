@@ -12,6 +12,7 @@ from pricegrid import constants as C
 from pricegrid.functions import bins
 from pricegrid.functions.hashing import split_key
 from pricegrid.functions.predicates import known, outside
+from pricegrid.operators import duplicates
 from pricegrid.operators.features import numeric_columns, quoted, string_columns
 from pricegrid.operators.lookup import HOT_SHARE, lookup
 from pricegrid.operators.order import quantile_values, quantiles
@@ -111,33 +112,13 @@ def distinct_counts(df: DataFrame, columns=None, approximate=False) -> DataFrame
 
 def duplicate_count(df: DataFrame, keys=None) -> DataFrame:
     """Rows beyond the first of their group, overall or by a key subset."""
-    keys = list(keys or df.columns)
-    groups = df.groupBy(*[quoted(c) for c in keys]).agg(F.count(F.lit(1)).alias("_n"))
-    total = F.sum("_n")
-    return groups.agg(
-        total.alias("rows"),
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates"),
-    ).withColumn("percentage", F.round(F.try_divide(F.col("duplicates"), F.col("rows")) * 100, 6))
+    percentage = F.round(F.try_divide(F.col("duplicates"), F.col("rows")) * 100, 6)
+    return duplicates.group_counts(df, keys).withColumn("percentage", percentage)
 
 
 def duplicate_rows(df: DataFrame, keys=None) -> DataFrame:
-    """All copies of rows that occur more than once.
-
-    The repeated keys are found by a grouped count and joined back, so the
-    copies of one row never have to meet in one task.
-    """
-    keys = list(keys or df.columns)
-    repeated = (
-        df.groupBy(*[quoted(c) for c in keys])
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where("_n > 1")
-        .select(*[quoted(c).alias(f"_k{i}") for i, c in enumerate(keys)])
-    )
-    same = [quoted(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(keys)]
-    condition = same[0]
-    for s in same[1:]:
-        condition = condition & s
-    return df.join(repeated, condition, "left_semi")
+    """All copies of rows that occur more than once."""
+    return duplicates.rows_with_copies(df, keys)
 
 
 # -- distribution of one column ----------------------------------------------------
