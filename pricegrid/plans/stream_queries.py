@@ -12,7 +12,7 @@ from pricegrid.plans.catalog import Catalog
 from pricegrid.plans.feature_queries import split_listings
 from pricegrid.session import shared_dir
 from pricegrid.sources.listings import raw_listings, table
-from pricegrid.streaming import quality, scoring
+from pricegrid.streaming import ledger, quality, scoring
 
 catalog = Catalog()
 query = catalog.add
@@ -69,6 +69,33 @@ def st2_quality_windows(spark, sf_dir):
     return out.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
 
 
+@query(
+    "st2_late_rows",
+    """with e as (select *, date_trunc('day', ts) as s, ts < timestamp '2024-01-16' and event_id % 20 <> 0 as first from events),
+ m as (select max(ts) - interval 1 hour as mark from e where first),
+ j as (select e.*, not first and s + interval 1 day <= mark as late from e cross join m)
+select strftime(s, '%Y-%m-%d %H:%M:%S') as window_start, count(*) as rows_in,
+ count(*) filter (where not coalesce(late, false)) as rows_counted,
+ count(*) filter (where late) as rows_late, count(*) filter (where value<0 and not coalesce(late, false)) as negative_value
+from j group by s""",
+)
+def st2_late_rows(spark, sf_dir):
+    """A twentieth of the events of the first half month arrive with the second half."""
+    base = shared_dir(spark, "late")
+    events = table(spark, sf_dir, "events")
+    first = F.coalesce((F.col("ts") < F.lit("2024-01-16").cast("timestamp")) & (F.col("event_id") % 20 != 0), F.lit(False))
+    for part in (first, ~first):
+        events.where(part).write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(events.schema).parquet(f"{base}/in")
+        rows = ledger.ledger_rows(stream, quality.event_rules())
+        ledger.write_ledger(rows, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    out = ledger.read_ledger(spark, f"{base}/out", rows.schema)
+    return out.select(
+        F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+        "rows_in", "rows_counted", "rows_late", "negative_value",
+    )
+
+
 # -- enrichment ---------------------------------------------------------------------------
 
 U = {
