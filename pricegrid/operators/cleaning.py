@@ -22,7 +22,7 @@ METHODS = ("iqr", "zscore", "domain", "combined")
 
 
 def dedupe(df: DataFrame) -> DataFrame:
-    """Keep one of each set of equal rows; only rows that may have a copy are shuffled."""
+    """Keep one of each set of equal rows; of wide rows, only those that may have a copy are shuffled."""
     return drop_copies(df)
 
 

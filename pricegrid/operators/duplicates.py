@@ -11,7 +11,8 @@ hits of the filter cost time, never a row.
 Nulls equal nulls, as in grouping. Rows with columns that cannot be hashed alike
 (maps, variants, collated texts) are all candidates. A table is read twice for
 counts and three times to drop copies, so an expensive input should be staged, and
-rows of less than NARROW bytes by their schema are shuffled whole, in one pass.
+rows of less than NARROW bytes by their schema (WIDE to drop copies) are shuffled
+whole, in one pass. The result is the same either way.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ PROBES = 3
 FILTER_BYTES = (1 << BUCKET_BITS) * WORDS * 8
 MARKS = 62  # null marks that fit a long
 NARROW = 128  # bytes; a digest and its count take 24 in a shuffle
+WIDE = 512  # dropping copies reads the table twice more, which pays for wider rows only
 
 
 def hashable(kind) -> bool:
@@ -119,7 +121,7 @@ def candidates(df: DataFrame, columns=None, narrow=NARROW):
     return with_candidates(df, columns, stage(filter_table(repeated), "repeated-digests"))
 
 
-def drop_copies(df: DataFrame, narrow=NARROW) -> DataFrame:
+def drop_copies(df: DataFrame, narrow=WIDE) -> DataFrame:
     """One of each set of equal rows; without columns, every row is equal to the others."""
     judged = candidates(df, narrow=narrow)
     once = judged.where("not _candidate").drop("_candidate")
