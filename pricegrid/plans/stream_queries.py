@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pricegrid import constants as C
+from pricegrid.functions.hashing import alias_table
 from pricegrid.operators import enrichment
 from pricegrid.plans import model_queries as mq
 from pricegrid.plans import sql
@@ -104,15 +105,19 @@ U = {
 }
 
 
-def _weighted_sql(u, weights, quote=True):
-    total, upto, parts = sum(weights.values()), 0.0, []
-    words = list(weights)
-    for word in words[:-1]:
-        upto += weights[word]
-        shown = f"'{word}'" if quote else word
-        parts.append(f"when {u}<{round(upto / total, 12)!r} then {shown}")
-    last = f"'{words[-1]}'" if quote else words[-1]
-    return f"case {' '.join(parts)} else {last} end"
+def _weighted_sql(u, weights):
+    words, cuts, others = zip(*alias_table(weights))
+    place = f"({u}*{len(words)}e0)"
+    cell = f"cast(floor{place} as int)"
+
+    def look(values):
+        return f"([{', '.join(values)}])[{cell}+1]"
+
+    def texts(values):
+        return [f"'{v}'" for v in values]
+
+    low = look(f"{cut:.12f}e0" for cut in cuts)
+    return f"case when {place}-{cell}<{low} then {look(texts(words))} else {look(texts(others))} end"
 
 
 AGE = "(year_of_reference-year)"
@@ -138,7 +143,7 @@ CONDITION = "case " + " ".join(
 ENRICHED = f"""{L}, a as (select listing_id, brand, model, year, price, fuel_type, transmission, engine_size,
  year_of_reference, month_of_reference, {KM} as km, {STATE} as state,
  {_weighted_sql(U['color'], C.COLOR_WEIGHTS)} as color,
- cast({_weighted_sql(U['doors'], C.DOOR_WEIGHTS, quote=False)} as bigint) as doors,
+ cast({_weighted_sql(U['doors'], C.DOOR_WEIGHTS)} as bigint) as doors,
  {U['city']} as uc, {U['condition']} as u, {AGE} as age_years from l),
  b as (select * exclude (u), {CITIES} as names, {CONDITION} as condition from a),
  en as (select * exclude (names, uc), names[cast(floor(uc*len(names)) as int)+1] as city from b)"""
