@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.ml import Estimator, Model, Pipeline, Transformer
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import (
     DefaultParamsReadable,
@@ -20,6 +21,7 @@ from pyspark.ml.util import (
     MLWritable,
     MLWriter,
 )
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -355,6 +357,103 @@ class SizeModel(_TableFitted):
         return df.withColumn(output, label).drop("_n", "_v")
 
 
+# -- sparse indicators -----------------------------------------------------------
+
+
+class SparseIndicatorEncoder(_Fitter):
+    """One sparse 0/1 vector for columns of any number of values.
+
+    Every column owns a range of the vector, in the given order, and every value a
+    place in it by ascending text. The places are made in the cluster: values are
+    range-partitioned, numbered inside a partition and moved by the number of values
+    before it, so neither the driver nor one task holds them. Missing and unseen
+    values set nothing. The vector is called `output`; with drop=True the encoded
+    columns go. For columns of few values IndicatorEncoder names a column each.
+    """
+
+    def __init__(self, columns=("brand", "model", "city"), output="indicators", drop=True):
+        super().__init__()
+        self._put(columns=list(columns), output=output, drop=drop)
+
+    def _fit(self, df):
+        columns = _present(df, self.opt("columns"))
+        model = SparseIndicatorModel()._put(output=self.opt("output"), drop=self.opt("drop"))
+        return model._state(df, columns)
+
+
+class SparseIndicatorModel(_TableFitted):
+    def _state(self, df, columns):
+        order = ["feature", "value"]
+        if columns:
+            cells = category_rows(df, columns)
+        else:
+            cells = df.sparkSession.createDataFrame([], "feature string, value string")
+        counts = cells.groupBy(*order).agg(F.count(F.lit(1)).alias("n"))
+        dealt = counts.repartitionByRange(*order).withColumn("part", F.spark_partition_id())
+        dealt = stage(dealt, "category-ranges")
+        inside = Window.partitionBy("feature", "part").orderBy("value")
+        # One row a partition and column, however many values there are.
+        before = Window.partitionBy("feature").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        heads = dealt.groupBy("feature", "part").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"))
+        heads = stage(heads.withColumn("k0", F.coalesce(F.sum("k").over(before), F.lit(0))), "category-heads")
+        placed = dealt.withColumn("i", F.row_number().over(inside)).join(
+            F.broadcast(heads.select("feature", "part", "k0")), ["feature", "part"]
+        )
+        position = (F.col("i") + F.col("k0") - 1).cast("int").alias("position")
+        self.table = stage(placed.select("feature", "value", "n", position), "category-places")
+        facts = {r.feature: (r.k, r.n) for r in heads.groupBy("feature").agg(F.sum("k").alias("k"), F.sum("n").alias("n")).collect()}
+        ranges, start = {}, 0
+        for c in columns:
+            size, known = facts.get(c, (0, 0))
+            ranges[c] = [start, size, known]
+            start += size
+        if start >= 2**31:
+            raise ValueError(f"{start} values are more than a vector has places")
+        return self._put(ranges=ranges, size=start)
+
+    def names(self):
+        """(position, feature, value, n): what every place of the vector stands for."""
+        starts = {c: start for c, (start, _, _) in self.opt("ranges").items()}
+        start = F.lit(0)
+        for c, first in starts.items():
+            start = F.when(F.col("feature") == c, F.lit(first)).otherwise(start)
+        return self.table.select((F.col("position") + start).alias("position"), "feature", "value", "n")
+
+    def _transform(self, df):
+        columns, names = _present(df, self.opt("ranges")), []
+        for i, c in enumerate(columns):
+            start, size, known = self.opt("ranges")[c]
+            one = self.table.where(F.col("feature") == c).select("value", "position", "n")
+            text, place = F.col(c).cast("string"), f"_place{i}"
+            df = lookup(df, one, text, {"position": place}, size, F.col("n") >= HOT_SHARE * known)
+            df = df.withColumn(place, F.col(place) + F.lit(start))
+            names.append(place)
+        places = F.array(*names) if names else F.array().cast("array<int>")
+        known = F.filter(places, lambda p: p.isNotNull())
+        df = df.withColumn(self.opt("output"), sparse_vector(known, self.opt("size"))).drop(*names)
+        return df.drop(*columns) if self.opt("drop") else df
+
+
+def sparse_vector(places, size):
+    """A vector of `size` with ones at the ascending places.
+
+    A vector type is a struct of type, size, indices and values; it is filled by
+    way of its JSON form, which needs no Python worker.
+    """
+    parts = F.struct(
+        F.lit(0).alias("type"), F.lit(size).alias("size"), places.alias("indices"),
+        F.transform(places, lambda _: F.lit(1.0)).alias("values"),
+    )
+    kind = T.StructType([T.StructField("vector", VectorUDT())])
+    return F.from_json(F.to_json(F.struct(parts.alias("vector"))), kind)["vector"]
+
+
+def places_of(vector):
+    """The places of a sparse vector that are not zero, as an array column."""
+    kind = "vector struct<indices:array<int>>"
+    return F.from_json(F.to_json(F.struct(F.col(vector).alias("vector"))), kind)["vector"]["indices"]
+
+
 # -- small fitted state --------------------------------------------------------
 
 

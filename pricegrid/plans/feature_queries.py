@@ -119,6 +119,22 @@ def fe4_indicators(spark, sf_dir):
     return fe.IndicatorEncoder(list(ONE_HOT)).fit(df).transform(df)
 
 
+SPARSE = ["model", "city", "fuel_type"]
+SPARSE_SQL = f"""{L}, {", ".join(
+    f"v_{c} as (select {c}, row_number() over (order by {c} collate \"C\")-1 as i, count(*) over () as k"
+    f" from (select distinct {c} from l where {c} is not null))" for c in SPARSE
+)} select listing_id, list_sort([v_model.i, coalesce((select max(k) from v_model),0)+v_city.i,
+ coalesce((select max(k) from v_model),0)+coalesce((select max(k) from v_city),0)+v_fuel_type.i]) as places
+ from l {" ".join(f"join v_{c} on l.{c}=v_{c}.{c}" for c in SPARSE)}"""
+
+
+@query("fe4_sparse_indicators", SPARSE_SQL)
+def fe4_sparse_indicators(spark, sf_dir):
+    df = once(listings(spark, sf_dir), "listing_id", *SPARSE)
+    out = fe.SparseIndicatorEncoder(SPARSE).fit(df).transform(df)
+    return out.select("listing_id", fe.places_of("indicators").alias("places"))
+
+
 @query(
     "fe5_log_columns",
     f"{L} select listing_id, round(ln(1+price),8) as price_log, round(ln(1+km),8) as km_log from l",

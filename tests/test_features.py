@@ -1,6 +1,9 @@
+from functools import partial
+
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from pricegrid.functions import bins
@@ -50,6 +53,48 @@ def test_indicators_ignore_unseen_values(spark):
     assert [tuple(r) for r in out.collect()] == [(1, 0), (0, 0), (0, 0)]
 
 
+def test_sparse_indicators_of_many_values(spark, monkeypatch):
+    n = 30_000
+    monkeypatch.setattr(fe, "lookup", partial(fe.lookup, broadcast_rows=100))  # joins by shuffle
+    df = spark.range(n).select(
+        "id", F.concat(F.lit("k"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("wide"),
+        F.when(F.col("id") % 3 > 0, F.lit("hot")).alias("few"), (F.col("id") % 7).alias("indicators_n"),
+    )
+    model = fe.SparseIndicatorEncoder(["wide", "few", "absent"]).fit(df)
+    path = shared_dir(spark, "sparse")
+    model.write().overwrite().save(path)
+    model = fe.SparseIndicatorModel.load(path)
+    rows = model.transform(df).orderBy("id").collect()
+    assert len(rows) == n and rows[0].asDict().keys() == {"id", "indicators_n", "indicators"}
+    for r in rows[:50] + rows[-50:]:
+        assert r.indicators.size == n + 1
+        assert list(r.indicators.indices) == ([r.id, n] if r.id % 3 else [r.id])
+        assert set(r.indicators.values) == {1.0}
+    unseen = spark.createDataFrame([("new", None), (None, "hot")], "wide string, few string")
+    assert [list(r.indicators.indices) for r in model.transform(unseen).collect()] in ([[], [n]], [[n], []])
+    names = {r.position: (r.feature, r.value) for r in model.names().collect()}
+    assert len(names) == n + 1 and names[n] == ("few", "hot") and names[5] == ("wide", "k000005")
+
+
+def test_sparse_indicators_equal_the_dense_ones(spark, cars):
+    columns = ["fuel_type", "transmission", "condition"]
+    dense = fe.IndicatorEncoder(columns).fit(cars)
+    values = dense.opt("categories")
+    wanted = [F.col(f"`{c}_{v}`").cast("double") for c in columns for v in values[c]]
+    one = dense.transform(cars).select("listing_id", F.array(*wanted).alias("d"))
+    two = fe.SparseIndicatorEncoder(columns).fit(cars).transform(cars)
+    two = two.select("listing_id", vector_to_array("indicators").alias("s"))
+    assert one.join(two, "listing_id").where("d != s").count() == 0
+
+
+def test_sparse_indicators_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "brand string, x int")
+    out = fe.SparseIndicatorEncoder(["brand"]).fit(df).transform(df)
+    assert out.columns == ["x", "indicators"] and out.count() == 0
+    row = spark.createDataFrame([("a", 1)], "brand string, x int")
+    assert fe.SparseIndicatorEncoder(["brand"]).fit(df).transform(row).first().indicators.size == 0
+
+
 def test_scalers_handle_constant_columns(spark):
     df = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0)], "x double, k double")
     standard = fe.Scaler(["x", "k"]).fit(df).transform(df).collect()
