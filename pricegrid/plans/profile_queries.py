@@ -10,10 +10,11 @@ from pricegrid import constants as C
 from pricegrid.functions import bins
 from pricegrid.operators import correlation, profiling, projection
 from pricegrid.operators.order import quantiles
+from pricegrid.operators.profile_store import ProfileStore
 from pricegrid.plans import sql
 from pricegrid.plans.catalog import Catalog
 from pricegrid.plans.table_queries import CATEGORY_SQL, range_sql_case
-from pricegrid.session import once
+from pricegrid.session import once, shared_dir
 from pricegrid.sources.listings import dirty_listings, listings, table
 
 catalog = Catalog()
@@ -57,6 +58,52 @@ def ed3_describe_events(spark, sf_dir):
     return profiling.describe_numeric(table(spark, sf_dir, "events"), ["value", "user_id"])
 
 
+MERGED = ["price", "km", "year", "brand", "state", "fuel_type", "condition", "model"]
+FEW_VALUES = ["brand", "state", "fuel_type", "condition"]
+
+
+def _merged_sql(c):
+    numeric = c in sql.NUMERIC
+    facts = [
+        f"cast(round({f}({c}),4) as double) as {name}" if numeric else f"cast(null as double) as {name}"
+        for f, name in (("avg", "mean"), ("stddev_samp", "std"), ("min", "min"), ("max", "max"))
+    ]
+    top = f"(select count(*) from d where {c} is not null group by {c} order by 1 desc limit 1)" if c in FEW_VALUES else "cast(null as bigint)"
+    return f"""select '{c}' as "column", count(*) as rows, count(*)-count({c}) as missing, {', '.join(facts)},
+ {top} as top_count, true as distinct_near, {'true' if numeric else 'cast(null as boolean)'} as quartiles_near from d"""
+
+
+@query("ed3_merged_profiles", f"{D} {sql.union(_merged_sql(c) for c in MERGED)}")
+def ed3_merged_profiles(spark, sf_dir):
+    """Profiles of two loads merged from their sketches; estimates are held against exact counts."""
+    df = once(dirty_listings(spark, sf_dir), *MERGED, "year_of_reference")
+    base, old = shared_dir(spark, "loads"), F.col("year_of_reference") < 1996
+    store = ProfileStore(spark, shared_dir(spark, "profiles"))
+    for name, part in (("historical", df.where(old)), ("recent", df.where(~old))):
+        part.select(*MERGED).write.parquet(f"{base}/{name}")
+        store.add(base)  # the second time only the recent files are read
+    found = once(store.merged())
+    near = []
+    for r in found.where("q50 is not null").select("column", "q25", "q50", "q75").collect():
+        x = F.col(r["column"])
+        shares = [
+            (F.avg((x < q).cast("int")) <= p + 0.02) & (F.avg((x <= q).cast("int")) >= p - 0.02)
+            for p, q in ((0.25, r.q25), (0.5, r.q50), (0.75, r.q75))
+        ]
+        near.append(F.struct(F.lit(r["column"]).alias("c"), (shares[0] & shares[1] & shares[2]).alias("quartiles_near")))
+    ranks = df.agg(F.array(*near).alias("x")).select(F.inline("x"))
+    exact = profiling.distinct_counts(df, MERGED).select(F.col("column").alias("dc"), F.col("distinct_values").alias("d"))
+    joined = found.join(F.broadcast(ranks), F.col("column") == F.col("c"), "left").join(
+        F.broadcast(exact), F.col("column") == F.col("dc")
+    )
+    top = F.when(F.col("column").isin(FEW_VALUES), F.array_max(F.col("frequent.count")))
+    return joined.select(
+        "column", "rows", "missing", *[F.round(c, 4).alias(c) for c in ("mean", "std", "min", "max")],
+        top.alias("top_count"), (F.abs(F.col("distinct_values") - F.col("d")) <= F.col("d") * 0.05).alias("distinct_near"),
+        "quartiles_near",
+    )
+
+
 @query(
     "ed4_describe_text",
     f"{D} " + sql.union(
