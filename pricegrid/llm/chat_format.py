@@ -4,13 +4,22 @@ A turn is rendered as <s>role, newline, text</s>. Control strings inside roles
 and texts are broken by a backslash after their first character and backslashes
 are doubled, which `unescape` reverses exactly.
 
-Windows hold whole turns. A running sum of turn tokens puts every turn into the
-bucket in which its last token falls; a bucket is half the room, so the turns
-that end in it and the one that reaches into it fit the room together. A turn
-longer than a bucket has a window of its own. Every later window starts with the
-conversation's system turn and up to `history` turns that precede it, as far as
-they fit the history budget; such repeated turns are never targets again. So the
-loss mask covers every assistant turn exactly once.
+Windows hold whole turns and are filled greedily: a window starts with the first
+turn not yet shown and takes turns while they fit. Every later window repeats the
+conversation's system turn and up to `history` turns before its first, nearest
+first, while they fit the history budget and leave room for the first new turn;
+such repeated turns are never targets again. So the loss mask covers every
+assistant turn exactly once. A turn that does not fit even beside the system turn
+alone has a window of its own, marked as over the budget.
+
+What a window repeats, and so where the next one starts, follows from its first
+turn alone. So every turn gets a jump, found in the prefix sums of turn tokens, and
+the windows are the jumps from turn 0 on. A conversation is cut into blocks of
+`span` tokens, each with the few turns around it that its windows can reach. Per
+block, the jumps and the way out from each possible first turn are one row; a walk
+over these rows, in order, finds where each block is entered, and the blocks are
+then walked side by side. No task holds a conversation; the walk over blocks keeps
+one number.
 
 The running sum is taken in two levels: within range partitions of
 (conversation, turn), then over one row a partition and conversation, so no
@@ -22,7 +31,9 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -90,10 +101,115 @@ def count_cache(cache={}):  # noqa: B006  one tokenizer a Python worker
     return cache
 
 
-def windows(turns, tokens, budget=1024, history=2, history_budget=256, markup=8):
+def _jumps(budget, history, history_budget, block):
+    """Rows of one block: where a window from each own turn ends and what it repeats."""
+
+    def run(group: pa.Table) -> pa.Table:
+        group = group.sort_by("idx")
+        idx, n, upto, extra = (group[c].to_numpy() for c in ("idx", "n", "upto", "sys_n"))
+        own = np.flatnonzero(group["own"].to_numpy(zero_copy_only=False))
+        begin = upto - n
+        # The system turn stands before every window but the first.
+        free = budget - np.where(idx > 0, extra, 0)
+        limit = np.minimum(history_budget, free - n)[own]
+        repeats = np.zeros(len(own), np.int64)
+        tokens, used, going = np.zeros(len(own), np.int64), np.zeros(len(own), np.int64), np.ones(len(own), bool)
+        for back in range(1, history + 1):
+            at = np.maximum(own - back, 0)
+            going &= (own >= back) & ~((idx[at] == 0) & (extra[at] > 0))
+            tokens = tokens + np.where(going, n[at], 0)
+            going &= tokens <= limit
+            used, repeats = np.where(going, tokens, used), repeats + going
+        ends = np.searchsorted(upto, begin[own] + free[own] - used, "right")
+        jump = idx[0] + np.maximum(ends, own + 1)
+        # Windows that start before the block leave it within its first `budget` tokens.
+        first, past = int(idx[own[0]]), int(idx[own[-1]]) + 1
+        doors = max(1, int(np.count_nonzero(begin[own] < begin[own[0]] // block * block + budget)))
+        leave = jump.copy()
+        for k in range(len(leave) - 1, -1, -1):
+            if leave[k] < past:
+                leave[k] = leave[leave[k] - first]
+        row = {"first": [first], "jump": [jump], "held": [repeats], "leave": [leave[:doors]]}
+        return pa.table({"conv_id": group["conv_id"].slice(0, 1), "block": group["block"].slice(0, 1), **row})
+
+    return run
+
+
+def _enter(batches):
+    """First turn of the walk in every block it enters; rows come by conversation and block."""
+    last, at = (), 0
+    for batch in batches:
+        out = []
+        for r in batch.to_pylist():
+            if last != (r["conv_id"],):
+                last, at = (r["conv_id"],), 0
+            if 0 <= at - r["first"] < len(r["leave"]):
+                out.append((r["conv_id"], r["block"], at))
+                at = r["leave"][at - r["first"]]
+        kinds = (batch.schema.field("conv_id").type, pa.int64(), pa.int64())
+        columns = zip(*out) if out else ([], [], [])
+        yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds)], ["ec", "eb", "at"])
+
+
+def _walk(batches):
+    """The windows of every block from the turn at which it is entered."""
+    for batch in batches:
+        out = []
+        for r in batch.to_pylist():
+            at, first, jump = r["at"], r["first"], r["jump"]
+            while at - first < len(jump):
+                out.append((r["conv_id"], at, jump[at - first] - 1, r["held"][at - first]))
+                at = jump[at - first]
+        kinds = (batch.schema.field("conv_id").type, pa.int64(), pa.int64(), pa.int64())
+        columns = zip(*out) if out else ([], [], [], [])
+        yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds)], ["conv_id", "first", "last", "held"])
+
+
+def _spans(numbered, budget, history, history_budget, span):
+    """(conv_id, first, last, held) of every window, held turns before it repeated."""
+    block = max(span, budget + history_budget)
+    conv = numbered.schema["conv_id"].dataType.simpleString()
+    begin = F.col("upto") - F.col("n")
+    home = F.floor(begin / block).cast("long")
+    offset = begin - home * block
+    near = F.array(
+        F.struct(home.alias("block"), F.lit(True).alias("own")),
+        F.when((home > 0) & (offset < budget), F.struct((home - 1).alias("block"), F.lit(False).alias("own"))),
+        F.when(offset >= block - history_budget, F.struct((home + 1).alias("block"), F.lit(False).alias("own"))),
+    )
+    dealt = numbered.select("*", F.explode(F.filter(near, lambda x: x.isNotNull())).alias("x")).select(*numbered.columns, "x.*")
+    # A block no turn starts in has no windows.
+    kept = dealt.groupBy("conv_id", "block").applyInArrow(
+        _some(_jumps(budget, history, history_budget, block)),
+        f"conv_id {conv}, block long, first long, jump array<long>, held array<long>, leave array<long>",
+    )
+    kept = stage(kept, "chat-jumps")
+    entered = kept.select("conv_id", "block", "first", "leave").repartition("conv_id").sortWithinPartitions("conv_id", "block")
+    entered = entered.mapInArrow(_enter, f"ec {conv}, eb long, at long")
+    met = F.col("conv_id").eqNullSafe(F.col("ec")) & (F.col("block") == F.col("eb"))
+    walked = kept.join(entered, met).select("conv_id", "first", "jump", "held", "at")
+    return walked.mapInArrow(_walk, f"conv_id {conv}, first long, last long, held long")
+
+
+def _some(run):
+    names = ["conv_id", "block", "first", "jump", "held", "leave"]
+
+    def made(group: pa.Table) -> pa.Table:
+        lists, kind = pa.list_(pa.int64()), group.schema.field("conv_id").type
+        types = [kind, pa.int64(), pa.int64(), lists, lists, lists]
+        schema = pa.schema(list(zip(names, types)))
+        if not any(group["own"].to_pylist()):
+            return schema.empty_table()
+        return run(group).cast(schema)
+
+    return made
+
+
+def windows(turns, tokens, budget=1024, history=2, history_budget=256, markup=8, span=1 << 20):
     """Windows of a (conv_id, turn, role, text) table; other columns are ignored.
 
-    `tokens` maps a text column to a token count; `markup` is added a turn.
+    `tokens` maps a text column to a token count; `markup` is added a turn, which
+    counts at least one. `span` sets the work of a task, not the result.
     Returns conv_id, window (running number by first turn), n_repeated (turns at
     the head that repeat earlier ones), n_turns, n_tokens, over_budget, formatted
     and mask (start and end of each target's characters). An empty table gives
@@ -104,7 +220,7 @@ def windows(turns, tokens, budget=1024, history=2, history_budget=256, markup=8)
     )
     order = ["conv_id", "turn", "role", "text"]
     dealt = rows.repartitionByRange("conv_id", "turn", "role")  # tokens are counted after it, once
-    dealt = stage(dealt.withColumn("part", F.spark_partition_id()).withColumn("n", tokens(F.col("text")) + markup), "chat-turns")
+    dealt = stage(dealt.withColumn("part", F.spark_partition_id()).withColumn("n", F.greatest(tokens(F.col("text")) + markup, F.lit(1))), "chat-turns")
 
     # Level one: sums inside a partition; level two: one row a partition and conversation.
     inside = Window.partitionBy("part", "conv_id").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, 0)
@@ -127,37 +243,17 @@ def windows(turns, tokens, budget=1024, history=2, history_budget=256, markup=8)
     )
     numbered = placed.select("conv_id", "idx", "n", "upto").join(
         system.select("sc", "sys_n"), F.col("conv_id").eqNullSafe(F.col("sc")), "left"
-    )
-    room = F.greatest(F.lit(2), F.lit(budget - history_budget) - F.coalesce("sys_n", F.lit(0)))
-    half = F.floor(room / 2).cast("long")
-    numbered = numbered.select(
-        "conv_id", "idx", "n", F.coalesce("sys_n", F.lit(0)).alias("sys_n"),
-        F.floor((F.col("upto") - 1) / half).cast("long").alias("bucket"), (F.col("n") > half).alias("alone"),
-    )
-    spans = numbered.groupBy("conv_id", "bucket", "alone").agg(
-        F.min("idx").alias("first"), F.max("idx").alias("last"), F.sum("n").alias("n_new"), F.max("sys_n").alias("sys_n")
-    )
-
-    # History: the turns just before a span, nearest first, while they fit.
-    back = spans.where("first > 0").select("conv_id", "first", F.explode(F.sequence(F.lit(1), F.lit(history))).alias("back"))
-    back = back.select(F.col("conv_id").alias("bc"), "first", "back", (F.col("first") - F.col("back")).alias("bidx"))
-    back = back.where("bidx >= 0")
-    sizes = placed.select("conv_id", "idx", "n", "role")
-    near = back.join(sizes, F.col("bc").eqNullSafe(F.col("conv_id")) & (F.col("bidx") == F.col("idx")))
-    near = near.where("not (idx = 0 and role = 'system')")
-    run = Window.partitionBy("bc", "first").orderBy("back").rowsBetween(Window.unboundedPreceding, 0)
-    near = near.withColumn("held", F.sum("n").over(run)).where(F.col("held") <= history_budget)
-    history_rows = near.select("bc", F.col("first").alias("bf"), "bidx", F.col("n").alias("hist_n"))
+    ).select("conv_id", "idx", "n", "upto", F.coalesce("sys_n", F.lit(0)).cast("long").alias("sys_n"))
+    spans = stage(_spans(numbered, budget, history, history_budget, span), "chat-spans")
 
     # One row a turn and window it appears in: 0 system, 1 history, 2 new turns.
-    ranges = spans.select(F.col("conv_id").alias("rc"), "first", "last")
-    owners = numbered.select("conv_id", "idx", "bucket", "alone").join(
-        spans.select(F.col("conv_id").alias("rc"), F.col("bucket").alias("rb"), F.col("alone").alias("ra"), "first"),
-        F.col("conv_id").eqNullSafe(F.col("rc")) & (F.col("bucket") == F.col("rb")) & (F.col("alone") == F.col("ra")),
-    ).select("conv_id", "idx", "first", F.lit(2).alias("kind"))
-    shown = owners.unionByName(
-        history_rows.select(F.col("bc").alias("conv_id"), F.col("bidx").alias("idx"), F.col("bf").alias("first"), F.lit(1).alias("kind"))
-    )
+    ranges = spans.select(F.col("conv_id").alias("rc"), "first")
+    turns_of = {
+        1: spans.where("held > 0").select("conv_id", "first", F.sequence(F.col("first") - F.col("held"), F.col("first") - 1).alias("idx")),
+        2: spans.select("conv_id", "first", F.sequence("first", "last").alias("idx")),
+    }
+    new, old = (turns_of[k].select("conv_id", "first", F.explode("idx").alias("idx"), F.lit(k).alias("kind")) for k in (2, 1))
+    shown = new.unionByName(old)
     body = shown.select(F.col("conv_id").alias("wc"), F.col("idx").alias("wi"), "first", "kind").join(
         placed, F.col("wc").eqNullSafe(F.col("conv_id")) & (F.col("wi") == F.col("idx"))
     ).select("conv_id", "first", "kind", "idx", "role", "text", "n")

@@ -114,6 +114,42 @@ def test_chat_round_trip(spark):
     assert all(any(len((x or "").split(" ")) > 80 for c, _, _, x in data if c == conv) for conv in single)
 
 
+def greedy_windows(turns, budget, history, history_budget, markup=8):
+    """(first, turns shown, turns repeated, tokens) by filling window after window."""
+    n = [len(text.split(" ")) + markup for _, text in turns]
+    system = n[0] if turns[0][0] == "system" else 0
+    out, at = [], 0
+    while at < len(turns):
+        total, repeated = n[at] + (system if at else 0), 1 if at and system else 0
+        held = 0
+        for k in range(at - 1, max(at - history, 1 if system else 0) - 1, -1):
+            if held + n[k] > history_budget or total + held + n[k] > budget:
+                break
+            held, repeated = held + n[k], repeated + 1
+        total, end = total + held, at + 1
+        while end < len(turns) and total + n[end] <= budget:
+            total, end = total + n[end], end + 1
+        out.append((at, end - at + repeated, repeated, total))
+        at = end
+    return out
+
+
+@pytest.mark.parametrize("span", [1, 400, 1 << 20])
+def test_chat_windows_equal_greedy_ones(spark, span):
+    rng = random.Random(span)
+    data, expected = [], set()
+    for conv in [None, *range(25), 2**53 + 1]:
+        longest = rng.choice([4, 40, 150])
+        roles = ["system" if rng.random() < 0.5 else "user"] + [rng.choice(["user", "assistant", "system"]) for _ in range(rng.randrange(80))]
+        turns = [(role, " ".join(["w"] * (1 + rng.choice([rng.randrange(longest), 900 * (rng.random() < 0.02), 1])))) for role in roles]
+        data += [(conv, k, role, text) for k, (role, text) in enumerate(turns)]
+        expected |= {(conv, *w) for w in greedy_windows(turns, 200, 3, 60)}
+    made = chat(spark, data, budget=200, history=3, history_budget=60, span=span)
+    got = [tuple(r) for r in made.select("conv_id", "window", "n_turns", "n_repeated", "n_tokens").collect()]
+    assert len(got) == len(expected) and set(got) == expected
+    assert made.where("over_budget != (n_tokens > 200)").count() == 0
+
+
 def test_chat_ids_beyond_doubles_beside_a_null(spark):
     data = [(c, 0, "user", "a") for c in (None, 2**53, 2**53 + 1)]
     got = {r[0]: tuple(r[1:5]) for r in queries.read_back(chat(spark, data)).collect()}
