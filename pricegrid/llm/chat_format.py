@@ -102,12 +102,16 @@ def count_cache(cache={}):  # noqa: B006  one tokenizer a Python worker
 
 
 def _jumps(budget, history, history_budget, block):
-    """Rows of one block: where a window from each own turn ends and what it repeats."""
+    """Row per block: where a window from each own turn ends and what it repeats.
 
-    def run(group: pa.Table) -> pa.Table:
-        group = group.sort_by("idx")
-        idx, n, upto, extra = (group[c].to_numpy() for c in ("idx", "n", "upto", "sys_n"))
-        own = np.flatnonzero(group["own"].to_numpy(zero_copy_only=False))
+    Turns come by conversation, block and number; a block that a batch ends in waits
+    for the next one.
+    """
+    names = ["first", "jump", "held", "leave"]
+    whole, lists = pa.int64(), pa.list_(pa.int64())
+
+    def one(idx, n, upto, extra, own):
+        own = np.flatnonzero(own)
         begin = upto - n
         # The system turn stands before every window but the first.
         free = budget - np.where(idx > 0, extra, 0)
@@ -121,7 +125,7 @@ def _jumps(budget, history, history_budget, block):
             going &= tokens <= limit
             used, repeats = np.where(going, tokens, used), repeats + going
         ends = np.searchsorted(upto, begin[own] + free[own] - used, "right")
-        jump = idx[0] + np.maximum(ends, own + 1)
+        jump = (idx[0] + np.maximum(ends, own + 1)).tolist()
         # Windows that start before the block leave it within its first `budget` tokens.
         first, past = int(idx[own[0]]), int(idx[own[-1]]) + 1
         doors = max(1, int(np.count_nonzero(begin[own] < begin[own[0]] // block * block + budget)))
@@ -129,8 +133,37 @@ def _jumps(budget, history, history_budget, block):
         for k in range(len(leave) - 1, -1, -1):
             if leave[k] < past:
                 leave[k] = leave[leave[k] - first]
-        row = {"first": [first], "jump": [jump], "held": [repeats], "leave": [leave[:doors]]}
-        return pa.table({"conv_id": group["conv_id"].slice(0, 1), "block": group["block"].slice(0, 1), **row})
+        return first, jump, repeats.tolist(), leave[:doors]
+
+    def rows(table, finished):
+        """A row for each block of the table, the last one only if `finished`; and the turns left over."""
+        codes = table["conv_id"].combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
+        blocks = table["block"].to_numpy()
+        new = np.flatnonzero((codes[1:] != codes[:-1]) | (blocks[1:] != blocks[:-1])) + 1
+        edges = [0, *new.tolist(), len(blocks)]
+        edges = edges if finished else edges[:-1]
+        rest = table.slice(edges[-1])
+        columns = [table[c].to_numpy(zero_copy_only=False) for c in ("idx", "n", "upto", "sys_n", "own")]
+        heads, made = [], []
+        for a, b in zip(edges, edges[1:]):
+            if columns[-1][a:b].any():  # no window starts in a block without turns of its own
+                heads.append(a)
+                made.append(one(*[c[a:b] for c in columns]))
+        taken = table.select(["conv_id", "block"]).take(pa.array(heads, whole)).combine_chunks()
+        found = [pa.array(c, t) for c, t in zip(zip(*made) if made else [()] * 4, (whole, lists, lists, lists))]
+        arrays = [c.combine_chunks() for c in taken.columns] + found
+        return pa.RecordBatch.from_arrays(arrays, ["conv_id", "block", *names]), rest
+
+    def run(batches):
+        rest = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if rest is None else pa.concat_tables([rest, table])
+            if table.num_rows:
+                made, rest = rows(table, False)
+                yield made
+        if rest is not None and rest.num_rows:
+            yield rows(rest, True)[0]
 
     return run
 
@@ -178,9 +211,9 @@ def _spans(numbered, budget, history, history_budget, span):
         F.when(offset >= block - history_budget, F.struct((home + 1).alias("block"), F.lit(False).alias("own"))),
     )
     dealt = numbered.select("*", F.explode(F.filter(near, lambda x: x.isNotNull())).alias("x")).select(*numbered.columns, "x.*")
-    # A block no turn starts in has no windows.
-    kept = dealt.groupBy("conv_id", "block").applyInArrow(
-        _some(_jumps(budget, history, history_budget, block)),
+    sorted_turns = dealt.repartition("conv_id", "block").sortWithinPartitions("conv_id", "block", "idx")
+    kept = sorted_turns.mapInArrow(
+        _jumps(budget, history, history_budget, block),
         f"conv_id {conv}, block long, first long, jump array<long>, held array<long>, leave array<long>",
     )
     kept = stage(kept, "chat-jumps")
@@ -191,20 +224,6 @@ def _spans(numbered, budget, history, history_budget, span):
     return walked.mapInArrow(_walk, f"conv_id {conv}, first long, last long, held long")
 
 
-def _some(run):
-    names = ["conv_id", "block", "first", "jump", "held", "leave"]
-
-    def made(group: pa.Table) -> pa.Table:
-        lists, kind = pa.list_(pa.int64()), group.schema.field("conv_id").type
-        types = [kind, pa.int64(), pa.int64(), lists, lists, lists]
-        schema = pa.schema(list(zip(names, types)))
-        if not any(group["own"].to_pylist()):
-            return schema.empty_table()
-        return run(group).cast(schema)
-
-    return made
-
-
 def windows(turns, tokens, budget=1024, history=2, history_budget=256, markup=8, span=1 << 20):
     """Windows of a (conv_id, turn, role, text) table; other columns are ignored.
 
