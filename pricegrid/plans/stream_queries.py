@@ -21,12 +21,17 @@ L = sql.WITH_L
 
 
 def run_scoring(spark, sf_dir):
-    """Requests as JSON files through the scoring stream; returns the output folder."""
+    """Requests as JSON files through the scoring stream; returns the output folder.
+
+    JSON repeats the field names in every row, so the files are compressed. Such a file
+    is read by one task, so a batch takes as many files as tasks can run.
+    """
     base = shared_dir(spark, "scoring")
     rows = mq.requests(spark, sf_dir)
-    rows.write.json(f"{base}/in")
+    rows.write.option("compression", "gzip").json(f"{base}/in")
     model = mq.request_model(split_listings(spark, sf_dir, "listing_id", "brand", "price"))
-    stream = scoring.request_stream(spark, f"{base}/in", rows.schema, files_per_batch=4)
+    files = max(4, spark.sparkContext.defaultParallelism)
+    stream = scoring.request_stream(spark, f"{base}/in", rows.schema, files_per_batch=files)
     scoring.score_stream(
         stream, model, "brand_line", "v1.0.0", f"{base}/out", f"{base}/checkpoint",
         mq.request_config(spark, sf_dir), mq.REQUEST_RANGES,

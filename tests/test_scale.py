@@ -1,7 +1,10 @@
 """What moves and where: plans and staged files of steps that many queries share."""
 
+import glob
+
 from pyspark.sql import functions as F
 
+from pricegrid.plans import stream_queries
 from pricegrid.sources.listings import dirty_listings, listings
 from tests.conftest import SF
 
@@ -28,3 +31,11 @@ def test_filter_on_damage_hashes_the_key_once(spark):
     picked = F.conv(F.substring("listing_id", 1, 4), 16, 10).cast("int") % 50 == 7
     assert copies.count() > 0
     assert df.where(picked).count() == 2 * listings(spark, SF).where(picked).count()
+
+
+def test_requests_are_compressed(spark):
+    out = stream_queries.run_scoring(spark, SF)
+    files = glob.glob(f"{out.rsplit('/', 1)[0]}/in/part-*")
+    assert files and all(name.endswith(".json.gz") for name in files)
+    parts = [spark.read.parquet(f"{out}/{kind}").count() for kind in ("scored", "rejected")]
+    assert sum(parts) == dirty_listings(spark, SF).count()
