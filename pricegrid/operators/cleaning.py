@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from pricegrid.functions import text
 from pricegrid.functions.predicates import any_of, known, outside
-from pricegrid.operators.duplicates import drop_copies
+from pricegrid.operators.duplicates import NARROW, drop_copies
 from pricegrid.operators.features import category_rows, numeric_columns, string_columns
 from pricegrid.operators.order import quantile_values
 from pricegrid.operators.rules import Rule
@@ -210,10 +210,12 @@ class CleaningModel:
         """Everything up to the corrected ages: no row is judged yet.
 
         Imputing reads the distinct rows twice, so they are written once to the
-        shared folder instead of being deduplicated again.
+        shared folder instead of being deduplicated again. The table is one that
+        fitting has read twice already, so copies are found by digest and only
+        rows that may have one are shuffled.
         """
         o = self.options
-        df = dedupe(df) if o.duplicates else df
+        df = drop_copies(df, NARROW) if o.duplicates else df
         if o.missing:
             df = stage(df, "distinct") if o.duplicates else df
             df = fix_missing_age(df)

@@ -4,9 +4,12 @@ import glob
 
 from pyspark.sql import functions as F
 
+from pricegrid.operators import duplicates
+from pricegrid.operators.cleaning import Cleaner
 from pricegrid.plans import stream_queries
+from pricegrid.schema import LISTINGS
 from pricegrid.sources.listings import dirty_listings, listings
-from tests.conftest import SF
+from tests.conftest import FORD, HONDA, SF, TOYOTA, frame
 
 
 def plan(df):
@@ -33,6 +36,17 @@ def test_filter_on_damage_hashes_the_key_once(spark):
     assert df.where(picked).count() == 2 * listings(spark, SF).where(picked).count()
 
 
+def test_cleaner_shuffles_digests(spark, monkeypatch):
+    staged = []
+    write = duplicates.stage
+    monkeypatch.setattr(duplicates, "stage", lambda df, name: staged.append(name) or write(df, name))
+    df = frame(spark, [TOYOTA, HONDA, TOYOTA, FORD, dict(FORD, model=None), dict(FORD, model=None)])
+    model = Cleaner(LISTINGS, "domain").fit(df)
+    prepared = model.prepare(df)
+    assert staged == ["repeated-digests"]
+    assert sorted(r.brand for r in prepared.collect()) == ["Ford", "Ford", "Honda", "Toyota"]
+
+
 def test_requests_are_compressed(spark):
     out = stream_queries.run_scoring(spark, SF)
     files = glob.glob(f"{out.rsplit('/', 1)[0]}/in/part-*")
