@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pricegrid.operators import duplicates
 from pricegrid.operators.cleaning import Cleaner
-from pricegrid.plans import stream_queries
+from pricegrid.plans import feature_queries, stream_queries
 from pricegrid.schema import LISTINGS
 from pricegrid.sources.listings import dirty_listings, listings
 from tests.conftest import FORD, HONDA, SF, TOYOTA, frame
@@ -53,3 +53,9 @@ def test_requests_are_compressed(spark):
     assert files and all(name.endswith(".json.gz") for name in files)
     parts = [spark.read.parquet(f"{out}/{kind}").count() for kind in ("scored", "rejected")]
     assert sum(parts) == dirty_listings(spark, SF).count()
+
+
+def test_selection_reads_a_slim_table(spark):
+    df = feature_queries._candidates(spark, SF)
+    assert df.columns == ["price", *feature_queries.CANDIDATES]
+    assert "md5(" not in plan(df) and "brand" not in plan(df)
