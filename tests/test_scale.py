@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pricegrid.operators import duplicates
 from pricegrid.operators.cleaning import Cleaner
+from pricegrid.operators.keys import with_row_key
 from pricegrid.plans import feature_queries, stream_queries
 from pricegrid.schema import LISTINGS
 from pricegrid.sources.listings import dirty_listings, listings
@@ -47,6 +48,13 @@ def test_cleaner_shuffles_digests(spark, monkeypatch):
     assert sorted(r.brand for r in prepared.collect()) == ["Ford", "Ford", "Honda", "Toyota"]
 
 
+def test_copies_of_one_row_are_written_by_many_tasks(spark):
+    df = spark.range(20_000).select(F.lit("a").alias("brand"), F.lit(1999).alias("year"))
+    keyed = with_row_key(df, "key").withColumn("task", F.spark_partition_id())
+    found = keyed.agg(F.count_distinct("key"), F.count_distinct("task")).first()
+    assert found[0] == 20_000 and found[1] > 1
+
+
 def test_requests_are_compressed(spark):
     out = stream_queries.run_scoring(spark, SF)
     files = glob.glob(f"{out.rsplit('/', 1)[0]}/in/part-*")
