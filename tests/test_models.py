@@ -5,10 +5,10 @@ from unittest.mock import MagicMock
 
 import numpy as np
 import pytest
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import functions as F
 
 from pricegrid.operators import evaluation, scoring, segments, training
@@ -265,3 +265,34 @@ def test_search_queries_take_the_whole_grids(monkeypatch, name, wanted):
     monkeypatch.setattr(model_queries, "ev", MagicMock())
     getattr(model_queries, name)(None, SF)
     assert searched == wanted
+
+
+def test_forests_are_grown_written_and_applied_in_parts(spark, numbers, monkeypatch):
+    _, _, df = numbers
+    assert training.part_sizes(100, 20, 12_490, 2, 250_000) == [20] * 5
+    assert training.part_sizes(7, 3, 500, 2, 48) == [3, 2, 2]
+    assert training.part_sizes(5, 20, 10**9, 1, 1000) == [1] * 5
+    options = dict(labelCol="label", featuresCol="features", seed=3, numTrees=7, maxDepth=3, minInstancesPerNode=2,
+                   subsamplingRate=0.5, featureSubsetStrategy="sqrt")
+    whole = training.PartedForest(**options).fit(df)
+    plain = RandomForestRegressor(**options).fit(df)
+    predicted = [[r.prediction for r in m.transform(df).orderBy("a").collect()] for m in (whole, plain)]
+    assert predicted[0] == predicted[1]
+    # Seven trees of at most 16 nodes, 48 nodes a part: never more than three trees in one fit.
+    fitted, known = [], RandomForestRegressor.fit
+    monkeypatch.setattr(RandomForestRegressor, "fit", lambda self, rows: fitted.append(self.getNumTrees()) or known(self, rows))
+    parted = training.PartedForest(part_nodes=48, **options).fit(df)
+    assert fitted == [3, 2, 2] and parted.getNumTrees == 7
+    trees = [t for k in range(3) for t in parted.part(k).trees]
+    by_tree = np.mean([[t.predict(r.features) for r in df.orderBy("a").collect()] for t in trees], axis=0)
+    path = shared_dir(spark, "saved-forest")
+    PipelineModel([parted]).write().overwrite().save(path)
+    for model in (parted, PipelineModel.load(path)):
+        got = model.transform(df).orderBy("a")
+        assert got.columns == [*df.columns, "prediction"]
+        assert [r.prediction for r in got.collect()] == pytest.approx(list(by_tree))
+    # The search grows its forests this way.
+    monkeypatch.setattr(training, "PART_NODES", 48)
+    found = training.search_forest(df, {"numTrees": [4, 6], "maxDepth": [3], "minInstancesPerNode": [2]}, 2)
+    assert max(fitted[3:]) <= 3 and found.models["random_forest"].getNumTrees in (4, 6)
+    assert found.rmse["random_forest"] == min(score for _, score in found.judged["random_forest"])
