@@ -1,5 +1,7 @@
+import gc
 import inspect
 import random
+import weakref
 from multiprocessing.pool import ThreadPool
 from unittest.mock import MagicMock
 
@@ -296,3 +298,29 @@ def test_forests_are_grown_written_and_applied_in_parts(spark, numbers, monkeypa
     found = training.search_forest(df, {"numTrees": [4, 6], "maxDepth": [3], "minInstancesPerNode": [2]}, 2)
     assert max(fitted[3:]) <= 3 and found.models["random_forest"].getNumTrees in (4, 6)
     assert found.rmse["random_forest"] == min(score for _, score in found.judged["random_forest"])
+
+
+def test_fits_side_by_side_share_tasks_and_losers_are_dropped(numbers, monkeypatch):
+    _, _, df = numbers
+    rows, tasks, alive, made, known = df.repartition(8), [], [], [], GBTRegressor.fit
+
+    def fit(self, given):
+        gc.collect()
+        alive.append(sum(ref() is not None for ref in made))
+        tasks.append(given.rdd.getNumPartitions())
+        model = known(self, given)
+        made.append(weakref.ref(model))
+        return model
+
+    monkeypatch.setattr(GBTRegressor, "fit", fit)
+    grid = {"maxIter": [2], "maxDepth": [1, 2, 3, 4]}
+    found = training.search_boosting(rows, None, grid, 4, parallelism=1, rows_per_task=100)
+    # One fit at a time takes tasks of 100 rows; only the best model so far is held.
+    assert tasks == [5] * 4 and max(alive) <= 1
+    judged = found.judged["gradient_boosting"]
+    assert (found.params["gradient_boosting"], found.rmse["gradient_boosting"]) == min(judged, key=lambda j: j[1])
+    evaluated = training.rmse_evaluator().evaluate(found.models["gradient_boosting"].transform(rows))
+    assert evaluated == pytest.approx(found.rmse["gradient_boosting"])
+    tasks.clear()
+    training.search_boosting(rows, None, grid, 4, parallelism=2, rows_per_task=100)
+    assert tasks == [3] * 4
