@@ -324,3 +324,34 @@ def test_fits_side_by_side_share_tasks_and_losers_are_dropped(numbers, monkeypat
     tasks.clear()
     training.search_boosting(rows, None, grid, 4, parallelism=2, rows_per_task=100)
     assert tasks == [3] * 4
+
+
+def test_forest_search_keeps_node_ids_and_grows_parts_side_by_side(numbers, monkeypatch):
+    _, _, df = numbers
+    options = dict(labelCol="label", featuresCol="features", seed=3, numTrees=3, maxDepth=6, subsamplingRate=0.5,
+                   featureSubsetStrategy="sqrt")
+    kept, walked = (RandomForestRegressor(cacheNodeIds=on, **options).fit(df) for on in (True, False))
+    assert kept.toDebugString.splitlines()[1:] == walked.toDebugString.splitlines()[1:]
+    given, staged, known, stage = [], [], RandomForestRegressor.fit, training.stage
+
+    def fit(self, rows):
+        given.append((self.getNumTrees(), self.getCacheNodeIds(), rows.rdd.getNumPartitions()))
+        return known(self, rows)
+
+    monkeypatch.setattr(RandomForestRegressor, "fit", fit)
+    monkeypatch.setattr(training, "stage", lambda rows, name: staged.append(name) or stage(rows, name))
+    # Six trees of at most 16 nodes, one tree a part, two parts side by side and in one pass.
+    monkeypatch.setattr(training, "PART_NODES", 16)
+    monkeypatch.setattr(training, "PARTS_BESIDE", 2)
+    grid = {"numTrees": [6], "maxDepth": [3], "minInstancesPerNode": [2]}
+    found = training.search_forest(df.repartition(8), grid, 1, sample=0.5, beside=2, rows_per_task=125)
+    # Two folds and the final fit, each of six parts, in tasks of 250 rows.
+    assert given == [(1, True, 2)] * 18
+    model = found.models["random_forest"]
+    assert model.opt("sizes") == [1] * 6
+    staged.clear()
+    rows = model.transform(df).orderBy("a").collect()
+    assert staged == ["forest-sums"] * 2
+    trees = [model.part(k).trees[0] for k in range(6)]
+    by_tree = np.mean([[t.predict(r.features) for r in rows] for t in trees], axis=0)
+    assert [r.prediction for r in rows] == pytest.approx(list(by_tree))
