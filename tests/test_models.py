@@ -1,6 +1,7 @@
 import gc
 import inspect
 import random
+import threading
 import weakref
 from multiprocessing.pool import ThreadPool
 from unittest.mock import MagicMock
@@ -355,3 +356,34 @@ def test_forest_search_keeps_node_ids_and_grows_parts_side_by_side(numbers, monk
     trees = [model.part(k).trees[0] for k in range(6)]
     by_tree = np.mean([[t.predict(r.features) for r in rows] for t in trees], axis=0)
     assert [r.prediction for r in rows] == pytest.approx(list(by_tree))
+
+
+def test_fits_side_by_side_are_bounded_by_memory(spark, numbers, monkeypatch):
+    _, _, df = numbers
+    held = training.fits_in_memory(spark, 1_000_000, 25)
+    assert held >= 1 and training.fits_in_memory(spark, 2_000_000, 25) in (max(1, held // 2), max(1, (held - 1) // 2))
+    assert training.fits_in_memory(spark, 10**12, 25) == 1 and training.fits_in_memory(spark, 0, 0) > 10**6
+    # Two tasks a core of a fit at most, but never more than TASK_ROWS rows a task.
+    assert training.fit_tasks(45_000_000, 50_000, 1, 12) == 24
+    assert training.fit_tasks(45_000_000, 50_000, 8, 12) == 23
+    assert training.fit_tasks(124_900, 50_000, 8, 12) == 1
+    assert training.fit_tasks(10**9, 50_000, 1, 12) == 500
+    tasks, running, most, known, lock = [], [], [], GBTRegressor.fit, threading.Lock()
+
+    def fit(self, given):
+        with lock:
+            running.append(self)
+            most.append(len(running))
+        tasks.append(given.rdd.getNumPartitions())
+        try:
+            return known(self, given)
+        finally:
+            with lock:
+                running.remove(self)
+
+    monkeypatch.setattr(GBTRegressor, "fit", fit)
+    # Rows that fill the memory alone are fitted one after the other, each by all cores.
+    monkeypatch.setattr(training, "FIT_ROW_BYTES", 10**12)
+    grid = {"maxIter": [2], "maxDepth": [1, 2, 3, 4]}
+    training.search_boosting(df.repartition(16), None, grid, 4, parallelism=4, rows_per_task=10)
+    assert max(most) == 1 and tasks == [8] * 4
