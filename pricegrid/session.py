@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from threading import Lock
 
 from pyspark.sql import SparkSession
 
@@ -54,10 +56,37 @@ def lineage_dir(spark):
         context.setCheckpointDir(shared_dir(spark, "lineage"))
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_cleaning, _before = Lock(), []
+
+
+@contextmanager
+def shuffles_removed(spark):
+    """Shuffle files of the queries that run meanwhile are removed when these end.
+
+    Spark else keeps them until the driver happens to collect its garbage. Threads may
+    overlap: the first one in keeps the setting, the last one out restores it.
+    """
+    with _cleaning:
+        _before.append(_before[0] if _before else spark.conf.get(CLEANUP, None))
+        spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        with _cleaning:
+            was = _before.pop()
+            if not _before:
+                spark.conf.unset(CLEANUP) if was is None else spark.conf.set(CLEANUP, was)
+
+
 def stage(df, name):
-    """Write a table to the shared folder and read it back (cuts the lineage)."""
+    """Write a table to the shared folder and read it back (cuts the lineage).
+
+    What was shuffled for it is not needed again, so it does not lie beside the table.
+    """
     path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    with shuffles_removed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

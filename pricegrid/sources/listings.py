@@ -21,22 +21,19 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One listing per order line.
 
     The orders come first, as they never fit a broadcast in a large table: the lines
-    are shuffled while they are numbers and two flags, and the texts of seller and part
-    are added behind that shuffle. Supplier, nation and region are one small lookup. No
-    side is forced to broadcast: Spark decides by size, and a hot part or order key is
-    split by the adaptive skew join.
+    are shuffled while they are numbers and two flags. Supplier, nation and region are
+    joined one by one: Spark takes a join of tables for as large as their product, and
+    shuffled all lines once more for the three as one lookup. The texts of nation, region
+    and part are added behind the shuffles. No side is forced to broadcast: Spark decides
+    by size, and a hot part or order key is split by the adaptive skew join.
     """
-    seller = (
-        table(spark, sf_dir, "supplier")
-        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("s_suppkey", "s_name", "n_name", "r_name")
-    )
     lines = (
         table(spark, sf_dir, "lineitem")
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(seller, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
     sold, shipped = F.year("o_orderdate"), F.year("l_shipdate")
     return lines.select(

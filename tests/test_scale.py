@@ -1,9 +1,12 @@
 """What moves and where: plans and staged files of steps that many queries share."""
 
 import glob
+import time
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import functions as F
 
+from pricegrid import session
 from pricegrid.operators import duplicates
 from pricegrid.operators.cleaning import Cleaner
 from pricegrid.operators.keys import with_row_key
@@ -67,3 +70,29 @@ def test_selection_reads_a_slim_table(spark):
     df = feature_queries._candidates(spark, SF)
     assert df.columns == ["price", *feature_queries.CANDIDATES]
     assert "md5(" not in plan(df) and "brand" not in plan(df)
+
+
+def test_small_tables_of_the_listings_cost_no_shuffle(spark):
+    text = listings(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    # Supplier, nation and region are judged one by one, not by the product of their sizes.
+    assert "hashpartitioning" not in text and text.count("BroadcastHashJoin") == 5
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(k).getName() for k in range(files.size()) if files.apply(k).getName().startswith("shuffle_")}
+
+
+def test_staged_tables_leave_no_shuffle_files(spark):
+    before, setting = shuffle_files(spark), spark.conf.get(session.CLEANUP, None)
+    counted = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    with ThreadPool(4) as pool:
+        staged = pool.map(lambda k: session.stage(counted, f"counted-{k}"), range(4))
+    for _ in range(50):  # the files go after the query has ended
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert [t.count() for t in staged] == [7] * 4 and spark.conf.get(session.CLEANUP, None) == setting
+    # The table that was staged can be read again, and other queries keep their files.
+    assert counted.count() == 7 and shuffle_files(spark) - before
